@@ -5,8 +5,11 @@ from pyspark.sql import functions as F
 from wattloom.catalog.registry import query
 from wattloom.catalog.tables import grain_readings, grain_sql, readings, readings_sql, rounded, table
 from wattloom.functions import units
-from wattloom.model import SITE, TS, VALUE, VARIABLE, literal_table
+from wattloom.functions.times import floor_time
+from wattloom.model import SITE, TS, VALUE, VARIABLE, literal_table, to_wide
 from wattloom.operators import cleaning
+from wattloom.operators.intervals import latest
+from wattloom.operators.sequences import day_segment, difference, ordered
 
 RULES = [
     ("click", "Temp_Supply", 5.0, 120.0, 12.31, 1, None),
@@ -157,8 +160,6 @@ def ffill_raw_rows(spark, sf):
         F.concat(F.lit("site_"), F.pmod("user_id", F.lit(10)).cast("string")).alias(SITE), TS,
         F.col("event_type").alias(VARIABLE), "event_id",
         F.when(F.col(VALUE) <= 60, F.col(VALUE)).alias(VALUE))
-    from wattloom.functions.times import floor_time
-
     return cleaning.forward_fill(
         raw, rules(spark, by_alias=False), seq="event_id", segment=floor_time(F.col(TS), "MINUTE"))
 
@@ -175,8 +176,6 @@ def point_correction(spark, sf):
 
 
 def _wide(spark, sf):
-    from wattloom.model import to_wide
-
     return to_wide(grain_readings(spark, sf, sites=2), ["click", "view", "error", "purchase", "signup"])
 
 
@@ -217,8 +216,6 @@ def sensor_adjustment(spark, sf):
         register - lag(register) OVER (PARTITION BY site ORDER BY ts, o_orderkey) AS value FROM r""")
 def cumulative_to_delta(spark, sf):
     """A register that adds up order cents per customer, and the difference that undoes it."""
-    from wattloom.operators.sequences import day_segment, difference, ordered
-
     orders = table(spark, sf, "orders").select(
         F.col("o_custkey").cast("string").alias(SITE), F.col("o_orderdate").alias(TS), "o_orderkey",
         F.round(F.col("o_totalprice") * 100).alias("cents"))
@@ -237,8 +234,8 @@ def on_off_to_bool(spark, sf):
 
 @query("unit_conversions", """
     SELECT event_id, round(32 + 1.8 * value, 6) AS c_to_f, round(value / 3412, 9) AS btuhr_to_kw,
-           round(value * 0.2641729, 6) AS l_to_g, round(32 + value / 10 * 9 / 5, 6) AS tenths_to_f,
-           round((value - 32) * 5 / 9, 6) AS f_to_c, round(1.9438445 * value / 10, 6) AS knots,
+           round(value * 0.2641729, 9) AS l_to_g, round(32 + value / 10 * 9 / 5, 6) AS tenths_to_f,
+           round((value - 32) * 5 / 9, 6) AS f_to_c, round(1.9438445 * value / 10, 10) AS knots,
            round(60 * 8.33 * value * 7 / 1000, 6) AS kbtuh, round(60 * 8.33 * value * 7 / 3412, 6) AS heat_kw,
            round(value * 60, 6) AS per_hour, round(value / (60 * 3.412), 9) AS kwh
     FROM events""")
@@ -249,8 +246,8 @@ def unit_conversions(spark, sf):
     v, seven = F.col(VALUE), F.lit(7)
     return out.select(
         "event_id", rounded("c_to_f").alias("c_to_f"), F.round("btuhr_to_kw", 9).alias("btuhr_to_kw"),
-        rounded("l_to_g").alias("l_to_g"), rounded(units.celsius_tenths_to_fahrenheit(v)).alias("tenths_to_f"),
-        rounded(units.fahrenheit_to_celsius(v)).alias("f_to_c"), rounded(units.mps_tenths_to_knots(v)).alias("knots"),
+        F.round("l_to_g", 9).alias("l_to_g"), rounded(units.celsius_tenths_to_fahrenheit(v)).alias("tenths_to_f"),
+        rounded(units.fahrenheit_to_celsius(v)).alias("f_to_c"), F.round(units.mps_tenths_to_knots(v), 10).alias("knots"),
         rounded(units.water_heat_kbtuh(v, seven)).alias("kbtuh"), rounded(units.water_heat_kw(v, seven)).alias("heat_kw"),
         rounded(units.per_minute_to_per_hour(v)).alias("per_hour"),
         F.round(units.btu_per_hour_to_kwh_per_minute(v), 9).alias("kwh"))
@@ -314,8 +311,6 @@ def outdoor_conditions(spark, sf):
     SELECT o_orderkey, o_orderdate AS ts FROM orders WHERE o_orderkey = (
         SELECT arg_max(o_orderkey, (o_orderdate, o_orderkey)) FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01')""")
 def prepend_last_row(spark, sf):
-    from wattloom.operators.intervals import latest
-
     orders = table(spark, sf, "orders").select("o_orderkey", F.col("o_orderdate").alias(TS), "o_custkey")
     cut = F.lit("2000-01-01").cast("timestamp_ntz")
     stored = latest(orders.where(F.col(TS) < cut).drop("o_custkey"), [])

@@ -59,15 +59,19 @@ def to_wide(long: DataFrame, variables: Sequence[str], keys: Sequence[str] = (SI
     return long.where(F.col(VARIABLE).isin(list(variables))).groupBy(*keys).agg(*cells)
 
 
-def complete_rows(long: DataFrame) -> DataFrame:
+def complete_rows(long: DataFrame, variables: Sequence[str] | None = None) -> DataFrame:
     """Add a NULL row for each variable of a site that lacks a reading at one of its times.
 
     A wide frame has such rows by nature; sparse long readings do not, and operators that count
-    rows (streaks, fill limits, completeness) need them.
+    rows (streaks, fill limits, completeness) need them. The variables are those the site has
+    reported, or the documented ones if they are given.
     """
     moments = long.select(SITE, TS).distinct()
-    variables = long.select(SITE, VARIABLE).distinct()
-    grid = moments.join(variables, SITE)
+    if variables is None:
+        grid = moments.join(long.select(SITE, VARIABLE).distinct(), SITE)
+    else:
+        names = F.array(*[F.lit(v) for v in variables])
+        grid = moments.withColumn(VARIABLE, F.explode(names))
     return grid.join(long, [SITE, TS, VARIABLE], "left").select(SITE, TS, VARIABLE, VALUE)
 
 

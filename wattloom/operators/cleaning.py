@@ -26,12 +26,17 @@ def rules_for(rules: DataFrame, site: str | None = None, system: str | None = No
     return rules
 
 
-def _rule_key(df: DataFrame, rules: DataFrame, variable: str = "variable_name") -> list:
-    """Join condition on the variable, and on the site where the rules name one."""
-    condition = [df[VARIABLE] == rules[variable]]
-    if SITE in rules.columns:
-        condition.append(df[SITE] == rules[SITE])
-    return condition
+def _ruled(df: DataFrame, rules: DataFrame, *columns: str, name: str = "variable_name", how: str = "left") -> DataFrame:
+    """Join the rule of each reading, as ``_r_<column>``; rules without a site hold for every site."""
+    keys = [SITE] if SITE in rules.columns else []
+    right = rules.select(
+        *[F.col(k).alias(f"_k_{k}") for k in keys], F.col(name).alias("_k_name"),
+        *[F.col(c).alias(f"_r_{c}") for c in columns])
+    condition = F.col(VARIABLE) == F.col("_k_name")
+    for k in keys:
+        condition = condition & (F.col(k) == F.col(f"_k_{k}"))
+    joined = df.join(right, condition, how)
+    return joined if how == "left_semi" else joined.drop("_k_name", *[f"_k_{k}" for k in keys])
 
 
 def rename_by_rules(df: DataFrame, rules: DataFrame) -> DataFrame:
@@ -42,9 +47,8 @@ def rename_by_rules(df: DataFrame, rules: DataFrame) -> DataFrame:
     names = rules.where(F.col("variable_name").isNotNull() & F.col("variable_alias").isNotNull())
     keys = [SITE] if SITE in rules.columns else []
     names = names.select(*keys, "variable_alias", "variable_name").distinct()
-    rest = [c for c in df.columns if c != VARIABLE]
-    renamed = df.join(names, _rule_key(df, names, "variable_alias")).select(
-        *[df[c] for c in rest], names["variable_name"].alias(VARIABLE))
+    renamed = _ruled(df, names, "variable_name", name="variable_alias", how="inner").withColumn(
+        VARIABLE, F.col("_r_variable_name"))
     filled = renamed.groupBy(SITE, TS).agg(F.count(VALUE).alias("_n")).where("_n > 0").drop("_n")
     return renamed.join(filled, [SITE, TS], "left_semi").select(*df.columns)
 
@@ -95,22 +99,16 @@ def add_local_time(df: DataFrame, sites: DataFrame, ts: str = "time_utc", out: s
 
 def outliers_to_null(df: DataFrame, rules: DataFrame) -> DataFrame:
     """Values outside ``[lower_bound, upper_bound]`` become NULL; either bound may be missing."""
-    inf = float("inf")
-    low = F.coalesce(rules["lower_bound"].cast("double"), F.lit(-inf))
-    high = F.coalesce(rules["upper_bound"].cast("double"), F.lit(inf))
-    outside = (df[VALUE] < low) | (df[VALUE] > high)
-    return _with_rules(df, rules, F.when(outside, None).otherwise(df[VALUE]))
+    low, high = F.col("_r_lower_bound").cast("double"), F.col("_r_upper_bound").cast("double")
+    value = F.when(F.col(VALUE) < low, None).when(F.col(VALUE) > high, None).otherwise(F.col(VALUE))
+    return _ruled(df, rules, "lower_bound", "upper_bound").withColumn(VALUE, value).select(*df.columns)
 
 
 def sentinel_to_null(df: DataFrame, rules: DataFrame) -> DataFrame:
     """Values equal to the rule's ``error_value`` become NULL."""
-    hit = df[VALUE] == rules["error_value"].cast("double")
-    return _with_rules(df, rules, F.when(hit, None).otherwise(df[VALUE]))
-
-
-def _with_rules(df: DataFrame, rules: DataFrame, value: Column) -> DataFrame:
-    joined = df.join(rules, _rule_key(df, rules), "left")
-    return joined.select(*[value.alias(VALUE) if c == VALUE else df[c] for c in df.columns])
+    hit = F.col(VALUE) == F.col("_r_error_value").cast("double")
+    return _ruled(df, rules, "error_value").withColumn(
+        VALUE, F.when(hit, None).otherwise(F.col(VALUE))).select(*df.columns)
 
 
 def forward_fill(
@@ -124,14 +122,20 @@ def forward_fill(
     """Fill gaps per rule: ``changepoint`` 1 without limit, 0 for ``ffill_length`` rows, else none.
 
     ``seed`` holds the last stored value per ``(site, variable)``. It fills the first row of a series
-    if that row is empty. ``seq`` breaks ties of equal times. The fill limit counts rows, so
+    that has a rule, if that row is empty; a seeded variable that is absent from ``df`` is added as an
+    empty series first. ``seq`` breaks ties of equal times. The fill limit counts rows, so
     the latest value is carried with the number of rows since it: one pass serves every limit.
     """
     order = [TS] if seq is None else [TS, seq]
     segment = hour_segment() if segment is None else segment
     start = df
     if seed is not None:
-        stored = seed.select(SITE, VARIABLE, F.col(VALUE).alias("_seed"))
+        ruled = rules.where("changepoint IS NOT NULL OR ffill_length IS NOT NULL")
+        stored = _ruled(seed, ruled, how="left_semi").select(
+            SITE, VARIABLE, F.col(VALUE).alias("_seed"))
+        absent = seed.select(SITE, VARIABLE).join(df.select(SITE, VARIABLE).distinct(), [SITE, VARIABLE], "left_anti")
+        empty = df.select(SITE, *order).distinct().join(absent, SITE).withColumn(VALUE, F.lit(None).cast("double"))
+        start = df = df.unionByName(empty, allowMissingColumns=True)
         heads = df.groupBy(SITE, VARIABLE).agg(F.min(F.struct(*order)).alias("_head"))
         seeds = heads.join(stored, [SITE, VARIABLE]).select(
             SITE, VARIABLE, *[F.col(f"_head.{c}").alias(c) for c in order], "_seed")
@@ -141,11 +145,10 @@ def forward_fill(
         start, (SITE, VARIABLE), order, segment,
         last={"_latest": F.col(VALUE)}, rows_since={"_age": F.col(VALUE).isNotNull()},
     )
-    change, limit = rules["changepoint"].cast("int"), rules["ffill_length"].cast("int")
-    filled = F.when((change == 1) | ((change == 0) & (carried["_age"] <= limit)), carried["_latest"])
-    joined = carried.join(rules, _rule_key(carried, rules), "left")
-    value = F.coalesce(carried[VALUE], filled)
-    return joined.select(*[value.alias(VALUE) if c == VALUE else carried[c] for c in df.columns])
+    change, limit = F.col("_r_changepoint").cast("int"), F.col("_r_ffill_length").cast("int")
+    may_fill = (change == 1) | ((change == 0) & (F.col("_age") <= limit))
+    value = F.coalesce(F.col(VALUE), F.when(may_fill, F.col("_latest")))
+    return _ruled(carried, rules, "changepoint", "ffill_length").withColumn(VALUE, value).select(*df.columns)
 
 
 def correct_points(df: DataFrame, corrections: DataFrame) -> DataFrame:
