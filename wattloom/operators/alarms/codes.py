@@ -108,6 +108,15 @@ def parse(rules: DataFrame, tag: str, defaults: Defaults, *, ranged: bool = Fals
         choose(low, 0).alias("bound"), choose(high, 1).alias("bound2"))
 
 
+def one_per_variable(parsed: DataFrame) -> DataFrame:
+    """Fail when a variable has two codes of a tag that allows one."""
+    keys = [*([SITE] if SITE in parsed.columns else []), VARIABLE, "tag"]
+    problem = F.concat(F.lit("Multiple alarm codes of "), F.col("tag"), F.lit(" for "), F.col(VARIABLE))
+    counted = parsed.groupBy(*keys).agg(
+        F.when(F.count(F.lit(1)) > 1, F.raise_error(F.max(problem)).cast("boolean")).otherwise(F.lit(True)).alias("_one"))
+    return parsed.join(counted, keys).where("_one").drop("_one")
+
+
 def boundary(rules: DataFrame, default_rows: int = 15) -> DataFrame:
     """Boundary rules come from the columns ``low_alarm``, ``high_alarm`` and ``fault_time``."""
     for needed in ("variable_name", "high_alarm", "low_alarm"):

@@ -51,13 +51,13 @@ def _value_rules(parsed: DataFrame, kind: str, need: int, low: Column, high: Col
 
 
 def temp_range_rules(rules: DataFrame, low: float = 115, high: float = 130, rows: int = 10) -> DataFrame:
-    parsed = codes.parse(rules, text.TEMP_RANGE, {"Temp": (low, high)}, ranged=True)
+    parsed = codes.one_per_variable(codes.parse(rules, text.TEMP_RANGE, {"Temp": (low, high)}, ranged=True))
     return _value_rules(parsed, "outside", rows, F.col("bound"), F.col("bound2"))
 
 
 def blown_fuse_rules(rules: DataFrame, threshold: float = 1.0, margin: float = 2.0, draw: float = 30,
                      rows: int = 3) -> DataFrame:
-    parsed = codes.parse(rules, text.BLOWN_FUSE, {"PowerIn": draw})
+    parsed = codes.one_per_variable(codes.parse(rules, text.BLOWN_FUSE, {"PowerIn": draw}))
     return _value_rules(parsed, "between", rows, F.lit(threshold), F.col("bound") - margin)
 
 
@@ -220,7 +220,8 @@ def daily_shares(daily: DataFrame, members: DataFrame, grain: str = "MINUTE") ->
 
 
 def abnormal_cop(daily: DataFrame, rules: DataFrame, low: float = 1.5, high: float = 5.5) -> DataFrame:
-    parsed = codes.parse(rules, text.ABNORMAL_COP, {"COP": (low, high), "SystemCOP": (low, high)}, ranged=True)
+    parsed = codes.one_per_variable(
+        codes.parse(rules, text.ABNORMAL_COP, {"COP": (low, high), "SystemCOP": (low, high)}, ranged=True))
     odd = codes.attach(daily, parsed).where((F.col(VALUE) > F.col("bound2")) | (F.col(VALUE) < F.col("bound")))
     odd = odd.withColumn("actual", F.when(F.abs(F.col(VALUE)) < float("inf"), F.round(VALUE, 2)).otherwise(F.col(VALUE)))
     return _alarm(odd, text.ABNORMAL_COP, F.col(TS), F.col(TS) + step("DAY"), F.col(VARIABLE),
@@ -289,7 +290,7 @@ def outage_by_share(daily: DataFrame, rules: DataFrame, flagged: DataFrame, shar
 def short_cycle(minute: DataFrame, rules: DataFrame, threshold: float = 1.0, rows: int = 15,
                 grain: str = "MINUTE") -> DataFrame:
     """On-runs shorter than ``rows``; a run may cross midnight, so the series is cut into segments."""
-    parsed = codes.parse(rules, text.SHORT_CYCLE, {"PowerIn": threshold})
+    parsed = codes.one_per_variable(codes.parse(rules, text.SHORT_CYCLE, {"PowerIn": threshold}))
     joined = codes.attach(minute, parsed).select(
         SITE, VARIABLE, TS, "pretty", (F.col(VALUE) > F.col("bound")).alias("on"))
     found = sequences.short_runs(joined, "on", rows, [SITE, VARIABLE, "pretty"], segment=sequences.day_segment())
