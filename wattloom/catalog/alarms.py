@@ -8,6 +8,8 @@ from wattloom.catalog.tables import grain_readings, grain_sql, table
 from wattloom.functions.times import floor_time
 from wattloom.model import SITE, TS, VALUE, VARIABLE, complete_rows, literal_table
 from wattloom.operators import alarms
+from wattloom.operators.alarms import codes, detectors
+from wattloom.session import cut_lineage
 
 SENSORS = {
     "click": "PowerIn_HPWH1", "error": "PowerIn_SwingTank1", "purchase": "PowerIn_Total",
@@ -25,11 +27,16 @@ RULES = [
 NAME = "CASE variable " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in SENSORS.items()) + " END"
 
 
-def plant(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Readings, daily means and rules of two sites."""
+def plant(spark, sf, shared: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Readings, daily means and rules of two sites.
+
+    ``shared`` stores the hour slots once, for queries whose branches would each derive them again.
+    """
     hours = grain_readings(spark, sf, sites=2)
     labels = F.create_map(*[F.lit(x) for pair in SENSORS.items() for x in pair])
     minute = complete_rows(hours.withColumn(VARIABLE, F.element_at(labels, F.col(VARIABLE))))
+    if shared:
+        minute = cut_lineage(minute)
     daily = minute.groupBy(SITE, VARIABLE, floor_time(F.col(TS), "DAY").alias(TS)).agg(F.avg(VALUE).alias(VALUE))
     rules = literal_table(
         spark, RULES,
@@ -93,7 +100,7 @@ TEMP_SQL = [streak_sql("SELECT site, day, ts, t < 20 OR t > 90 AS mask FROM wide
 FUSE_SQL = [streak_sql("SELECT site, day, ts, p > 1 AND p < 58 AS mask FROM wide", 3, "BLWNFSE", "PowerIn_HPWH1")]
 INLET_SQL = [streak_sql("SELECT site, day, ts, p > 20 AND t > 30 AS mask FROM wide", 3, "HPINLET", "Temp_HPWH1_Outlet")]
 OUTLET_SQL = [streak_sql(
-    """SELECT site, day, ts, q > 0 AND coalesce(on_, FALSE) AND nth > 10 AND t < 70 AS mask FROM (
+    """SELECT site, day, ts, q > 0 AND coalesce(on_, FALSE) AND nth > 2 AND t < 70 AS mask FROM (
         SELECT *, 1 AS q, row_number() OVER (PARTITION BY site, day, on_, isl ORDER BY ts) AS nth FROM (
             SELECT *, row_number() OVER (PARTITION BY site, day ORDER BY ts)
                     - row_number() OVER (PARTITION BY site, day, on_ ORDER BY ts) AS isl
@@ -160,8 +167,6 @@ def boundary_alarm(spark, sf):
         'Temperature out of range: outlet was outside 20.0-90.0 F for ' || n || ' consecutive minutes starting at '
         || strftime(s, '%Y-%m-%d %H:%M:%S') || '.' AS event_detail FROM a""")
 def temp_range_alarm(spark, sf):
-    from wattloom.operators.alarms import detectors
-
     minute, daily, rules = plant(spark, sf)
     return detectors.on_days_of(
         detectors.value_streaks(minute, detectors.temp_range_rules(rules, rows=2), GRAIN), daily)
@@ -181,19 +186,20 @@ def pair_alarm(spark, sf):
 
 @query("outlet_alarm", merged_sql(*OUTLET_SQL))
 def outlet_alarm(spark, sf):
+    """With a warm-up of two rows, as runs of ten hours are rare here."""
     minute, daily, rules = plant(spark, sf)
-    return _shown(alarms.flag_outlet_temp(minute, daily, rules, rows=1, grain=GRAIN))
+    return _shown(alarms.flag_outlet_temp(minute, daily, rules, rows=1, warmup=2, grain=GRAIN))
 
 
 @query("tm_setpoint_alarm", merged_sql(*TM_SQL))
 def tm_setpoint_alarm(spark, sf):
-    minute, daily, rules = plant(spark, sf)
+    minute, daily, rules = plant(spark, sf, shared=True)
     return _shown(alarms.flag_tm_setpoint(minute, daily, rules, grain=GRAIN))
 
 
 @query("backup_use_alarm", merged_sql(*BACKUP_SQL))
 def backup_use_alarm(spark, sf):
-    minute, daily, rules = plant(spark, sf)
+    minute, daily, rules = plant(spark, sf, shared=True)
     return _shown(alarms.flag_backup_use(minute, daily, rules, grain=GRAIN))
 
 
@@ -217,7 +223,7 @@ def rolling_block_share(spark, sf):
 
 @query("low_share_7d", merged_sql(*OUTAGE_SQL, setup=BLOCKS))
 def low_share_7d(spark, sf):
-    minute, daily, rules = plant(spark, sf)
+    minute, daily, rules = plant(spark, sf, shared=True)
     return _shown(alarms.flag_outage(minute, daily, rules))
 
 
@@ -227,7 +233,7 @@ def low_share_7d(spark, sf):
         FROM wd WHERE ts >= TIMESTAMP '2024-01-13' WINDOW w AS (PARTITION BY site ORDER BY ts ROWS BETWEEN 6 PRECEDING AND CURRENT ROW))
     WHERE k7 = 7 AND p7 < t7 * 0.98"""))
 def block_share_with_stored_days(spark, sf):
-    minute, daily, rules = plant(spark, sf)
+    minute, daily, rules = plant(spark, sf, shared=True)
     cut = F.lit("2024-01-20").cast("timestamp_ntz")
     return _shown(alarms.flag_outage(
         minute, daily.where(F.col(TS) >= cut), rules, stored=daily.where(F.col(TS) < cut)))
@@ -241,7 +247,7 @@ def short_cycle_alarm(spark, sf):
 
 @query("mode_transitions", merged_sql(*CHANGE_SQL, setup=CHANGE_SETUP))
 def mode_transitions(spark, sf):
-    minute, daily, rules = plant(spark, sf)
+    minute, daily, rules = plant(spark, sf, shared=True)
     return _shown(alarms.flag_soo_change(minute, daily, rules, schedule(spark, sf), grain=GRAIN))
 
 
@@ -256,7 +262,7 @@ ALL_SQL = [
     streak_sql("SELECT site, day, ts, t < 20 OR t > 90 AS mask FROM wide", 10, "TMPRANG", "Temp_HPWH1_Outlet"),
     *FUSE_SQL,
     streak_sql("SELECT site, day, ts, p > 20 AND t > 30 AS mask FROM wide", 5, "HPINLET", "Temp_HPWH1_Outlet"),
-    OUTLET_SQL[0].replace("nth = 1)", "nth = 5)").replace("to_hours(0)", "to_hours(4)").replace("count(*) >= 1", "count(*) >= 5"),
+    OUTLET_SQL[0].replace("nth > 2", "nth > 10").replace("nth = 1)", "nth = 5)").replace("to_hours(0)", "to_hours(4)").replace("count(*) >= 1", "count(*) >= 5"),
     *TM_SQL, *BACKUP_SQL, *BALANCE_SQL, *COP_SQL, *RATIO_SQL, *OUTAGE_SQL,
     SHORT_SQL[0].replace("count(*) < 3", "count(*) < 15"), *CHANGE_SQL, *MISMATCH_SQL,
 ]
@@ -264,7 +270,7 @@ ALL_SQL = [
 
 @query("all_alarms", merged_sql(*ALL_SQL, setup=BLOCKS + CHANGE_SETUP + MISMATCH_SETUP.replace(SCHEDULE + ",", "").replace(", ,", ",")))
 def all_alarms(spark, sf):
-    minute, daily, rules = plant(spark, sf)
+    minute, daily, rules = plant(spark, sf, shared=True)
     return _shown(alarms.all_alarms(minute, daily, rules, schedule(spark, sf), grain=GRAIN))
 
 
@@ -274,8 +280,6 @@ def all_alarms(spark, sf):
            CASE WHEN p_size % 2 = 0 THEN CAST(p_size + 20 AS DOUBLE) ELSE 130.0 END AS bound2 FROM part""")
 def alarm_codes(spark, sf):
     """Parsing of a rule table with one rule per part."""
-    from wattloom.operators.alarms import codes
-
     size = F.col("p_size")
     code = F.when(size % 2 == 0, F.concat(F.lit("OTHER:1; TMPRANG:"), size, F.lit("-"), size + 20)).otherwise("TMPRANG")
     rules = table(spark, sf, "part").select(

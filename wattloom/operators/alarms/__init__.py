@@ -34,16 +34,16 @@ def flag_blown_fuse(minute, daily, rules, threshold=1.0, margin=2.0, draw=30, ro
     return merge_alarms(_value(minute, daily, value_rules, grain))
 
 
-def _pair(minute, daily, pairs, grain) -> DataFrame:
-    return d.on_days_of(d.pair_streaks(minute, pairs, grain), daily)
+def _pair(minute, daily, pairs, grain, warmup: int = 10) -> DataFrame:
+    return d.on_days_of(d.pair_streaks(minute, pairs, grain, warmup), daily)
 
 
 def flag_inlet_temp(minute, daily, rules, power=1.0, temp=115.0, rows=5, system=None, grain="MINUTE") -> DataFrame:
     return merge_alarms(_pair(minute, daily, d.inlet_rules(_rules(rules, system), power, temp, rows), grain))
 
 
-def flag_outlet_temp(minute, daily, rules, power=1.0, temp=140.0, rows=5, system=None, grain="MINUTE") -> DataFrame:
-    return merge_alarms(_pair(minute, daily, d.outlet_rules(_rules(rules, system), power, temp, rows), grain))
+def flag_outlet_temp(minute, daily, rules, power=1.0, temp=140.0, rows=5, warmup=10, system=None, grain="MINUTE") -> DataFrame:
+    return merge_alarms(_pair(minute, daily, d.outlet_rules(_rules(rules, system), power, temp, rows), grain, warmup))
 
 
 def flag_tm_setpoint(minute, daily, rules, rows=3, setpoint=130.0, power=1.0, share=0.4, system=None, grain="MINUTE") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from wattloom.model import SITE, VARIABLE
 from wattloom.operators.alarms import text
@@ -10,59 +10,43 @@ from wattloom.operators.alarms import text
 Defaults = Mapping[str, float | tuple[float, float] | None]
 
 
-def _fail(condition: Column, problem: Column, otherwise: Column) -> Column:
-    return F.when(condition, F.raise_error(problem).cast("string")).otherwise(otherwise)
-
-
-def _default(defaults: Defaults, role: Column, place: int) -> Column:
-    found = F.lit(None).cast("double")
-    for name, value in defaults.items():
-        one = value[place] if isinstance(value, tuple) else value
-        if one is not None:
-            found = F.when(role == name, F.lit(float(one))).otherwise(found)
-    return found
-
-
-def _prefix_role(variable: Column, element: bool) -> tuple[Column, Column]:
-    """The role is the name's prefix, ``PowerIn_Total`` a role of its own."""
-    parts = F.split(variable, "_")
-    bare = (F.size(parts) <= 1) & (variable != "SystemCOP")
-    total = (parts[0] == "PowerIn") & (F.try_element_at(parts, F.lit(2)) == "Total")
-    role = _fail(bare, F.concat(F.lit("Improper variable name for "), variable), F.when(total, "PowerIn_Total").otherwise(parts[0]))
-    if not element:
-        return role, F.lit("No ID")
-    rest = F.regexp_replace(F.regexp_replace(variable, "^[^_]*_?", ""), text.ELEMENT_SUFFIXES, "")
-    return role, F.when(total, "No ID").otherwise(rest)
-
-
-def _ratio_role(variable: Column) -> tuple[Column, Column]:
-    """Heat pumps are one group, all other power the other."""
-    parts = F.split(variable, "_")
-    wrong = (F.size(parts) <= 1) | (parts[0] != "PowerIn")
-    total = F.try_element_at(parts, F.lit(2)) == "Total"
-    role = _fail(wrong, F.concat(variable, F.lit(" is not a power variable")), F.when(total, "PowerIn_Total").otherwise("PowerIn"))
-    return role, F.when(variable.contains("_HPWH") & ~total, "HPWH").otherwise("Total")
-
-
-def _code_role(code: Column) -> tuple[Column, Column]:
-    """Role and element come from the code: ``TAG_TYPE`` or ``TAG_TYPE_ID``."""
-    parts = F.split(code, "_")
-    wrong = ~F.size(parts).isin(2, 3)
-    role = _fail(wrong, F.concat(F.lit("improper alarm code format "), code), F.try_element_at(parts, F.lit(2)))
-    return role, F.coalesce(F.try_element_at(parts, F.lit(3)), F.lit("No ID"))
-
-
-def _change_role(variable: Column, code: Column) -> tuple[Column, Column]:
-    """A power variable by name, a temperature's ON/OFF and mode by code."""
-    unit = F.split(variable, "_")[0]
-    role, mode = _code_role(code)
-    named = F.when(unit == "PowerIn", "PowerIn").when(unit == "Temp", role).otherwise(
-        F.raise_error(F.concat(unit, F.lit(" is not a proper unit type"))).cast("string"))
-    return named, F.when(unit == "Temp", mode).otherwise("No ID")
-
-
-def parse(rules: DataFrame, tag: str, defaults: Defaults, *, ranged: bool = False, roles: str = "prefix",
-          element: bool = False) -> DataFrame:
+# SQL for the role and the element of a code, from `variable` and `code`.
+_UNIT, _SECOND = "split(variable, '_')[0]", "try_element_at(split(variable, '_'), 2)"
+_IS_TOTAL = f"({_UNIT} = 'PowerIn' AND coalesce({_SECOND}, '') = 'Total')"
+_NO_UNIT = "size(split(variable, '_')) <= 1"
+_FROM_CODE = ("CASE WHEN size(split(code, '_')) NOT IN (2, 3) THEN raise_error('improper alarm code format ' || code) "
+              "ELSE try_element_at(split(code, '_'), 2) END")
+_ID_FROM_CODE = "coalesce(try_element_at(split(code, '_'), 3), 'No ID')"
+_STRIPPED = f"regexp_replace(regexp_replace(variable, '^[^_]*_?', ''), '{text.ELEMENT_SUFFIXES}', '')"
+_PREFIX = (f"CASE WHEN {_NO_UNIT} AND variable <> 'SystemCOP' THEN raise_error('Improper variable name for ' || variable) "
+           f"WHEN {_IS_TOTAL} THEN 'PowerIn_Total' ELSE {_UNIT} END")
+
+ROLES = {
+    # the name's prefix; PowerIn_Total is a role of its own
+    "prefix": (_PREFIX, "'No ID'"),
+    "element": (_PREFIX, f"CASE WHEN {_IS_TOTAL} THEN 'No ID' ELSE {_STRIPPED} END"),
+    # power only: heat pumps are one group, all other power the other
+    "ratio": (
+        f"CASE WHEN {_NO_UNIT} OR {_UNIT} <> 'PowerIn' THEN raise_error(variable || ' is not a power variable') "
+        f"WHEN {_IS_TOTAL} THEN 'PowerIn_Total' ELSE 'PowerIn' END",
+        f"CASE WHEN variable LIKE '%\\_HPWH%' AND NOT {_IS_TOTAL} THEN 'HPWH' ELSE 'Total' END"),
+    # TAG_TYPE or TAG_TYPE_ID
+    "code": (_FROM_CODE, _ID_FROM_CODE),
+    # a power variable by name, a temperature's ON/OFF and mode by code
+    "change": (
+        f"CASE {_UNIT} WHEN 'PowerIn' THEN 'PowerIn' WHEN 'Temp' THEN {_FROM_CODE} "
+        f"ELSE raise_error({_UNIT} || ' is not a proper unit type') END",
+        f"CASE {_UNIT} WHEN 'Temp' THEN {_ID_FROM_CODE} ELSE 'No ID' END"),
+}
+
+
+def _default(defaults: Defaults, place: int) -> str:
+    found = {role: v[place] if isinstance(v, tuple) else v for role, v in defaults.items()}
+    arms = " ".join(f"WHEN '{role}' THEN double({v})" for role, v in found.items() if v is not None)
+    return f"CASE role {arms} END" if arms else "double(NULL)"
+
+
+def parse(rules: DataFrame, tag: str, defaults: Defaults, *, ranged: bool = False, roles: str = "prefix") -> DataFrame:
     """One row per code of ``tag``: ``variable, pretty, tag, role, element, bound, bound2[, site]``.
 
     A code without a bound takes the default of its role; a bound that is no number is NULL.
@@ -71,41 +55,28 @@ def parse(rules: DataFrame, tag: str, defaults: Defaults, *, ranged: bool = Fals
     for needed in ("variable_name", "alarm_codes"):
         if needed not in rules.columns:
             raise ValueError(f"{needed} is not present in the rule table")
-    keys = [SITE] if SITE in rules.columns else []
-    pretty = F.coalesce("pretty_name", "variable_name") if "pretty_name" in rules.columns else F.col("variable_name")
-    codes = (
-        rules.where(F.col("variable_name").isNotNull() & F.col("alarm_codes").contains(tag))
-        .select(*keys, F.col("variable_name").alias("variable"), pretty.alias("pretty"),
-                F.explode(F.split("alarm_codes", ";")).alias("code"))
-        .withColumn("code", F.trim("code"))
-        .where(F.col("code").startswith(tag))
-        .withColumn("_parts", F.split("code", ":"))
-    )
-    code = _fail(F.size("_parts") > 2, F.concat(F.lit("Improperly formated alarm code : "), F.col("code")), F.col("_parts")[0])
-    given = F.size("_parts") == 2
-    bounds = F.try_element_at("_parts", F.lit(2))
-    codes = codes.select(*keys, "variable", "pretty", code.alias("code"), given.alias("_given"), bounds.alias("_bounds"))
-    if roles == "prefix":
-        role, ident = _prefix_role(F.col("variable"), element)
-    elif roles == "ratio":
-        role, ident = _ratio_role(F.col("variable"))
-    elif roles == "code":
-        role, ident = _code_role(F.col("code"))
-    elif roles == "change":
-        role, ident = _change_role(F.col("variable"), F.col("code"))
-    else:
+    if roles not in ROLES:
         raise ValueError(f"unknown role source {roles!r}")
-    low, high = F.col("_bounds"), F.lit(None).cast("string")
+    keys = [SITE] if SITE in rules.columns else []
+    role, element = ROLES[roles]
+    pretty = "coalesce(pretty_name, variable_name)" if "pretty_name" in rules.columns else "variable_name"
+    codes = rules.where(f"variable_name IS NOT NULL AND contains(alarm_codes, '{tag}')").selectExpr(
+        *keys, "variable_name AS variable", f"{pretty} AS pretty",
+        f"explode(filter(transform(split(alarm_codes, ';'), c -> trim(c)), c -> startswith(c, '{tag}'))) AS _full")
+    low, high = "_bounds", "string(NULL)"
     if ranged:
-        pair = F.split("_bounds", "-")
-        low = _fail(F.col("_given") & (F.size(pair) != 2),
-                    F.concat(F.lit("Expected bound range [number]-[number] in "), F.col("_bounds")), pair[0])
-        high = F.try_element_at(pair, F.lit(2))
-    named = codes.withColumns({"role": role, "element": ident})
-    choose = lambda c, i: F.when(F.col("_given"), c.try_cast("double")).otherwise(_default(defaults, F.col("role"), i))
-    return named.select(
-        *keys, "variable", "pretty", F.lit(tag).alias("tag"), "role", "element",
-        choose(low, 0).alias("bound"), choose(high, 1).alias("bound2"))
+        low = ("CASE WHEN size(split(_bounds, '-')) <> 2 THEN raise_error('Expected bound range [number]-[number] in ' || _bounds) "
+               "ELSE split(_bounds, '-')[0] END")
+        high = "try_element_at(split(_bounds, '-'), 2)"
+    split_up = codes.selectExpr(
+        *keys, "variable", "pretty",
+        "CASE WHEN size(split(_full, ':')) > 2 THEN raise_error('Improperly formated alarm code : ' || _full) "
+        "ELSE split(_full, ':')[0] END AS code", "try_element_at(split(_full, ':'), 2) AS _bounds")
+    named = split_up.selectExpr(*keys, "variable", "pretty", "_bounds", f"{role} AS role", f"{element} AS element")
+    return named.selectExpr(
+        *keys, "variable", "pretty", f"'{tag}' AS tag", "role", "element",
+        f"CASE WHEN _bounds IS NULL THEN {_default(defaults, 0)} ELSE try_cast({low} AS double) END AS bound",
+        f"CASE WHEN _bounds IS NULL THEN {_default(defaults, 1)} ELSE try_cast({high} AS double) END AS bound2")
 
 
 def one_per_variable(parsed: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from wattloom.functions.times import floor_time, step
 from wattloom.model import SITE, TS, VALUE, VARIABLE, differs, ratio
 from wattloom.operators import sequences
 from wattloom.operators.alarms import codes, text
-from wattloom.operators.alarms.text import HIGH, LOW, MEDIUM, message
+from wattloom.operators.alarms.text import HIGH, LOW, MEDIUM, message, message_sql
 from wattloom.operators.intervals import inside
 
 DAY = "day"
@@ -73,23 +73,17 @@ def outage_flag_rules(rules: DataFrame) -> DataFrame:
 
 def value_streaks(minute: DataFrame, value_rules: DataFrame, grain: str = "MINUTE") -> DataFrame:
     """Streaks of one variable for every rule of this shape, in one pass over the readings."""
-    v, low, high = F.col(VALUE), F.col("low"), F.col("high")
-    mask = (
-        F.when(F.col("kind") == "below", v < low)
-        .when(F.col("kind") == "above", v > high)
-        .when(F.col("kind") == "outside", (v < low) | (v > high))
-        .when(F.col("kind") == "between", (v > low) & (v < high))
-        .when(F.col("kind") == "differs", differs(v, low))
-    )
+    mask = F.expr("""CASE kind WHEN 'below' THEN value < low WHEN 'above' THEN value > high
+        WHEN 'outside' THEN value < low OR value > high WHEN 'between' THEN value > low AND value < high
+        WHEN 'differs' THEN NOT (value <=> low) END""")
     joined = codes.attach(with_day(minute), value_rules.where("need >= 1")).withColumn("hit", mask)
     found = sequences.streaks(
         joined, "hit", F.col("need"), [SITE, VARIABLE, "tag", "kind", DAY], grain=grain,
         first={"low": F.col("low"), "high": F.col("high"), "pretty": F.col("pretty")},
         trigger={"actual": F.col(VALUE)})
-    detail = F.lit(None).cast("string")
-    for tag in (text.BOUNDARY, text.TEMP_RANGE, text.BLOWN_FUSE, text.TM_SETPOINT, text.BACKUP, text.OUTAGE):
-        doubles = () if tag == text.BLOWN_FUSE else ("low", "high", "actual")
-        detail = F.when(F.col("tag") == tag, message(tag, doubles)).otherwise(detail)
+    tags = (text.BOUNDARY, text.TEMP_RANGE, text.BLOWN_FUSE, text.TM_SETPOINT, text.BACKUP, text.OUTAGE)
+    detail = F.expr("CASE tag " + " ".join(
+        f"WHEN '{tag}' THEN {message_sql(tag, ('low', 'high', 'actual'))}" for tag in tags) + " END")
     return _alarm(found, F.col("tag"), F.col("start"), F.col("end") + step(grain), F.col(VARIABLE), detail, HIGH)
 
 
@@ -98,7 +92,7 @@ def value_streaks(minute: DataFrame, value_rules: DataFrame, grain: str = "MINUT
 def pair_rules(rules: DataFrame, tag: str, power: float, temp: float, rows: int) -> DataFrame:
     """One row per element with its power and temperature variable and bounds."""
     strict = tag != text.TM_SETPOINT
-    parsed = codes.parse(rules, tag, {"PowerIn": power, "Temp": temp}, element=True).where(
+    parsed = codes.parse(rules, tag, {"PowerIn": power, "Temp": temp}, roles="element").where(
         F.col("role").isin("PowerIn", "Temp"))
     keys = [SITE] if SITE in parsed.columns else []
     is_power, is_temp = F.col("role") == "PowerIn", F.col("role") == "Temp"

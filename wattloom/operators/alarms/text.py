@@ -1,5 +1,7 @@
 """Fixed values of the alarm detectors: tags, defaults, mode names and message formats."""
 
+import string
+
 from pyspark.sql import Column, functions as F
 
 BOUNDARY = "BOUNDRY"
@@ -55,33 +57,30 @@ MESSAGES = {
 }
 
 
-def number(value: Column) -> Column:
+def _number(name: str) -> str:
     """A double as the messages show it: missing is ``nan``, infinity ``inf``."""
-    inf = float("inf")
-    return (
-        F.when(value.isNull(), "nan").when(value == inf, "inf").when(value == -inf, "-inf")
-        .otherwise(value.cast("string"))
-    )
-
+    return (f"CASE WHEN {name} IS NULL THEN 'nan' WHEN {name} = double('Infinity') THEN 'inf' "
+            f"WHEN {name} = double('-Infinity') THEN '-inf' ELSE string({name}) END")
 
-def message(name: str, doubles: tuple[str, ...] = ()) -> Column:
-    """The message as a column; ``doubles`` are shown by :func:`number`, times as text."""
-    import string
 
-    parts: list[Column] = []
+def message_sql(name: str, doubles: tuple[str, ...] = ()) -> str:
+    """The message as a SQL expression; ``doubles`` are shown as numbers, times as text."""
+    parts = []
     for literal, field, spec, _ in string.Formatter().parse(MESSAGES[name]):
         if literal:
-            parts.append(F.lit(literal))
+            parts.append("'" + literal.replace("'", "\\'") + "'")
         if field is None:
             continue
         if spec:
-            # null formats as "nan", as a missing number does
-            shown = F.coalesce(F.format_string(f"%{spec}", F.col(field)), F.lit("nan"))
-            parts.append(F.when(F.col(field).isNull(), "nan").otherwise(shown))
+            parts.append(f"CASE WHEN {field} IS NULL THEN 'nan' ELSE format_string('%{spec}', {field}) END")
         elif field in doubles:
-            parts.append(number(F.col(field)))
+            parts.append(_number(field))
         elif field == "start":
-            parts.append(F.date_format(F.col(field), "yyyy-MM-dd HH:mm:ss"))
+            parts.append("date_format(start, 'yyyy-MM-dd HH:mm:ss')")
         else:
-            parts.append(F.col(field).cast("string"))
-    return F.concat(*parts)
+            parts.append(f"string({field})")
+    return f"concat({', '.join(parts)})"
+
+
+def message(name: str, doubles: tuple[str, ...] = ()) -> Column:
+    return F.expr(message_sql(name, doubles))

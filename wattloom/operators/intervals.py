@@ -16,37 +16,37 @@ def merge_touching(
     *,
     start: str = "start",
     end: str = "end",
-    tie: Sequence[str] = (),
-    first: Sequence[str] = (),
+    detail: str | None = None,
     segment: Column | None = None,
 ) -> DataFrame:
     """Merge intervals of a key; ``touches`` tells whether a row joins what came before.
 
-    It may use the row's columns and ``_reach``, the latest end so far. ``first`` columns are taken
-    from the earliest row. Equal ``(start, end, tie)`` rows collapse first, which bounds the copies
-    of a hot interval before anything is sorted.
+    It may use the row's columns and ``_reach``, the latest end so far. Intervals of one key and start
+    collapse to the longest first, so copies of a hot interval never reach the sort: without
+    ``segment`` a key's window then holds at most one row per distinct start time. ``detail`` is taken
+    from the earliest interval.
     """
-    keys, order = list(keys), [start, end, *tie]
-    picked = [c for c in first if c not in order]
-    distinct = intervals.groupBy(*keys, *order).agg(*[F.min(c).alias(c) for c in picked]) if picked else (
-        intervals.select(*keys, *order).distinct())
-    seg = floor_time(F.col(start), "DAY") if segment is None else segment
-    reached = ordered(distinct, keys, order, seg, highest_before={"_reach": F.col(end)})
+    keys = list(keys)
+    picked = [] if detail is None else [F.min(detail).alias(detail)]
+    longest = intervals.groupBy(*keys, start).agg(F.max(end).alias(end), *picked)
+    reached = ordered(longest, keys, [start], segment, highest_before={"_reach": F.col(end)})
     opened = reached.withColumn("_open", F.when(F.coalesce(touches, F.lit(False)), 0).otherwise(1))
-    numbered = ordered(opened, keys, order, seg, total={"_group": F.col("_open")})
-    place = F.struct(*order)
+    numbered = ordered(opened, keys, [start], segment, total={"_group": F.col("_open")})
+    first = [] if detail is None else [F.min_by(detail, start).alias(detail)]
     return numbered.groupBy(*keys, "_group").agg(
-        F.min(start).alias(start), F.max(end).alias(end),
-        *[F.min_by(F.col(c), place).alias(c) for c in first],
-    ).drop("_group")
+        F.min(start).alias(start), F.max(end).alias(end), *first).drop("_group")
 
 
 def merge_alarms(alarms: DataFrame) -> DataFrame:
-    """Merge alarms of one variable, type and certainty whose gap is at most one minute."""
+    """Merge alarms of one variable, type and certainty whose gap is at most one minute.
+
+    Alarms start on a minute, so a key has no more rows than the calendar has minutes and needs no
+    segments.
+    """
     near = F.col("start_time_pt") <= F.col("_reach") + step("MINUTE")
     merged = merge_touching(
         alarms, [SITE, "variable_name", "alarm_type", "certainty"], near,
-        start="start_time_pt", end="end_time_pt", tie=["event_detail"], first=["event_detail"],
+        start="start_time_pt", end="end_time_pt", detail="event_detail",
     )
     return merged.select(
         SITE, "start_time_pt", "end_time_pt", "alarm_type", "event_detail", "variable_name", "certainty"
@@ -56,9 +56,11 @@ def merge_alarms(alarms: DataFrame) -> DataFrame:
 def sessions(
     intervals: DataFrame, keys: Sequence[str], days: int = 4, start: str = "start", end: str = "end"
 ) -> DataFrame:
-    """Merge intervals whose gap is under ``days`` whole days."""
+    """Merge intervals whose gap is under ``days`` whole days. Starts may be of any precision, so the
+    series is cut by day."""
     return merge_touching(
-        intervals, keys, F.col(start) - F.col("_reach") < step("DAY", days), start=start, end=end
+        intervals, keys, F.col(start) - F.col("_reach") < step("DAY", days), start=start, end=end,
+        segment=floor_time(F.col(start), "DAY"),
     )
 
 
