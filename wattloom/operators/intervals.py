@@ -29,12 +29,21 @@ def merge_touching(
     keys = list(keys)
     picked = [] if detail is None else [F.min(detail).alias(detail)]
     longest = intervals.groupBy(*keys, start).agg(F.max(end).alias(end), *picked)
-    reached = ordered(longest, keys, [start], segment, highest_before={"_reach": F.col(end)})
-    opened = reached.withColumn("_open", F.when(F.coalesce(touches, F.lit(False)), 0).otherwise(1))
-    numbered = ordered(opened, keys, [start], segment, total={"_group": F.col("_open")})
+    grouped = with_group(longest, keys, touches, start=start, end=end, segment=segment)
     first = [] if detail is None else [F.min_by(detail, start).alias(detail)]
-    return numbered.groupBy(*keys, "_group").agg(
-        F.min(start).alias(start), F.max(end).alias(end), *first).drop("_group")
+    return grouped.groupBy(*keys, "_group").agg(F.max(end).alias(end), *first).withColumnRenamed("_group", start)
+
+
+def with_group(
+    intervals: DataFrame, keys: Sequence[str], touches: Column, *, start: str = "start", end: str = "end",
+    order: Sequence[str] | None = None, segment: Column | None = None,
+) -> DataFrame:
+    """Add ``_group``, the start of the merged interval each interval belongs to."""
+    order = [start] if order is None else list(order)
+    reached = ordered(intervals, keys, order, segment, highest_before={"_reach": F.col(end)})
+    opens = F.when(~F.coalesce(touches, F.lit(False)), F.col(start))
+    return ordered(reached.withColumn("_opens", opens), keys, order, segment, last={"_group": F.col("_opens")}).drop(
+        "_reach", "_opens")
 
 
 def merge_alarms(alarms: DataFrame) -> DataFrame:
@@ -88,11 +97,14 @@ def certainty_coverage(
     ])
     seg = floor_time(F.col("at"), "DAY")
     open_now = ordered(points, keys, ["at"], seg, total={f"_o{n}": F.col(f"_d{n}") for n in levels})
-    top = F.coalesce(*[F.when(F.col(f"_o{n}") > 0, F.lit(n)) for n in sorted(levels, reverse=True)], F.lit(0))
-    states = open_now.select(*keys, "at", top.cast("int").alias("level"))
-    changes = ordered(states, keys, ["at"], seg, lag={"_was": F.col("level")}).where(
-        F.coalesce(F.col("level") != F.col("_was"), F.lit(True))
-    )
+
+    def top(count) -> Column:
+        found = [F.when(count(n) > 0, F.lit(n)) for n in sorted(levels, reverse=True)]
+        return F.coalesce(*found, F.lit(0)).cast("int")
+
+    # the level before a boundary follows from the same sums, so no second pass looks back
+    after, before = top(lambda n: F.col(f"_o{n}")), top(lambda n: F.col(f"_o{n}") - F.col(f"_d{n}"))
+    changes = open_now.select(*keys, "at", after.alias("level"), before.alias("_was")).where("level <> _was")
     spans = ordered(changes, keys, ["at"], seg, lead={"_until": F.col("at")})
     return spans.where("level > 0").select(
         *keys, F.col("at").alias(start), F.col("_until").alias(end), F.col("level").alias(certainty)
