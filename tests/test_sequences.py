@@ -56,6 +56,15 @@ def test_ordered(frame, many, cut):
             assert got[key][t] == want, (key, i)
 
 
+def test_rows_with_a_null_key_stay_one_series(spark):
+    rows = [(None, START + timedelta(hours=h), "v", float(h)) for h in range(30)] + [("", START, "v", 9.0)]
+    df = spark.createDataFrame(rows, READINGS)
+    out = sequences.ordered(df, ["site", "variable"], ["ts"], sequences.day_segment(), lag={"prev": F.col("value")}).collect()
+    assert len(out) == 31
+    assert sorted(r.prev for r in out if r.site is None and r.prev is not None) == [float(h) for h in range(29)]
+    assert [r.prev for r in out if r.site == ""] == [None]
+
+
 def rolling_streaks(rows, need):
     """n-row rolling minimum, then runs of it, per day."""
     found = []

@@ -7,7 +7,6 @@ from wattloom.catalog.tables import EVENT_TYPES, grain_readings, grain_sql, read
 from wattloom.functions.times import floor_time
 from wattloom.model import SITE, TS, VALUE, VARIABLE, complete_rows, literal_table, to_wide
 from wattloom.operators import aggregates, cleaning, intervals, joins
-from wattloom.operators.sequences import day_segment
 
 # click counts as energy here, so both the summed and the averaged half are exercised
 NAMES = {"click": "EnergyIn_HPWH", "view": "EnergyRate_HPWH"}
@@ -43,10 +42,8 @@ MINUTES = f"""
            round(CASE WHEN variable = 'EnergyIn_HPWH' THEN coalesce(sum(s), 0) ELSE sum(s) / sum(n) END, 7)
     FROM hours GROUP BY site, variable, date_trunc('day', ts)""")
 def hour_day_aggregate(spark, sf):
-    parts = aggregates.hour_parts(_minutes(spark, sf))
-    hours = aggregates.hourly(parts).select(F.lit("HOUR").alias("grain"), SITE, VARIABLE, TS, VALUE)
-    days = aggregates.daily(parts).select(F.lit("DAY").alias("grain"), SITE, VARIABLE, TS, VALUE)
-    return hours.unionByName(days).withColumn(VALUE, rounded(VALUE, 7))
+    both = aggregates.both_grains(aggregates.hour_parts(_minutes(spark, sf)), remove_partial=False)
+    return both.withColumn(VALUE, rounded(VALUE, 7))
 
 
 @query("dense_hourly_grid", f"""
@@ -262,10 +259,9 @@ def minute_to_day(spark, sf):
         spark, FLAGSHIP_RULES,
         "variable_name string, lower_bound double, upper_bound double, changepoint int, ffill_length int")
     minutes = cleaning.average_duplicates(cleaning.floor_to(raw, "MINUTE"))
-    filled = cleaning.forward_fill(cleaning.outliers_to_null(minutes, rules), rules, segment=day_segment())
-    hours, days = aggregates.hour_and_day(filled, hour_threshold=0.02, day_threshold=0.5)
-    both = hours.withColumn("grain", F.lit("HOUR")).unionByName(days.withColumn("grain", F.lit("DAY")))
-    return both.select("grain", SITE, VARIABLE, TS, rounded(VALUE).alias(VALUE))
+    filled = cleaning.forward_fill(cleaning.outliers_to_null(minutes, rules), rules)
+    both = aggregates.both_grains(aggregates.hour_parts(filled), hour_threshold=0.02, day_threshold=0.5)
+    return both.withColumn(VALUE, rounded(VALUE))
 
 
 @query("long_to_wide", WIDE)

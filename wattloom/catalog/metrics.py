@@ -213,8 +213,9 @@ SITES = [("AZ2_01", "gas", "txv", 1200.0, 0.05), ("AZ2_03", "electric", "orifice
 
 
 def _sites(spark):
-    df = literal_table(spark, SITES, "site string, heating_type string, metering_device string, elev double, furn_misc_power double")
-    return df.withColumn("refrigerant", F.lit("410a"))
+    return literal_table(
+        spark, [(*r, "410a") for r in SITES],
+        "site string, heating_type string, metering_device string, elev double, furn_misc_power double, refrigerant string")
 
 
 SITES_SQL = "sites(site, heating_type, metering_device, elev, furn) AS (VALUES " + ", ".join(
@@ -366,7 +367,7 @@ CHART = [(odt, wb, 40.0 - odt / 5 + wb / 2) for odt in range(40, 95, 5) for wb i
     FROM wet""")
 def refrigerant_charge(spark, sf):
     """The chart is a plane, so bilinear interpolation must give the plane's own value."""
-    pt = literal_table(spark, PT, "pressure double, temp double").withColumn("refrigerant", F.lit("410a"))
+    pt = literal_table(spark, [(*r, "410a") for r in PT], "pressure double, temp double, refrigerant string")
     chart = literal_table(spark, CHART, "odt double, wb double, target double")
     out = hvac.refrigerant_charge(_hvac(spark, sf), _sites(spark), pt, chart)
     return out.select(SITE, *KEY, rounded("Refrig_charge").alias("Refrig_charge"))

@@ -107,6 +107,33 @@ def complete_days(parts: DataFrame, hour_threshold: float = 0.8, day_threshold:
     return rolled.where(F.col("_hours") >= need_day).select(SITE, VARIABLE, TS, value.alias(VALUE))
 
 
+def both_grains(parts: DataFrame, hour_threshold: float = 0.8, day_threshold: float = 1.0,
+                remove_partial: bool = True, mean_only: bool = False) -> DataFrame:
+    """Hours and days in one table ``(grain, site, variable, ts, value)`` and one pass.
+
+    Each hour part is counted into its hour and into its day, so the readings are prepared once even
+    where both grains are wanted; only the small parts are shuffled again.
+    """
+    _check("complete_hour_threshold", hour_threshold)
+    _check("complete_day_threshold", day_threshold)
+    need_hour, need_day = MINUTES_PER_HOUR * hour_threshold, HOURS_PER_DAY * day_threshold
+    kept = F.col("_rows") >= need_hour
+    full = kept & (F.col("_values") >= need_hour) & _value(mean_only).isNotNull()
+    buckets = F.array(
+        F.struct(F.lit("HOUR").alias("grain"), F.col("hour").alias(TS)),
+        F.struct(F.lit("DAY").alias("grain"), floor_time(F.col("hour"), "DAY").alias(TS)))
+    rolled = parts.withColumns({"_kept": kept, "_full": full}).select(
+        SITE, VARIABLE, "_sum", "_values", "_kept", "_full", F.explode(buckets).alias("_b")).groupBy(
+        "_b.grain", SITE, VARIABLE, F.col("_b.ts").alias(TS)).agg(
+        F.sum("_sum").alias("_sum"), F.sum("_values").alias("_values"),
+        F.count(F.when(F.col("_kept"), 1)).alias("_kept"), F.count(F.when(F.col("_full"), 1)).alias("_full"))
+    if not remove_partial:
+        return rolled.select("grain", SITE, VARIABLE, TS, _value(mean_only).alias(VALUE))
+    need = F.when(F.col("grain") == "HOUR", 1.0).otherwise(need_day)
+    return rolled.where(F.col("_kept") >= need).select(
+        "grain", SITE, VARIABLE, TS, F.when(F.col("_full") >= need, _value(mean_only)).alias(VALUE))
+
+
 def hour_and_day(df: DataFrame, hour_threshold: float = 0.8, day_threshold: float = 1.0,
                  rate: str = "drop", remove_partial: bool = True, mean_only: bool = False) -> tuple[DataFrame, DataFrame]:
     """Hourly and daily tables from one set of hour parts."""

@@ -163,16 +163,16 @@ def share_rules(rules: DataFrame, tag: str, default_share: float) -> DataFrame:
     parsed = codes.parse(rules, tag, {"PowerIn_Total": default_share}).where(
         F.col("role").isin("PowerIn", "PowerIn_Total", "HeatOut"))
     keys = [SITE] if SITE in parsed.columns else []
-    n = lambda role: F.count(F.when(F.col("role") == role, 1))
-    counts = parsed.groupBy(*keys, "tag").agg(
-        n("PowerIn").alias("n_power"), n("PowerIn_Total").alias("n_total"), n("HeatOut").alias("n_heat"),
-        F.min(F.when(F.col("role") == "HeatOut", F.col(VARIABLE))).alias("heat_variable"))
-    problem = F.when(F.col("n_total") > 1, F.raise_error(F.lit(f"Improper alarm codes for {tag}: more than one total")).cast("bigint"))
+    w = Window.partitionBy(*keys, "tag")
+    n = lambda role: F.count(F.when(F.col("role") == role, 1)).over(w)
+    counted = parsed.withColumns({
+        "n_power": n("PowerIn"), "n_total": n("PowerIn_Total"), "n_heat": n("HeatOut"),
+        "heat_variable": F.min(F.when(F.col("role") == "HeatOut", F.col(VARIABLE))).over(w)})
+    wrong = F.col("n_total") > 1
     if tag == text.BALANCING:
-        short = (F.col("n_power") < 1) | ((F.col("n_heat") < 1) & (F.col("n_total") != 1))
-        problem = F.when(short, F.raise_error(F.lit(f"Improper alarm codes for {tag}: needs power and heat or total")).cast("bigint")).otherwise(problem)
-    checked = counts.withColumn("n_total", F.coalesce(problem, F.col("n_total")))
-    return parsed.join(checked, [*keys, "tag"])
+        wrong = wrong | (F.col("n_power") < 1) | ((F.col("n_heat") < 1) & (F.col("n_total") != 1))
+    problem = F.raise_error(F.lit(f"Improper alarm codes for {tag}: needs power, and heat or one total")).cast("bigint")
+    return counted.withColumn("n_total", F.when(wrong, problem).otherwise(F.col("n_total")))
 
 
 def daily_shares(daily: DataFrame, members: DataFrame, grain: str = "MINUTE") -> DataFrame:

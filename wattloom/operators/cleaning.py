@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from wattloom.functions.times import convert_zone, floor_time
 from wattloom.model import SITE, TS, VALUE, VARIABLE, known
-from wattloom.operators.sequences import hour_segment, ordered
+from wattloom.operators.sequences import day_segment, ordered
 
 # Fixed value: rows up to this moment are logger clock resets.
 CLOCK_RESET = "2000-01-01 00:00:00"
@@ -125,9 +125,10 @@ def forward_fill(
     that has a rule, if that row is empty; a seeded variable that is absent from ``df`` is added as an
     empty series first. ``seq`` breaks ties of equal times. The fill limit counts rows, so
     the latest value is carried with the number of rows since it: one pass serves every limit.
+    Series are cut by day; raw rows with many copies per minute want a finer ``segment``.
     """
     order = [TS] if seq is None else [TS, seq]
-    segment = hour_segment() if segment is None else segment
+    segment = day_segment() if segment is None else segment
     start = df
     if seed is not None:
         ruled = rules.where("changepoint IS NOT NULL OR ffill_length IS NOT NULL")

@@ -4,9 +4,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from wattloom.functions.times import floor_time, step
+from wattloom.functions.times import step
 from wattloom.model import SITE, TS
-from wattloom.operators.sequences import ordered
+from wattloom.operators.sequences import month_segment, ordered
 
 
 def merge_touching(
@@ -66,10 +66,10 @@ def sessions(
     intervals: DataFrame, keys: Sequence[str], days: int = 4, start: str = "start", end: str = "end"
 ) -> DataFrame:
     """Merge intervals whose gap is under ``days`` whole days. Starts may be of any precision, so the
-    series is cut by day."""
+    series is cut by month."""
     return merge_touching(
         intervals, keys, F.col(start) - F.col("_reach") < step("DAY", days), start=start, end=end,
-        segment=floor_time(F.col(start), "DAY"),
+        segment=month_segment(start),
     )
 
 
@@ -95,7 +95,7 @@ def certainty_coverage(
     points = edges.groupBy(*keys, F.col("edge.at").alias("at")).agg(*[
         F.sum(F.when(F.col(certainty) == n, F.col("edge.step")).otherwise(0)).alias(f"_d{n}") for n in levels
     ])
-    seg = floor_time(F.col("at"), "DAY")
+    seg = month_segment("at")
     open_now = ordered(points, keys, ["at"], seg, total={f"_o{n}": F.col(f"_d{n}") for n in levels})
 
     def top(count) -> Column:

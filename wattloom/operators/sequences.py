@@ -40,8 +40,14 @@ def ordered(
     lag, lead, last = dict(lag or {}), dict(lead or {}), dict(last or {})
     total, highest, since = dict(total or {}), dict(highest_before or {}), dict(rows_since or {})
     keys, order = list(keys), list(order)
-    group = keys if segment is None else [*keys, "_seg"]
-    cut = df if segment is None else df.withColumn("_seg", segment)
+    if segment is None:
+        group, cut = keys, df
+    else:
+        # Keys that cannot be NULL: the join below then adds no filter to one side only, both sides
+        # keep the same shuffle, and Spark runs it once. Rows with a NULL key stay one series.
+        solid = {f"_k{i}": F.coalesce(F.col(k).cast("string"), F.lit("\0")) for i, k in enumerate(keys)}
+        solid["_seg"] = F.coalesce(segment.cast("timestamp_ntz"), F.lit("0001-01-01").cast("timestamp_ntz"))
+        group, cut = list(solid), df.withColumns(solid)
 
     w = Window.partitionBy(*group).orderBy(*order)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -81,7 +87,7 @@ def ordered(
         reduced[f"_end_{name}"] = F.max(F.when(F.col(f"_if_{name}"), F.col("_nr")))
     summary = local.groupBy(*group).agg(*[c.alias(n) for n, c in reduced.items()])
 
-    across = Window.partitionBy(*keys).orderBy("_seg")
+    across = Window.partitionBy(*group[:-1]).orderBy("_seg")
     before = across.rowsBetween(Window.unboundedPreceding, -1)
     carried = {"_before": F.coalesce(F.sum("_rows").over(before), F.lit(0))}
     if lag:
@@ -124,6 +130,10 @@ def hour_segment(ts: str = TS) -> Column:
     return floor_time(F.col(ts), "HOUR")
 
 
+def month_segment(ts: str = TS) -> Column:
+    return F.trunc(F.col(ts), "MONTH").cast("timestamp_ntz")
+
+
 def runs(
     df: DataFrame,
     mask: str,

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from wattloom.functions.times import floor_time
 from wattloom.model import SITE, TS, VALUE, VARIABLE, complete_rows
 from wattloom.operators import aggregates, alarms, cleaning
+from wattloom.operators.sequences import hour_segment
 from wattloom.sinks.upsert import store_all
 from wattloom.sources import marks
 from wattloom.sources.dispatch import read_raw
@@ -68,7 +69,7 @@ def transform(
     rules = cleaning.rules_for(rules, system=system)
     named = cleaning.floor_to(cleaning.rename_by_rules(raw, rules), "MINUTE")
     fill = rules.select(*([SITE] if SITE in rules.columns else []), "variable_name", "changepoint", "ffill_length").distinct()
-    filled = cleaning.forward_fill(named, fill, seq=seq, seed=seed)
+    filled = cleaning.forward_fill(named, fill, seq=seq, seed=seed, segment=hour_segment())
     if zone_from != zone_to:
         filled = cleaning.shift_zone(filled, zone_from, zone_to)
     minute = complete_rows(cleaning.average_duplicates(filled))

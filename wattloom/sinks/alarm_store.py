@@ -2,9 +2,10 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from wattloom.functions.times import floor_time, step
+from wattloom.functions.times import step
 from wattloom.model import SITE
 from wattloom.operators.intervals import certainty_coverage, with_group
+from wattloom.operators.sequences import month_segment
 from wattloom.session import cut_lineage
 from wattloom.sinks.upsert import read_table
 
@@ -34,7 +35,7 @@ def alarm_tables(new: DataFrame, parents: DataFrame | None = None, segments: Dat
     near = F.col("start_time_pt") - F.col("_reach") < step("DAY", MAX_GAP_DAYS + 1)
     grouped = cut_lineage(with_group(
         spans.withColumn("_rank", F.coalesce("certainty", F.lit(0))), KEYS, near, start="start_time_pt", end="end_time_pt",
-        order=["start_time_pt", "_rank"], segment=floor_time(F.col("start_time_pt"), "DAY")))
+        order=["start_time_pt", "_rank"], segment=month_segment("start_time_pt")))
     sessions = grouped.groupBy(*KEYS, F.col("_group").alias("start_time_pt")).agg(
         F.max("end_time_pt").alias("end_time_pt"), F.min("id").alias("id"))
     ids = sessions.withColumn("id", F.coalesce("id", F.xxhash64(*KEYS, "start_time_pt")))

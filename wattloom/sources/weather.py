@@ -60,12 +60,13 @@ def site_coordinates(sites: DataFrame, zips: DataFrame) -> DataFrame:
 
 
 def choose_weather(stations: DataFrame, forecast: DataFrame, now: str) -> DataFrame:
-    """Station records if any station has a value in the last week, else the forecast for all stations."""
-    values = [c for c in WEATHER if c in stations.columns]
-    any_value = F.coalesce(*[F.col(c).isNotNull() for c in values]) if len(values) == 1 else F.greatest(*[F.col(c).isNotNull() for c in values])
+    """Station records if any station has a value in the last week, else the forecast for all stations.
+
+    The test is a filter on time that stops at the first row.
+    """
+    known_value = F.lit(False)
+    for name in WEATHER:
+        if name in stations.columns:
+            known_value = known_value | F.col(name).isNotNull()
     recent = F.col("ts") >= F.lit(now).cast("timestamp_ntz") - step("DAY", FRESH_DAYS)
-    fresh = stations.select(F.lit(1).alias("_k"), (any_value & recent).alias("_f")).groupBy("_k").agg(F.bool_or("_f").alias("_fresh"))
-    mark = lambda df: df.withColumn("_k", F.lit(1)).join(fresh, "_k", "left")
-    kept = mark(stations).where("coalesce(_fresh, false)").drop("_k", "_fresh")
-    other = mark(forecast).where("NOT coalesce(_fresh, false)").drop("_k", "_fresh")
-    return kept.unionByName(other, allowMissingColumns=True)
+    return forecast if stations.where(recent & known_value).isEmpty() else stations
