@@ -5,7 +5,10 @@ from wattloom.session import build_session
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("tests", 8, spark__sql__shuffle__partitions="4")
+    # tiny inputs: few tasks, and no code generation to compile
+    session = build_session(
+        "tests", 4, spark__sql__shuffle__partitions="2", spark__default__parallelism="2",
+        spark__sql__codegen__wholeStage="false", spark__sql__codegen__factoryMode="NO_CODEGEN")
     yield session
     session.stop()
 
