@@ -1,4 +1,8 @@
-"""The four steps of a site run. Each is lazy; nothing runs before a result is written."""
+"""The four steps of a run.
+
+Reading and the last two steps are lazy. The transform settles the cleaned minutes and the days with a
+checkpoint, as hours, days, statistics, every alarm shape and the stored tables all read them.
+"""
 
 from collections.abc import Callable
 from typing import NamedTuple
@@ -9,6 +13,7 @@ from wattloom.functions.times import floor_time
 from wattloom.model import SITE, TS, VALUE, VARIABLE, complete_rows
 from wattloom.operators import aggregates, alarms, cleaning
 from wattloom.operators.sequences import hour_segment
+from wattloom.session import cut_lineage
 from wattloom.sinks.upsert import store_all
 from wattloom.sources import marks
 from wattloom.sources.dispatch import read_raw
@@ -58,13 +63,15 @@ def transform(
     hour_threshold: float = 0.8,
     day_threshold: float = 1.0,
     remove_partial: bool = True,
+    settle: bool = True,
     pre_aggregation: PreHook | None = None,
     post_aggregation: PostHook | None = None,
 ) -> Tables:
     """Rename, floor, fill, shift zone, average duplicates, then hours and days with weather.
 
     Filling comes before duplicates are averaged, so a fill limit counts duplicate rows. ``weather``
-    is ``(site, ts, <oat>, ...)``; its columns join the hours as variables.
+    is ``(site, ts, <oat>, ...)``; its columns join the hours as variables. ``settle=False`` leaves
+    the minutes and days as plans, for callers that store them before reading on.
     """
     rules = cleaning.rules_for(rules, system=system)
     named = cleaning.floor_to(cleaning.rename_by_rules(raw, rules), "MINUTE")
@@ -77,6 +84,8 @@ def transform(
         minute = pre_aggregation(minute)
         if not isinstance(minute, DataFrame):
             raise TypeError("pre_aggregation must return a DataFrame")
+    if settle:
+        minute = cut_lineage(minute)
     hour, day = aggregates.hour_and_day(minute, hour_threshold, day_threshold, remove_partial=remove_partial)
     states = flags = None
     if schedule is not None:
@@ -89,6 +98,8 @@ def transform(
         if not (isinstance(result, tuple) and len(result) == 3 and all(isinstance(d, DataFrame) for d in result)):
             raise TypeError("post_aggregation must return three DataFrames: minute, hour, day")
         minute, hour, day = result
+    if settle:
+        day = cut_lineage(day)
     return Tables(minute, hour, day, states, flags)
 
 
