@@ -72,11 +72,11 @@ def completeness_hour(spark, sf):
                     count(*) FILTER (WHERE rows >= 1.2) AS hours,
                     count(*) FILTER (WHERE rows >= 1.2 AND n >= 1.2) AS filled FROM kept GROUP BY 1, 2, 3)
     SELECT site, variable, ts, round(CASE WHEN filled >= 9.6 THEN
-           CASE WHEN variable = 'EnergyIn_HPWH' THEN coalesce(s, 0) ELSE s / n END END, 6) AS value
+           CASE WHEN variable = 'EnergyIn_HPWH' THEN coalesce(s, 0) ELSE s / n END END, 7) AS value
     FROM days WHERE hours >= 9.6""")
 def completeness_day(spark, sf):
     _, days = aggregates.hour_and_day(_minutes(spark, sf), hour_threshold=0.02, day_threshold=0.4)
-    return days.withColumn(VALUE, rounded(VALUE))
+    return days.withColumn(VALUE, rounded(VALUE, 7))
 
 
 @query("summary_means", f"""
@@ -225,6 +225,24 @@ def daily_cop_join(spark, sf):
     return joins.join_daily(days, cop)
 
 
+@query("rolling_blocks", """
+    WITH d AS (SELECT l_returnflag AS site, l_shipdate AS ts, sum(l_quantity) AS qty FROM lineitem GROUP BY 1, 2)
+    SELECT site, ts, qty FROM (SELECT site, ts, sum(qty) OVER w AS qty, count(*) OVER w AS n FROM d
+        WINDOW w AS (PARTITION BY site ORDER BY ts ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)) WHERE n = 7""")
+def rolling_blocks(spark, sf):
+    days = table(spark, sf, "lineitem").groupBy(F.col("l_returnflag").alias(SITE), F.col("l_shipdate").alias(TS)).agg(
+        F.sum("l_quantity").alias("qty"))
+    return aggregates.rolling_blocks(days, ["qty"], 7)
+
+
+@query("rename_wide", f"""
+    SELECT site, ts, round(click, 6) AS Temp_Supply, round(view, 6) AS Temp_Return FROM ({WIDE}) WHERE click IS NOT NULL OR view IS NOT NULL""")
+def rename_wide(spark, sf):
+    wide = to_wide(grain_readings(spark, sf), EVENT_TYPES)
+    out = cleaning.rename_wide(wide, {"click": "Temp_Supply", "view": "Temp_Return", "gone": "Temp_X"})
+    return out.select(SITE, TS, rounded("Temp_Supply").alias("Temp_Supply"), rounded("Temp_Return").alias("Temp_Return"))
+
+
 @query("unseen_files", """
     SELECT DISTINCT source AS file FROM documents WHERE source NOT IN (
         SELECT source FROM documents d JOIN labels l ON d.doc_id = l.doc_id GROUP BY source HAVING count(*) > 20)""")

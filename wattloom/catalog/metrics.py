@@ -352,6 +352,23 @@ def interpolate_curve(spark, sf):
     return out.select("event_id", rounded(VALUE).alias(VALUE))
 
 
+BACK = [("all", 0.0, 5.0), ("all", 40.0, 25.0), ("all", 100.0, 145.0)]
+
+
+@query("calibration", """
+    WITH f AS (SELECT event_id, CASE WHEN value <= 100 THEN value * 0.8 ELSE 80 + (value - 100) * 0.1 END AS mid FROM events WHERE value <= 300)
+    SELECT e.event_id, round(CASE WHEN mid <= 40 THEN 5 + mid * 0.5 ELSE 25 + (mid - 40) * 2 END, 6) AS value
+    FROM events e LEFT JOIN f ON e.event_id = f.event_id""")
+def calibration(spark, sf):
+    """A reading passed through two curves; outside the first curve there is no value."""
+    names = "curve string, x double, y double"
+    forward = curves.curve_segments(literal_table(spark, [("all", 0.0, 0.0), ("all", 100.0, 80.0), ("all", 300.0, 100.0)], names))
+    backward = curves.curve_segments(literal_table(spark, BACK, names))
+    df = table(spark, sf, "events").select("event_id", F.lit("all").alias("curve"), VALUE)
+    out = curves.apply_calibration(df, VALUE, forward, backward, 50, 20)
+    return out.select("event_id", rounded(VALUE).alias(VALUE))
+
+
 PT = [(100.0, 32.0), (118.0, 40.0), (142.0, 50.0), (170.0, 60.0), (201.0, 70.0)]
 CHART = [(odt, wb, 40.0 - odt / 5 + wb / 2) for odt in range(40, 95, 5) for wb in range(50, 78, 2)]
 

@@ -219,11 +219,17 @@ def rolling_blocks(days: DataFrame, columns: list[str], size: int, key: str = SI
     return days.withColumn("_n", F.count(F.lit(1)).over(w)).withColumns(sums).where(F.col("_n") == size).drop("_n")
 
 
-def first_outage_per_day(df: DataFrame, column: str, supply_temp: float = 110, rows: int = 15) -> DataFrame:
-    """Days on which the supply is too cold for ``rows`` rows running, with the first start."""
+def first_outage_per_day(df: DataFrame, column: str, supply_temp: float = 110, rows: int = 15,
+                         days: DataFrame | None = None) -> DataFrame:
+    """Days on which the supply is too cold for ``rows`` rows running, with the first start.
+
+    With ``days`` (a daily table) only its days are looked at.
+    """
     cold = df.where(F.col(VARIABLE) == column).select(
         SITE, TS, floor_time(F.col(TS), "DAY").alias("day"), (F.col(VALUE) < supply_temp).alias("cold"))
     first = streaks(cold, "cold", rows, [SITE, "day"]).groupBy(SITE, "day").agg(F.min("start").alias("first"))
+    if days is not None:
+        first = first.join(days.select(SITE, floor_time(F.col(TS), "DAY").alias("day")).distinct(), [SITE, "day"], "left_semi")
     detail = F.concat(F.lit("Hot Water Outage Occured (first one starting at "), F.date_format("first", "HH:mm"), F.lit(")"))
     return first.select(
         SITE, F.col("day").alias("start_time_pt"),

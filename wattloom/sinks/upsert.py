@@ -62,8 +62,10 @@ def upsert(source: DataFrame, path: str, keys: Sequence[str] = (SITE, TS), ts: s
         touched = dated.select(PARTITION).distinct()
         current = target.join(touched, PARTITION, "left_semi")
         merged = merge_keep_existing(current, dated, [*keys, PARTITION])
-    writer = merged.repartition(PARTITION, SITE) if SITE in merged.columns else merged.repartition(PARTITION)
-    writer.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PARTITION).parquet(path)
+    # rebalancing gathers a partition's rows but lets adaptive execution split a hot site and day
+    columns = f"{PARTITION}, {SITE}" if SITE in merged.columns else PARTITION
+    balanced = spark.sql(f"SELECT /*+ REBALANCE({columns}) */ * FROM {{merged}}", merged=merged)
+    balanced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PARTITION).parquet(path)
 
 
 def load_readings(df: DataFrame, path: str) -> None:
