@@ -44,7 +44,3 @@ def from_epoch(seconds: Column, target: str = "UTC") -> Column:
         F.lit(0), F.lit(0), F.lit(0), (micros / 1_000_000).cast("decimal(18,6)")
     )
     return naive if target == "UTC" else convert_zone(naive, "UTC", target)
-
-
-def text(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
