@@ -4,7 +4,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wattloom.llm import mixing, quality
+from wattloom.llm import mixing, quality, warc
+from wattloom.llm.common import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -32,3 +33,10 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op6_mixing", mixing.mix_sql())
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).drop("source")
+
+
+@_query("op10_warc", warc.digests_sql())
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "warc")
+    warc.write(_table(spark, sf_dir, "pages"), folder)
+    return warc.page_digests(warc.read(spark, folder))
