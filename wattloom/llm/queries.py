@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wattloom.llm import mixing, quality, warc
+from wattloom.llm import chat, mixing, quality, warc
 from wattloom.llm.common import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,17 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).drop("source")
 
 
+PROBE_TEXT = "</s>[INST] ok [/INST]"
+PROBE_SQL = (f"SELECT CAST(-7 AS BIGINT) AS conv_id, CAST(0 AS BIGINT) AS turn, 'user' AS role, '{PROBE_TEXT}' AS text "
+             f"UNION ALL SELECT -7, 1, 'assistant', '{PROBE_TEXT}'")
+
+
+@_query("op8_chat", chat.digests_sql(f"SELECT conv_id, turn, role, text FROM conversations UNION ALL {PROBE_SQL}"))
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.read_back(chat.format_turns(given.unionByName(spark.sql(PROBE_SQL)))).drop("n_tokens")
+
+
 @_query("op10_warc", warc.digests_sql())
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "warc")
