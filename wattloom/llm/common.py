@@ -38,8 +38,15 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+#: Rows of an Arrow batch where the session has Spark's own default, as texts can be long.
+BATCH_ROWS = 1000
+SPARK_BATCH_ROWS = "10000"
+
+
 def workers_import(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it."""
+    """Let Python workers import this package from where the driver has it, and get batches that fit long texts."""
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == SPARK_BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in known.split(os.pathsep):
@@ -49,3 +56,15 @@ def workers_import(spark: SparkSession) -> None:
 def small_enough(ids: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``ids`` with a broadcast hint if it has at most ``rows`` rows; beyond that Spark shuffles the join."""
     return F.broadcast(ids) if ids.limit(rows + 1).count() <= rows else ids
+
+
+def slices(lengths, limit: int):
+    """Ranges of consecutive items whose lengths sum to at most ``limit``; a longer item is a range of its own."""
+    start, total = 0, 0
+    for i, n in enumerate(lengths):
+        if i > start and total + n > limit:
+            yield start, i
+            start, total = i, 0
+        total += n
+    if start < len(lengths):
+        yield start, len(lengths)

@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wattloom.llm import chat, mixing, quality, warc
+from wattloom.llm import chat, mixing, pii, quality, token_count, warc
 from wattloom.llm.common import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,16 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_table(spark, sf_dir, "documents")).drop("clean_text")
 
 
+@_query("op4_token_counts")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_count.count_tokens(_table(spark, sf_dir, "documents"))
+
+
+@_query("op5_pii")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal(_table(spark, sf_dir, "documents")).drop("redacted")
+
+
 @_query("op6_mixing", mixing.mix_sql())
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).drop("source")
