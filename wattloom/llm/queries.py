@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wattloom.llm import chat, mixing, pii, quality, token_count, warc
+from wattloom.llm import chat, mixing, pii, quality, token_count, toxicity, warc
 from wattloom.llm.common import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,6 +56,12 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_turns(given.unionByName(spark.sql(PROBE_SQL)))).drop("n_tokens")
 
 
+@_query("op9_toxicity")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.score_texts(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
+
+
 @_query("op10_warc", warc.digests_sql())
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "warc")
