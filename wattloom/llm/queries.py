@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wattloom.llm import chat, mixing, pii, quality, token_count, toxicity, warc
+from wattloom.llm import chat, decontaminate, mixing, pii, quality, token_count, toxicity, warc
 from wattloom.llm.common import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +45,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).drop("source")
 
 
+@_query("op7_decontamination")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 PROBE_TEXT = "</s>[INST] ok [/INST]"
 PROBE_SQL = (f"SELECT CAST(-7 AS BIGINT) AS conv_id, CAST(0 AS BIGINT) AS turn, 'user' AS role, '{PROBE_TEXT}' AS text "
              f"UNION ALL SELECT -7, 1, 'assistant', '{PROBE_TEXT}'")
