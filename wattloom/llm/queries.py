@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wattloom.llm import chat, decontaminate, mixing, ngram_join, pii, quality, token_count, toxicity, warc
+from wattloom.llm import chat, decontaminate, mixing, ngram_join, pii, quality, suffix_dedup, token_count, toxicity, warc
 from wattloom.llm.common import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link(_table(spark, sf_dir, "documents")).drop("set_id")
 
 
+@_query("op2_suffix_dedup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents")).drop("kept_text")
+
+
 @_query("op3_quality_rules", quality.judge_sql())
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_table(spark, sf_dir, "documents")).drop("clean_text")
