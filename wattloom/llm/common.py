@@ -38,6 +38,14 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Written to the shared folder and read again: shorter than a checkpoint, and as safe."""
+    spark = df.sparkSession
+    folder = new_folder(spark, name)
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
+
+
 #: Rows of an Arrow batch where the session has Spark's own default, as texts can be long.
 BATCH_ROWS = 1000
 SPARK_BATCH_ROWS = "10000"
@@ -68,3 +76,17 @@ def slices(lengths, limit: int):
         total += n
     if start < len(lengths):
         yield start, len(lengths)
+
+
+def filter_rows(df: DataFrame, text: str, judge) -> DataFrame:
+    """Rows for which ``judge()``, made once per task, says true; it is given lists of texts. All columns pass as they are."""
+    place = df.columns.index(text)
+
+    def run(batches):
+        import pyarrow as pa
+
+        keep = judge()
+        for batch in batches:
+            yield batch.filter(pa.array(keep(batch.column(place).to_pylist()), pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)

@@ -12,7 +12,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from wattloom.llm.common import slices, workers_import
+from wattloom.llm.common import filter_rows, slices, workers_import
 from wattloom.llm.hashing import ascii_words, mix, word_hashes
 
 #: Edits allowed, as a part of the item's words.
@@ -194,17 +194,20 @@ def without_items(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
     workers_import(docs.sparkSession)
     kept = docs
     for block in item_blocks(benchmark, item_id, item_text):
-        kept = kept.mapInPandas(_filter(block, text, most_edits), docs.schema)
+        kept = filter_rows(kept, text, _judge(block, most_edits))
     return kept
 
 
-def _filter(block: list[tuple], text: str, most_edits: float):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _judge(block: list[tuple], most_edits: float):
+    def make():
         items = Items([t for _, t in block], most_edits)
-        for frame in frames:
-            texts, clean = frame[text].tolist(), np.ones(len(frame), bool)
+
+        def clean(texts: list[str | None]) -> np.ndarray:
+            out = np.ones(len(texts), bool)
             for a, b in slices([len(t or "") for t in texts], SLICE_CHARS):
-                clean[[a + o for o, *_ in items.matches(texts[a:b])]] = False
-            yield frame[clean]
+                out[[a + o for o, *_ in items.matches(texts[a:b])]] = False
+            return out
 
-    return run
+        return clean
+
+    return make

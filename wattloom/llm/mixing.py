@@ -54,17 +54,17 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, share:
 
 def mix(
     docs: DataFrame, id_column: str = "doc_id", text: str = "text", source: str = "source",
-    weights: Sequence[float] = WEIGHTS, share: float = 1.5, most: float = 2.0,
+    weights: Sequence[float] = WEIGHTS, share: float = 1.5, most: float = 2.0, whole_rows: bool = False,
 ) -> DataFrame:
-    """``(doc_id, source, size, source_size, target, taken)`` for every row.
+    """``(doc_id, source, size, source_size, target, taken)`` for every row; with ``whole_rows`` all columns of ``docs`` and the last four.
 
     ``taken`` counts the words that the mix takes from a row, repeats counted. A null text has size 0 and gives nothing; a null
     source is a source of its own; a null id hashes as the empty text. Rows with equal ids share a hash and are treated alike.
-    Extra columns are ignored; an empty table gives an empty result. Reruns agree, as nothing depends on row order.
+    Extra columns are ignored, and give way where they clash; an empty table gives an empty result. Reruns agree, as nothing depends on row order.
     """
-    rows = settle(docs.select(
-        F.col(id_column).alias("doc_id"), F.col(source).alias("source"), F.size(words(F.col(text))).cast("long").alias("size"),
-        hash48(F.col(id_column)).alias("_h")))
+    named = (F.col(id_column).alias("doc_id"), F.col(source).alias("source"), F.size(words(F.col(text))).cast("long").alias("size"),
+             hash48(F.col(id_column)).alias("_h"))
+    rows = settle(docs.select(*named))
     same = F.col("source").eqNullSafe(F.col("b_source"))
     totals = source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most)
     full = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
@@ -90,6 +90,12 @@ def mix(
     part = (F.when(F.col("_h") < F.col("_path"), F.col("size"))
             .when((F.col("_h") == F.col("_path")) & (F.col("_leaf") > 0), F.floor(F.col("size") * F.col("_left") / F.col("_leaf")))
             .otherwise(0))
+    if whole_rows:
+        own = [c for c in docs.columns if c not in ("size", "source_size", "target", "taken")]
+        rows = docs.select(F.struct(*own).alias("_row"), *named)
+        given = [F.col("_row")[c].alias(c) for c in own]
+        return rows.join(small_enough(budget), same).select(
+            *given, "size", "source_size", "target", (F.col("_full") * F.col("size") + part).cast("long").alias("taken"))
     return rows.join(small_enough(budget), same).select(
         "doc_id", "source", "size", "source_size", "target", (F.col("_full") * F.col("size") + part).cast("long").alias("taken"))
 

@@ -3,10 +3,12 @@
 A text's set is its distinct n-grams as 64-bit hashes. A sketch has blocks; every n-gram XORs its hash into one block, so the blocks in
 which two sketches differ are at most the n-grams that one set has and the other has not. Sets of a band of sizes share a number of
 blocks. Two sets that link differ in at most ``d`` blocks, so any ``d + 1`` filled blocks, taken in one order by both, have one in
-common. The order takes frequent blocks last: that is a choice among equals, and so may rest on what each task sees often.
+common. The order takes frequent blocks last. Any order gives the same links, so it may rest on a table of fixed size: for each slot of
+the key space, how many sets have the most frequent block there.
 
 Equal blocks are joined by stars: the smallest member of a block is paired with each other one, first within the texts that one task
-reads, then among all. Pairs are verified on the whole sets. Where that leaves members of a block in different components, the
+reads, then among all. Pairs are first held against sketches of single bits, whose Hamming distance is at most the symmetric difference
+of the sets, and then verified on the whole sets. Where that leaves members of a block in different components, the
 pairs of members that are still apart are verified too, so no link is lost, and none is looked for within a component.
 """
 
@@ -17,7 +19,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from wattloom.llm.common import settle, slices, small_enough, workers_import
+from wattloom.llm.common import settle, slices, small_enough, stored, workers_import
 from wattloom.llm.components import components
 from wattloom.llm.hashing import ascii_words, mix, word_hashes
 
@@ -26,10 +28,11 @@ WORDS = 5
 SHARE, WHOLE = 75, 100
 #: Sets below this size have a block for each n-gram.
 SMALL_SET = 128
-#: A block seen so often in one chunk is counted, and one counted so often in all comes later in the order; at most so many are kept.
-OFTEN_IN_CHUNK, OFTEN, OFTEN_KEPT = 3, 50, 200_000
-#: Block keys a map task holds before it sends them on, and about how many a reduce task gets.
+#: Slots of the frequency table, a byte each, and the least number of sets that counts as frequent. The table is broadcast.
+SLOT_BITS, OFTEN = 24, 3
+#: Block keys that a map task holds before it sends them on, and about how many a reduce task gets.
 CHUNK_KEYS, SHARD_KEYS = 1_500_000, 1_000_000
+COUNT_KEYS, LEAST_SHARD_BITS = 4_000_000, 8
 SLICE_CHARS = 2_000_000
 KEY_BYTES = 6
 
@@ -89,17 +92,31 @@ def differing(size: int, largest: int) -> int:
     return (size + other) * (WHOLE - SHARE) // (WHOLE + SHARE)
 
 
-def chosen_keys(grams: np.ndarray, often: np.ndarray, ranks: np.ndarray) -> np.ndarray:
+def bit_sketch(grams: np.ndarray) -> bytes:
+    """Parities of the n-grams that hash to each bit; the number of bits is two to four times that of a set's n-grams, 64 at least."""
+    bits = max(64, 2 << len(grams).bit_length())
+    odd = np.bincount((grams >> np.uint64(20)).astype(np.int64) & (bits - 1), minlength=bits).astype(np.uint8) & 1
+    return np.packbits(odd).tobytes()
+
+
+def sketch_distance(a: bytes, b: bytes) -> int:
+    """Hamming distance at the smaller one's number of bits; the larger one's halves are put together by exclusive or."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    while len(x) != len(y):
+        if len(x) < len(y):
+            x, y = y, x
+        x = x[:len(x) // 2] ^ x[len(x) // 2:]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
+def chosen_keys(grams: np.ndarray, table: np.ndarray) -> np.ndarray:
     """Of each band, the first ``d + 1`` filled blocks in the order of frequency and key."""
     out = []
     for blocks, largest in bands(len(grams)):
         keys = block_keys(grams, blocks)
         need = differing(len(grams), largest) + 1
         if len(keys) > need:
-            order = keys >> np.uint64(16)
-            if len(often):
-                at = np.minimum(np.searchsorted(often, keys), len(often) - 1)
-                order = order | np.where(often[at] == keys, ranks[at], np.uint64(0)) << np.uint64(48)
+            order = keys >> np.uint64(8) | table[keys >> np.uint64(64 - SLOT_BITS)].astype(np.uint64) << np.uint64(56)
             keys = keys[np.argpartition(order, need - 1)[:need]]
         elif blocks and len(keys) < need:
             raise ValueError(f"a sketch of {len(grams)} n-grams fills only {len(keys)} blocks of {blocks}")
@@ -115,43 +132,68 @@ def _frames(frames: Iterator[pd.DataFrame], n: int) -> Iterator[tuple[pd.DataFra
 
 
 def identify(docs: DataFrame, n: int) -> DataFrame:
-    """``(doc_id, n_shingles, set_id)`` for ``(doc_id, _t)``."""
+    """``(doc_id, row, n_shingles, set_id, sketch)`` for ``(doc_id, row, _t)``."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part, sets in _frames(frames, n):
-            yield pd.DataFrame({"doc_id": part["doc_id"], "n_shingles": [len(s) for s in sets], "set_id": [set_id(s) for s in sets]})
+            yield pd.DataFrame({"doc_id": part["doc_id"], "row": part["row"], "n_shingles": [len(s) for s in sets], "set_id": [set_id(s) for s in sets],
+                                "sketch": [bit_sketch(s) for s in sets]})
 
-    return docs.mapInPandas(run, f"doc_id {dict(docs.dtypes)['doc_id']}, n_shingles long, set_id long")
+    return docs.mapInPandas(run, f"doc_id {dict(docs.dtypes)['doc_id']}, row long, n_shingles long, set_id long, sketch binary")
 
 
-def frequent_blocks(docs: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted keys of frequent blocks and their ranks. It only sets the order in which blocks are taken."""
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def frequency_table(docs: DataFrame, n: int, total: int) -> np.ndarray:
+    """For each slot of the key space the level of its most frequent block, 0 if all are rare; counted over all sets.
+
+    A map task counts its own keys, sends repeated ones with their counts and the others by 32 bits, by the leading bits of the key.
+    """
+    lead = min(SLOT_BITS, max(LEAST_SHARD_BITS, (total // SHARD_KEYS).bit_length()))
+    shards = 1 << lead
+
+    def send(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, size, ids = [], 0, set()
 
-        def counted() -> pd.DataFrame:
-            keys, times = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.uint64), np.zeros(0, int))
-            more = times >= OFTEN_IN_CHUNK
-            return pd.DataFrame({"key": keys[more].view(np.int64), "n": times[more]})
+        def packed() -> pd.DataFrame:
+            keys, times = np.unique(np.concatenate(held), return_counts=True)
+            cuts = np.searchsorted(keys >> np.uint64(64 - lead), np.arange(shards + 1))
+            brief = (keys >> np.uint64(32 - lead)).astype(np.uint32)
+            rows = []
+            for s in range(shards):
+                k, c = brief[cuts[s]:cuts[s + 1]], times[cuts[s]:cuts[s + 1]]
+                if len(k):
+                    rows.append((s, k[c == 1].tobytes(), k[c > 1].tobytes(), c[c > 1].astype(np.uint32).tobytes()))
+            return pd.DataFrame(rows, columns=["shard", "once", "more", "times"])
 
         for _, sets in _frames(frames, n):
             for s in sets:
                 if len(s) and (i := set_id(s)) not in ids:
                     ids.add(i)
-                    held += [block_keys(s, blocks) for blocks, _ in bands(len(s))]
-                    size += 2 * len(s)
-            if size > CHUNK_KEYS:
-                yield counted()
+                    found = [block_keys(s, blocks) for blocks, _ in bands(len(s))]
+                    held += found
+                    size += sum(map(len, found))
+            if size > COUNT_KEYS:
+                yield packed()
                 held, size, ids = [], 0, set()
-        yield counted()
+        if held:
+            yield packed()
 
-    counts = docs.mapInPandas(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= OFTEN)
-    rows = counts.orderBy(F.col("n").desc(), "key").limit(OFTEN_KEPT).toPandas()
-    keys = rows["key"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(keys)
-    return keys[order], np.minimum(rows["n"].to_numpy(np.uint64)[order], np.uint64(65_535))
+    def add(group: pd.DataFrame) -> pd.DataFrame:
+        once, more, times = (np.frombuffer(b"".join(group[c]), np.uint32) for c in ("once", "more", "times"))
+        keys, back = np.unique(np.concatenate([once, more]), return_inverse=True)
+        counts = np.bincount(back, np.concatenate([np.ones(len(once)), times]), len(keys))
+        often = counts >= OFTEN
+        levels = np.zeros(1 << (SLOT_BITS - lead), np.uint8)
+        np.maximum.at(levels, keys[often] >> np.uint32(32 - SLOT_BITS + lead), np.minimum(8 * np.log2(counts[often]), 255).astype(np.uint8))
+        return pd.DataFrame({"shard": [int(group["shard"].iloc[0])], "levels": [levels.tobytes()]})
 
+    sent = docs.mapInPandas(send, "shard int, once binary, more binary, times binary")
+    table = np.zeros(1 << SLOT_BITS, np.uint8)
+    width = 1 << (SLOT_BITS - lead)
+    for r in sent.groupBy("shard").applyInPandas(add, "shard int, levels binary").toLocalIterator():
+        table[r["shard"] * width:(r["shard"] + 1) * width] = np.frombuffer(r["levels"], np.uint8)
+    return table
 
-def star_pairs(docs: DataFrame, n: int, often: np.ndarray, ranks: np.ndarray, shards: int) -> DataFrame:
+
+def star_pairs(docs: DataFrame, n: int, table, shards: int) -> DataFrame:
     """``(key, center, member)``: for every block with several members, each of them but the smallest paired with a smaller one."""
     def send(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         keys, owners, ids, size = [], [], [], 0
@@ -182,7 +224,7 @@ def star_pairs(docs: DataFrame, n: int, often: np.ndarray, ranks: np.ndarray, sh
                 if len(s) and (i := set_id(s)) not in place:
                     place[i] = len(ids)
                     ids.append(i)
-                    found = np.unique(chosen_keys(s, often, ranks))
+                    found = np.unique(chosen_keys(s, table.value))
                     keys.append(found)
                     owners.append(np.full(len(found), place[i], np.int64))
                     size += len(found)
@@ -228,6 +270,19 @@ def _uncut(data: bytes) -> np.ndarray:
 
 def verified(pairs: DataFrame, docs: DataFrame, known: DataFrame, n: int) -> DataFrame:
     """``(u, v)`` of the pairs whose sets are similar enough."""
+    own = known.groupBy("set_id").agg(F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
+
+    def side(c: str) -> DataFrame:
+        return own.select(F.col("set_id").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"s_{c}"))
+
+    def near(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            apart = [sketch_distance(a, b) for a, b in zip(f["s_u"], f["s_v"], strict=True)]
+            yield f.loc[np.array(apart) * (WHOLE + SHARE) <= (f["n_u"] + f["n_v"]) * (WHOLE - SHARE), ["u", "v"]]
+
+    sized = pairs.join(side("u"), "u").join(side("v"), "v").where(
+        F.least("n_u", "n_v") * WHOLE >= F.greatest("n_u", "n_v") * SHARE)
+    pairs = stored(sized.mapInPandas(near, "u long, v long"), "near")
     wanted = settle(pairs.select(F.explode(F.array("u", "v")).alias("set_id")).distinct())
     one = known.join(small_enough(wanted), "set_id", "left_semi").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"))
     ids = settle(one.select("doc_id").distinct())
@@ -239,7 +294,7 @@ def verified(pairs: DataFrame, docs: DataFrame, known: DataFrame, n: int) -> Dat
 
     # rows with equal ids may hold other texts, and rows with equal sets repeat
     sets = some.mapInPandas(sets_of, "set_id long, grams array<long>").join(wanted, "set_id", "left_semi").dropDuplicates(["set_id"])
-    sets = settle(sets)
+    sets = stored(sets, "sets")
     both = pairs.join(sets.select(F.col("set_id").alias("u"), F.col("grams").alias("a")), "u").join(
         sets.select(F.col("set_id").alias("v"), F.col("grams").alias("b")), "v")
     shared = F.size(F.array_intersect("a", "b"))
@@ -252,20 +307,21 @@ def _ordered(pairs: DataFrame, a: str, b: str) -> DataFrame:
 
 
 def link(docs: DataFrame, id_column: str = "doc_id", text: str = "text", n: int = WORDS) -> DataFrame:
-    """``(doc_id, n_shingles, component_id, set_id, n_links)`` for every row.
+    """``(doc_id, n_shingles, component_id, set_id, n_links, root, row)`` for every row.
 
     Texts link when their n-gram sets have a similarity of at least three quarters; the component is the smallest ``doc_id`` reachable
     by links. ``n_links`` counts the verified links of a row's set to other sets; links that follow from others needn't be verified, so it
     is at least 1 where there is any. A null or empty text has no n-grams and links with nothing. Equal rows are one set. A null id is
-    never the smallest; a component of null ids has a null id. Extra columns are ignored.
+    never the smallest; a component of null ids has a null id. ``root`` names the component also where ids are null or repeat, and
+    ``row`` is a hash of all columns. Extra columns are ignored.
     """
     workers_import(docs.sparkSession)
-    rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text).alias("_t"))
-    known = settle(identify(rows, n))
+    rows = docs.select(F.col(id_column).alias("doc_id"), row_hash(docs).alias("row"), F.col(text).alias("_t"))
+    known = stored(identify(rows, n), "known")
     total = known.agg(F.sum("n_shingles")).first()[0] or 0
     shards = max(1, -(-total * 45 // 100 // SHARD_KEYS))
-    often, ranks = frequent_blocks(rows, n)
-    stars = settle(star_pairs(rows, n, often, ranks, shards))
+    table = docs.sparkSession.sparkContext.broadcast(frequency_table(rows, n, total))
+    stars = stored(star_pairs(rows, n, table, shards), "stars")
     tried = settle(_ordered(stars, "center", "member"))
     links = settle(verified(tried, rows, known, n))
     roots = settle(components(links))
@@ -276,12 +332,8 @@ def link(docs: DataFrame, id_column: str = "doc_id", text: str = "text", n: int
         "_a <> _b AND _n > 2").select("key")
     apart = settle(members.join(split, "key", "left_semi"))
     other = apart.select("key", F.col("node").alias("node2"), F.col("root").alias("root2"))
-    sizes = known.select("set_id", "n_shingles").distinct()
     rest = _ordered(apart.join(other, "key").where("node < node2 AND root <> root2").select("node", "node2").distinct(), "node", "node2")
-    near = rest.join(sizes.select(F.col("set_id").alias("u"), F.col("n_shingles").alias("_p")), "u").join(
-        sizes.select(F.col("set_id").alias("v"), F.col("n_shingles").alias("_q")), "v").where(
-        F.least("_p", "_q") * WHOLE >= F.greatest("_p", "_q") * SHARE).select("u", "v")
-    open_ = settle(near.join(tried, ["u", "v"], "left_anti"))
+    open_ = settle(rest.join(tried, ["u", "v"], "left_anti"))
     if not open_.isEmpty():
         links = settle(links.unionByName(verified(open_, rows, known, n)))
         roots = settle(components(links))
@@ -291,7 +343,26 @@ def link(docs: DataFrame, id_column: str = "doc_id", text: str = "text", n: int
         roots.withColumnRenamed("node", "set_id"), "set_id", "left").join(degree, "set_id", "left").withColumn(
         "root", F.coalesce("root", "set_id"))
     least = per_set.groupBy("root").agg(F.min("_first").alias("_least"))
-    named = per_set.join(least, "root").select("set_id", "_least", "n_links")
+    named = per_set.join(least, "root").select("set_id", "_least", "n_links", "root")
     return known.join(named, "set_id").select(
         "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("_least")).otherwise(F.col("doc_id")).alias("component_id"),
-        F.when(F.col("n_shingles") > 0, F.col("set_id")).alias("set_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+        F.when(F.col("n_shingles") > 0, F.col("set_id")).alias("set_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"),
+        F.when(F.col("n_shingles") > 0, F.col("root")).alias("root"), "row")
+
+
+def row_hash(docs: DataFrame):
+    return F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text", n: int = WORDS) -> DataFrame:
+    """The row with the smallest id of each component, and every row without words; all columns stay. Of equal rows one stays."""
+    linked = link(docs, id_column, text, n)
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))["row"].alias("row")
+    best = linked.where("root IS NOT NULL").groupBy("root").agg(first).select("row").unionByName(
+        linked.where("root IS NULL").select("row"))
+    times = linked.where("root IS NOT NULL").groupBy("row").agg(F.count(F.lit(1)).alias("_times")).where("_times > 1")
+    best = settle(best.distinct().join(times, "row", "left"))
+    marked = docs.withColumn("_row_hash", row_hash(docs)).join(
+        small_enough(best).withColumnRenamed("row", "_row_hash"), "_row_hash")
+    once = marked.where("_times IS NULL")
+    return once.unionByName(marked.where("_times IS NOT NULL").dropDuplicates(["_row_hash"])).select(docs.columns)

@@ -331,41 +331,58 @@ def redact(text: str, spans: list[tuple[str, int, int]]) -> str:
     return "".join([*out, text[end:]])
 
 
-def find_personal(docs: DataFrame, id_column: str = "doc_id", text: str = "text", labelled: pd.DataFrame | None = None,
-                  carry: tuple[str, ...] = ()) -> DataFrame:
-    """``(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_secret, redacted)`` of every row's whole text.
+def find_personal(docs: DataFrame, id_column: str = "doc_id", text: str = "text", labelled: pd.DataFrame | None = None) -> DataFrame:
+    """``(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_secret)`` of every row's whole text.
 
     ``spans`` lists ``kind:start:end`` in code points, base kinds first; a secret that overlaps a base span is dropped. A null text
-    has no spans and stays null. Equal rows get equal results. ``carry`` names further columns to keep; others are dropped.
+    has no spans. Equal rows get equal results; extra columns are dropped.
     """
     workers_import(docs.sparkSession)
     field = train(labelled_rows() if labelled is None else labelled)
-    rows = docs.select(F.col(id_column).alias("_id"), F.col(text).alias("_t"), *carry)
-    kept = ", ".join(f"`{n}` {t}" for n, t in rows.select(*carry).dtypes)
+    rows = docs.select(F.col(id_column).alias("_id"), F.col(text).alias("_t"))
     counts = ", ".join(f"n_{k} long" for k in KINDS)
-    schema = f"doc_id {dict(rows.dtypes)['_id']}, {counts}, base_sha256 string, spans string, n_secret long, redacted string" + (
-        f", {kept}" if kept else "")
+    schema = f"doc_id {dict(rows.dtypes)['_id']}, {counts}, base_sha256 string, spans string, n_secret long"
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tagger = Tagger(field)
         for frame in frames:
-            texts = frame["_t"].tolist()
             out = []
-            for a, b in slices([len(t or "") for t in texts], SLICE_CHARS):
-                part = [t or "" for t in texts[a:b]]
-                tagged: dict[int, list[int]] = {}
-                for i, place in tagger.secrets([t.split() for t in part]):
-                    tagged.setdefault(i, []).append(place)
-                for i, t in enumerate(part):
-                    base = base_spans(t)
-                    extra = [s for s in secret_spans(t, tagged[i]) if all(s[2] <= x or y <= s[1] for _, x, y in base)] if i in tagged else []
-                    n = [sum(s[0] == k for s in base) for k in KINDS] if base else [0] * len(KINDS)
-                    out.append((*n, hashlib.sha256(_joined(base).encode()).hexdigest(), _joined(base + extra), len(extra),
-                                None if texts[a + i] is None else redact(t, base + extra) if base or extra else t))
-            made = pd.DataFrame(out, columns=[*(f"n_{k}" for k in KINDS), "base_sha256", "spans", "n_secret", "redacted"])
+            for _, base, extra in _spans_of(tagger, frame["_t"].tolist()):
+                n = [sum(s[0] == k for s in base) for k in KINDS] if base else [0] * len(KINDS)
+                out.append((*n, hashlib.sha256(_joined(base).encode()).hexdigest(), _joined(base + extra), len(extra)))
+            made = pd.DataFrame(out, columns=[*(f"n_{k}" for k in KINDS), "base_sha256", "spans", "n_secret"])
             made.insert(0, "doc_id", frame["_id"])
-            for c in carry:
-                made[c] = frame[c]
             yield made
 
     return rows.mapInPandas(run, schema)
+
+
+def _spans_of(tagger: Tagger, texts: list[str | None]) -> Iterator[tuple[str | None, list, list]]:
+    """Each text with its base spans and its secrets that overlap none of them."""
+    for a, b in slices([len(t or "") for t in texts], SLICE_CHARS):
+        part = [t or "" for t in texts[a:b]]
+        tagged: dict[int, list[int]] = {}
+        for i, place in tagger.secrets([t.split() for t in part]):
+            tagged.setdefault(i, []).append(place)
+        for i, t in enumerate(part):
+            base = base_spans(t)
+            extra = [s for s in secret_spans(t, tagged[i]) if all(s[2] <= x or y <= s[1] for _, x, y in base)] if i in tagged else []
+            yield texts[a + i], base, extra
+
+
+def redact_texts(docs: DataFrame, text: str = "text", labelled: pd.DataFrame | None = None) -> DataFrame:
+    """All rows and columns, with every span in ``text`` replaced by its kind in brackets; a null text stays null."""
+    workers_import(docs.sparkSession)
+    field = train(labelled_rows() if labelled is None else labelled)
+    place = docs.columns.index(text)
+
+    def run(batches):
+        import pyarrow as pa
+
+        tagger = Tagger(field)
+        for batch in batches:
+            clean = [t if t is None or not (base or extra) else redact(t, base + extra)
+                     for t, base, extra in _spans_of(tagger, batch.column(place).to_pylist())]
+            yield batch.set_column(place, batch.schema.field(place), pa.array(clean, batch.schema.field(place).type))
+
+    return docs.mapInArrow(run, docs.schema)

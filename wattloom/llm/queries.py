@@ -27,7 +27,7 @@ def _query(name: str, sql: str | None = None):
 
 @_query("op1_ngram_join")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.link(_table(spark, sf_dir, "documents")).drop("set_id")
+    return ngram_join.link(_table(spark, sf_dir, "documents")).drop("set_id", "root", "row")
 
 
 @_query("op2_suffix_dedup")
@@ -47,7 +47,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("op5_pii")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.find_personal(_table(spark, sf_dir, "documents")).drop("redacted")
+    return pii.find_personal(_table(spark, sf_dir, "documents"))
 
 
 @_query("op6_mixing", mixing.mix_sql())

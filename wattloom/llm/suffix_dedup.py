@@ -14,9 +14,9 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from wattloom.llm.common import new_folder, slices, small_enough, workers_import
+from wattloom.llm.common import slices, small_enough, stored, workers_import
 from wattloom.llm.hashing import mix
 
 LENGTH = 400
@@ -27,14 +27,6 @@ _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Written to the shared folder and read again: shorter than a checkpoint, and as safe."""
-    spark: SparkSession = df.sparkSession
-    folder = new_folder(spark, name)
-    df.write.parquet(folder)
-    return spark.read.schema(df.schema).parquet(folder)
-
-
 class Hasher:
     """Hashes of any byte ranges of one buffer in constant time each."""
 

@@ -14,7 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from wattloom.llm.common import slices, workers_import
+from wattloom.llm.common import filter_rows, slices, workers_import
 
 WINDOW, STRIDE = 32, 24
 HELD_OUT_OF = 5
@@ -390,18 +390,13 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str = "toxic", id
     return [r["_t"] for r in rows], [r["_y"] for r in rows]
 
 
-def score_texts(docs: DataFrame, weights: dict, id_column: str = "doc_id", text: str = "text",
-                carry: tuple[str, ...] = ()) -> DataFrame:
-    """``(doc_id, held_out, score, predicted)`` of every row's whole text, and the columns that ``carry`` names.
+def score_texts(docs: DataFrame, weights: dict, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """``(doc_id, held_out, score, predicted)`` of every row's whole text.
 
     Only the text decides a score. A null or empty text scores 0. Equal texts score alike; other columns are dropped.
     """
     workers_import(docs.sparkSession)
-    extra = [c for c in carry if c not in (id_column, text)]
-    rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text).alias("_t"), *extra)
-    kinds = dict(rows.dtypes)
-    schema = ", ".join([f"doc_id {kinds['doc_id']}", "score double", *(["_t string"] if text in carry else []),
-                        *(f"`{c}` {kinds[c]}" for c in extra)])
+    rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text).alias("_t"))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scorer = scorer_of(weights)
@@ -409,13 +404,27 @@ def score_texts(docs: DataFrame, weights: dict, id_column: str = "doc_id", text:
             texts = frame["_t"].tolist()
             parts = [scorer.scores([split_words(t or "") for t in texts[a:b]]) for a, b in slices([len(t or "") for t in texts], SLICE_CHARS)]
             frame["score"] = np.concatenate(parts) if parts else np.zeros(0)
-            yield frame if text in carry else frame.drop(columns="_t")
+            yield frame.drop(columns="_t")
 
-    scored = rows.mapInPandas(run, schema)
-    out = scored.select("doc_id", (remainder("doc_id") == 0).alias("held_out"), "score",
-                        (F.col("score") >= 0.5).cast("int").alias("predicted"), *(["_t"] if text in carry else []), *extra)
-    return out.withColumnRenamed("_t", text)
+    return rows.mapInPandas(run, f"doc_id {dict(rows.dtypes)['doc_id']}, score double").select(
+        "doc_id", (remainder("doc_id") == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, **options) -> dict:
     return train(*labelled_sample(docs, labels, **options))
+
+
+def without_toxic(docs: DataFrame, weights: dict, text: str = "text", threshold: float = 0.5) -> DataFrame:
+    """The rows that score below the threshold, with all their columns; null and empty texts stay."""
+    workers_import(docs.sparkSession)
+
+    def make():
+        scorer = scorer_of(weights)
+
+        def clean(texts: list[str | None]) -> np.ndarray:
+            parts = [scorer.scores([split_words(t or "") for t in texts[a:b]]) for a, b in slices([len(t or "") for t in texts], SLICE_CHARS)]
+            return np.concatenate([np.zeros(0), *parts]) < threshold
+
+        return clean
+
+    return filter_rows(docs, text, make)
