@@ -37,32 +37,42 @@ SLICE_CHARS = 2_000_000
 KEY_BYTES = 6
 
 
-def ngram_set(words: np.ndarray, n: int) -> np.ndarray:
-    """Sorted hashes of distinct n-grams; a shorter text is one n-gram, a text without words none."""
-    if not len(words):
-        return words
-    size = min(n, len(words))
-    grams = np.full(len(words) - size + 1, np.uint64(size), np.uint64)
-    for k in range(size):
-        grams *= np.uint64(0x9FB21C651E98DF25)
-        grams += mix(words[k:len(words) - size + 1 + k] + np.uint64(k))
-        grams ^= grams >> np.uint64(29)
-    return np.unique(mix(grams))
+_FACTOR = np.uint64(0x9FB21C651E98DF25)
 
 
 def text_sets(texts: list[str | None], n: int) -> list[np.ndarray]:
+    """Sorted hashes of the distinct n-grams of each text; a shorter text is one n-gram, a text without words none."""
     split = [ascii_words(t) for t in texts]
-    hashes = word_hashes([w for s in split for w in s])
-    ends = np.cumsum([len(s) for s in split])
-    return [ngram_set(hashes[e - len(s):e], n) for s, e in zip(split, ends.tolist(), strict=True)]
+    mixed = mix(word_hashes([w for s in split for w in s]))
+    # n-grams that run over the end of a text are never taken
+    grams = _joined(mixed, n)
+    out, end = [], 0
+    for s in split:
+        start, end = end, end + len(s)
+        if len(s) < n:
+            out.append(_joined(mixed[start:end], len(s)) if s else mixed[:0])
+            continue
+        own = np.sort(grams[start:end - n + 1])
+        new = own[1:] != own[:-1]
+        out.append(own if new.all() else own[np.concatenate([[True], new])])
+    return out
+
+
+def _joined(words: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of all runs of so many words."""
+    grams = np.full(max(0, len(words) - size + 1), np.uint64(size), np.uint64)
+    for k in range(size):
+        grams *= _FACTOR
+        grams += words[k:len(grams) + k]
+    return mix(grams)
 
 
 def set_id(grams: np.ndarray) -> int:
     """A 63-bit hash of a set: texts with equal sets have equal ids."""
     if not len(grams):
         return -1
-    total = mix(grams + np.uint64(1)).sum(dtype=np.uint64) ^ np.bitwise_xor.reduce(mix(grams))
-    return int(mix(np.array([total + np.uint64(len(grams))], np.uint64))[0] >> np.uint64(1))
+    both = np.array([grams.sum(dtype=np.uint64), np.bitwise_xor.reduce(grams * _FACTOR)]) + np.uint64(len(grams))
+    return int(np.bitwise_xor.reduce(mix(both)) >> np.uint64(1))
 
 
 def bands(size: int) -> list[tuple[int, int]]:
@@ -165,7 +175,7 @@ def frequency_table(docs: DataFrame, n: int, total: int) -> np.ndarray:
 
         for _, sets in _frames(frames, n):
             for s in sets:
-                if len(s) and (i := set_id(s)) not in ids:
+                if len(s) and (i := (len(s), int(s[0]), int(s[-1]))) not in ids:  # copies count once
                     ids.add(i)
                     found = [block_keys(s, blocks) for blocks, _ in bands(len(s))]
                     held += found
