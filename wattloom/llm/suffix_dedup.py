@@ -158,9 +158,12 @@ def repeated_starts(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
         again = hashes.join(repeated(hashes, "core"), "core", "left_semi")
         whole = hashes.where("context IS NOT NULL").groupBy("context").agg(
             F.count(F.lit(1)).alias("_n"), F.min(F.struct("tid", "a")).alias("_first")).where("_n > 1")
-        judged = stored(again.join(whole, "context", "left").select(
+        met = again.where("context IS NOT NULL").join(whole, "context", "left").select(
             "tid", "a", "c0", "c1", "core", F.col("_n").isNotNull().alias("_again"),
-            F.coalesce(F.struct("tid", "a") == F.col("_first"), F.lit(False)).alias("_stands")), "judged")
+            F.coalesce(F.struct("tid", "a") == F.col("_first"), F.lit(False)).alias("_stands"))
+        no = F.lit(False)
+        judged = stored(met.unionByName(again.where("context IS NULL").select(
+            "tid", "a", "c0", "c1", "core", no.alias("_again"), no.alias("_stands"))), "judged")
         done.append(judged.where("_again").select(
             "tid", (F.col("a") - F.col("c1")).alias("lo"), (F.col("a") - F.col("c0")).alias("hi")))
         # one of the blocks with a repeated context goes on, where others with its core are open, as what they may repeat
