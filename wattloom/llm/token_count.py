@@ -229,6 +229,8 @@ class TokenCounter:
     def count(self, texts: list[str]) -> np.ndarray:
         """Tokens of each text; the strings of added tokens count as one token each."""
         out = np.zeros(len(texts), np.int64)
+        if not texts:
+            return out
         parts, owner = [], []
         for i, text in enumerate(texts):
             segments = [text]
