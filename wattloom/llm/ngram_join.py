@@ -8,8 +8,9 @@ the key space, how many sets have the most frequent block there.
 
 Equal blocks are joined by stars: the smallest member of a block is paired with each other one, first within the texts that one task
 reads, then among all. Pairs are first held against sketches of single bits, whose Hamming distance is at most the symmetric difference
-of the sets, and then verified on the whole sets. Where that leaves members of a block in different components, the
-pairs of members that are still apart are verified too, so no link is lost, and none is looked for within a component.
+of the sets, and then verified on the whole sets. Where that leaves members of a block in different components, the sketches of those
+still apart are compared, a bounded number of members against as many in a task, and the pairs that pass are verified too. So no link
+is lost, and none is looked for within a component.
 """
 
 from collections.abc import Iterator
@@ -33,6 +34,8 @@ SLOT_BITS, OFTEN = 24, 3
 #: Block keys that a map task holds before it sends them on, and about how many a reduce task gets.
 CHUNK_KEYS, SHARD_KEYS = 1_500_000, 1_000_000
 COUNT_KEYS, LEAST_SHARD_BITS = 4_000_000, 8
+#: Members of a block that are compared with as many others at once; larger blocks are cut into cells.
+CELL = 2000
 SLICE_CHARS = 2_000_000
 KEY_BYTES = 6
 
@@ -312,6 +315,72 @@ def verified(pairs: DataFrame, docs: DataFrame, known: DataFrame, n: int) -> Dat
         F.col("_i") * WHOLE >= (F.size("a") + F.size("b") - F.col("_i")) * SHARE).select("u", "v")
 
 
+def _folded(sketches: np.ndarray, size: int) -> np.ndarray:
+    while sketches.shape[1] > size:
+        half = sketches.shape[1] // 2
+        sketches = sketches[:, :half] ^ sketches[:, half:]
+    return sketches
+
+
+def near_pairs(node: np.ndarray, root: np.ndarray, size: np.ndarray, part: np.ndarray, sketch: list[bytes]) -> list[tuple[int, int]]:
+    """Pairs of members with different roots, sizes that can link, and sketches near enough; with two parts only pairs across them."""
+    across = part.min() != part.max()
+    lengths = np.array([len(x) for x in sketch])
+    kinds = np.unique(lengths)
+    matrix = {k: np.frombuffer(b"".join(x for x in sketch if len(x) == k), np.uint64).reshape(-1, k // 8) for k in kinds.tolist()}
+    rows = {k: np.flatnonzero(lengths == k) for k in kinds.tolist()}
+    out = []
+    for a, small in enumerate(kinds.tolist()):
+        for large in kinds.tolist()[a:]:
+            other, at = _folded(matrix[large], small // 8), rows[large]
+            for i, mine in zip(rows[small].tolist(), matrix[small], strict=True):
+                fit = root[at] != root[i]
+                fit &= np.minimum(size[at], size[i]) * WHOLE >= np.maximum(size[at], size[i]) * SHARE
+                if small == large:
+                    fit &= at > i
+                if across:
+                    fit &= part[at] != part[i]
+                if fit.any():
+                    j = np.flatnonzero(fit)
+                    gap = np.bitwise_count(other[j] ^ mine).sum(1, dtype=np.int64)
+                    j = at[j[gap * (WHOLE + SHARE) <= (size[at[j]] + size[i]) * (WHOLE - SHARE)]]
+                    out += [(min(node[i], x), max(node[i], x)) for x in node[j].tolist()]
+    return out
+
+
+def apart_pairs(members: DataFrame, known: DataFrame) -> DataFrame:
+    """``(u, v)`` of members ``(key, node, root)`` of a block that are in different components and may link."""
+    split = members.groupBy("key").agg(F.min("root").alias("_a"), F.max("root").alias("_b"), F.count(F.lit(1)).alias("_n")).where(
+        "_a <> _b AND _n > 2").select("key", F.ceil(F.col("_n") / CELL).cast("int").alias("_cells"))
+    own = known.groupBy("set_id").agg(F.first("n_shingles").alias("size"), F.first("sketch").alias("sketch"))
+    cells = members.join(split, "key").withColumn("part", F.pmod(F.xxhash64("node"), "_cells").cast("int")).withColumn(
+        "_with", F.explode(F.sequence(F.lit(0), F.col("_cells") - 1)))
+    cells = cells.select("key", "node", "root", "part", F.least("part", "_with").alias("c1"), F.greatest("part", "_with").alias("c2"))
+    rows = cells.join(own.withColumnRenamed("set_id", "node"), "node")
+    names = ["key", "c1", "c2"]
+    ordered = rows.select(*names, "node", "root", "size", "part", "sketch").repartition(*names).sortWithinPartitions(*names)
+
+    def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for frame in frames:
+            frame = frame if held is None else pd.concat([held, frame], ignore_index=True)
+            keys = frame[names].to_numpy()
+            cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1
+            held = frame.iloc[cuts[-1]:] if len(cuts) else frame
+            yield found(frame, [0, *cuts.tolist()])
+        if held is not None:
+            yield found(held, [0, len(held)])
+
+    def found(frame: pd.DataFrame, cuts: list[int]) -> pd.DataFrame:
+        columns = [frame[c].to_numpy() for c in ("node", "root", "size", "part")]
+        sketches, pairs = frame["sketch"].tolist(), set()
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            pairs.update(near_pairs(*(c[a:b] for c in columns), sketches[a:b]))
+        return pd.DataFrame(sorted(pairs), columns=["u", "v"], dtype=np.int64)
+
+    return ordered.mapInPandas(compare, "u long, v long").distinct()
+
+
 def _ordered(pairs: DataFrame, a: str, b: str) -> DataFrame:
     return pairs.select(F.least(a, b).alias("u"), F.greatest(a, b).alias("v")).distinct()
 
@@ -338,12 +407,7 @@ def link(docs: DataFrame, id_column: str = "doc_id", text: str = "text", n: int
     # blocks whose members are not all in one component yet
     members = stars.select("key", F.explode(F.array("center", "member")).alias("node")).distinct().join(roots, "node", "left").select(
         "key", "node", F.coalesce("root", "node").alias("root"))
-    split = members.groupBy("key").agg(F.min("root").alias("_a"), F.max("root").alias("_b"), F.count(F.lit(1)).alias("_n")).where(
-        "_a <> _b AND _n > 2").select("key")
-    apart = settle(members.join(split, "key", "left_semi"))
-    other = apart.select("key", F.col("node").alias("node2"), F.col("root").alias("root2"))
-    rest = _ordered(apart.join(other, "key").where("node < node2 AND root <> root2").select("node", "node2").distinct(), "node", "node2")
-    open_ = settle(rest.join(tried, ["u", "v"], "left_anti"))
+    open_ = settle(apart_pairs(members, known).join(tried, ["u", "v"], "left_anti"))
     if not open_.isEmpty():
         links = settle(links.unionByName(verified(open_, rows, known, n)))
         roots = settle(components(links))
