@@ -32,11 +32,11 @@ SMALL_SET = 128
 #: Slots of the frequency table, a byte each, and the least number of sets that counts as frequent. The table is broadcast.
 SLOT_BITS, OFTEN = 24, 3
 #: Block keys that a map task holds before it sends them on, and about how many a reduce task gets.
-CHUNK_KEYS, SHARD_KEYS = 1_500_000, 1_000_000
-COUNT_KEYS, LEAST_SHARD_BITS = 4_000_000, 8
+CHUNK_KEYS, SHARD_KEYS = 1_000_000, 1_000_000
+COUNT_KEYS, LEAST_SHARD_BITS = 1_500_000, 8
 #: Members of a block that are compared with as many others at once; larger blocks are cut into cells.
 CELL = 2000
-SLICE_CHARS = 2_000_000
+SLICE_CHARS = 1_000_000
 KEY_BYTES = 6
 
 
