@@ -6,7 +6,7 @@ from tests.oracle import compare, connect
 from wattloom.catalog import QUERIES, SQL, load_all
 
 load_all()
-SF = "/root/testdata/sf0.001"
+SF, LARGER = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="module")
@@ -17,10 +17,12 @@ def con():
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, con, name):
     if name not in SQL:
-        QUERIES[name](spark, SF).count()
+        assert QUERIES[name](spark, SF).count()
         return
     issue = compare(QUERIES[name](spark, SF), con, SQL[name])
-    assert issue in (None, "no rows"), issue
+    if issue == "no rows":  # some need more data; an empty result never passes
+        issue = compare(QUERIES[name](spark, LARGER), connect(LARGER), SQL[name])
+    assert issue is None, issue
 
 
 def test_entry_contract():

@@ -154,3 +154,20 @@ def test_small_tables(spark, folder, rows):
 
 def test_payload_parsers_are_registered():
     assert set(payloads.PARSERS) == {k for k in dispatch.TIME_DEFAULTS if k.startswith("api_")}
+
+
+def test_a_mark_inside_a_cell_is_no_header(spark, folder, rows):
+    base = folder("unit_2024-01-03_log.csv", "time,p\n\"A time of reset\",4\n00:02:00,5\n")
+    assert rows(dispatch.read_raw(spark, "csv_nclarity", base, "s"), "ts", "variable", "value") == [(t(0, 2), "p", 5.0)]
+
+
+def test_dated_preambles_are_no_data(spark, folder, rows):
+    dent = "".join(f"line {i},1,2,3\n" for i in range(11)) + "Start,1/1/2024,00:00:00,7\nn,d,t,kW\n1,01/03/2024,00:00:30,5\n"
+    base = folder("dent/x.csv", dent)
+    assert rows(dispatch.read_raw(spark, "csv_dent", base + "/dent", "s"), "ts", "variable", "value") == [(t(0, 0), "kW", 5.0)]
+
+
+def test_site_tables_of_several_files(spark, folder, rows):
+    for site in ("a", "b"):
+        base = folder(f"sites/{site}.csv", f"site,zip\nthe site,its code\n{site},1\n")
+    assert rows(tables.read_site_table(spark, base + "/sites"), "site") == [("a",), ("b",)]

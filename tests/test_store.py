@@ -58,11 +58,16 @@ def test_events_update_insert_and_respect_edits(spark, rows):
     new = spark.createDataFrame([
         ("s", at(0), at(9), "ALARM", "long detail that goes on: 7", "v"), ("s", at(0), at(9), "ALARM", "edited by hand", "w"),
         ("s", at(0), at(9), "ALARM", "no variable", None), ("s", at(5), None, "DATA_LOSS_COP", "fresh", None)], NEW)
-    got = rows(events.upsert_events(stored, new, F.lit("2024-02-01").cast("timestamp_ntz")),
+    got = rows(events.upsert_events(stored, new, F.lit("2024-02-01").cast("timestamp_ntz"), detail_chars=20),
                "start_time_pt", "end_time_pt", "event_detail", "last_modified_by", "summary_filtered")
     assert got == [
         (at(0), at(1), "edited by hand", "someone", None), (at(0), at(9), "long detail that goes on: 7", "automatic_upload", None),
         (at(0), at(9), "no variable", "automatic_upload", None), (at(5), None, "fresh", "automatic_upload", True)]
+    # two events that share a beginning are two events, by the whole detail and by a short match
+    pair = spark.createDataFrame([("s", at(7), at(9), "ALARM", f"Technician replaced {x}", None) for x in ("pump A", "valve B")], NEW)
+    for chars in (None, 10):
+        out = events.upsert_events(stored, pair, F.lit("2024-02-01").cast("timestamp_ntz"), detail_chars=chars)
+        assert out.where("start_time_pt = TIMESTAMP_NTZ'2024-01-03 00:07:00'").select("id").distinct().count() == 2
     with pytest.raises(Exception, match="unknown event type"):
         events.upsert_events(stored, new.withColumn("event_type", F.lit("OTHER"))).collect()
 
@@ -208,7 +213,7 @@ def test_transform_order_hooks_weather_and_labels(spark, rows):
     rules = spark.createDataFrame([("x", "Temp_x", 1, None)], RULES)
     oat = spark.createDataFrame([("s", at(60 * h), 40.0 + h) for h in range(48)], "site string, ts timestamp_ntz, OAT_NOAA double")
     plan = spark.createDataFrame([("s", "shed", at(60), at(120), 0)], SCHEDULE)
-    out = central.transform(raw, rules, schedule=plan, weather=oat, pre_aggregation=lambda d: d.withColumn("value", F.col("value") / 2))
+    out = central.transform(raw, rules, schedule=plan, weather=oat, oat="OAT_NOAA", pre_aggregation=lambda d: d.withColumn("value", F.col("value") / 2))
     assert {r[0] for r in rows(out.hour, "variable")} == {"Temp_x", "OAT_NOAA"}
     assert rows(out.day, "variable", "value") == [("OAT_NOAA", 51.5), ("Temp_x", 50.0)]
     assert rows(out.hour_state.where("system_state = 'shed'"), "ts") == [(at(60),)]
@@ -238,3 +243,29 @@ def test_run_from_files_to_tables(spark, tmp_path, rows):
     assert again.count() == 0
     both = central.extract(spark, "csv", str(src), "s", stored=stored, reprocess=True, name_start=-18, name_end=-4)
     assert both.count() == 1440
+
+
+def test_fill_reaches_the_rows_of_other_devices(spark, rows):
+    """A gap in one device's file is filled at the times of another's."""
+    raw = readings(spark, (0, "a", 1.0), (1, "b", 5.0), (2, "b", 6.0))
+    rules = spark.createDataFrame([(v, v, 1, None) for v in "ab"], "variable_alias string, variable_name string, changepoint int, ffill_length int")
+    out = central.transform(raw, rules, settle=False)
+    assert rows(out.minute.where("variable = 'a'"), "ts", "value") == [(at(0), 1.0), (at(1), 1.0), (at(2), 1.0)]
+
+
+def test_two_aliases_of_a_name_have_one_rule(spark, rows):
+    rules = spark.createDataFrame([("a1", "x", 0.0, 9.0), ("a2", "x", 0.0, 9.0)], "variable_alias string, variable_name string, lower_bound double, upper_bound double")
+    raw = readings(spark, (0, "x", 5.0), (1, "x", 50.0))
+    assert rows(cleaning.outliers_to_null(raw, rules), "ts", "value") == [(at(0), 5.0), (at(1), None)]
+    odd = rules.unionByName(rules.limit(1).withColumn("upper_bound", F.lit(1.0)))
+    with pytest.raises(Exception, match="rules disagree"):
+        cleaning.outliers_to_null(raw, odd).collect()
+
+
+def test_alarms_without_certainty_or_length_stay(spark, rows):
+    new = alarm(spark, (0, 5, None), (9, 9, 2))
+    parents, segments = alarm_store.alarm_tables(new)
+    assert rows(segments, "start_time_pt", "end_time_pt", "certainty") == [(at(0), at(5), 3), (at(9), at(9), 2)]
+    assert parents.count() == 1
+    with pytest.raises(Exception, match="unknown certainty"):
+        alarm_store.alarm_tables(new.withColumn("certainty", F.lit(7)))[1].collect()

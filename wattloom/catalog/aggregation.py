@@ -1,12 +1,15 @@
 """Aggregation, completeness, load-shift and join queries."""
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from wattloom.catalog.registry import query
 from wattloom.catalog.tables import EVENT_TYPES, grain_readings, grain_sql, readings, readings_sql, rounded, table
 from wattloom.functions.times import floor_time
 from wattloom.model import SITE, TS, VALUE, VARIABLE, complete_rows, literal_table, to_wide
 from wattloom.operators import aggregates, cleaning, intervals, joins
+from wattloom.plans import central
 
 # click counts as energy here, so both the summed and the averaged half are exercised
 NAMES = {"click": "EnergyIn_HPWH", "view": "EnergyRate_HPWH"}
@@ -109,12 +112,12 @@ def gap_statistics(spark, sf):
 
 
 def schedule(spark, sf):
-    """Load-shift windows of 1 to 30 hours derived from large orders, mapped into January 2024."""
+    """Load-shift windows of 1 to 30 hours derived from orders, mapped into January 2024."""
     start = F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(
         F.pmod("o_orderkey", F.lit(29)).cast("int"), F.pmod("o_custkey", F.lit(24)).cast("int"))
     hours = (F.pmod("o_orderkey", F.lit(30)) + 1).cast("int")
     event = F.when(F.col("o_orderstatus") == "O", "loadUp").when(F.col("o_orderstatus") == "F", "shed").otherwise("criticalPeak")
-    return table(spark, sf, "orders").where("o_totalprice > 499000").select(
+    return table(spark, sf, "orders").select(
         F.concat(F.lit("site_"), F.pmod("o_custkey", F.lit(10)).cast("string")).alias(SITE), event.alias("event"),
         start.alias("start"), (start + F.make_dt_interval(F.lit(0), hours)).alias("end"), F.col("o_orderkey").alias("seq"))
 
@@ -124,7 +127,7 @@ SCHEDULE = """sched AS (SELECT 'site_' || CAST(o_custkey % 10 AS VARCHAR) AS sit
         TIMESTAMP '2024-01-01' + to_days(CAST(o_orderkey % 29 AS INT)) + to_hours(o_custkey % 24) AS start,
         TIMESTAMP '2024-01-01' + to_days(CAST(o_orderkey % 29 AS INT)) + to_hours(o_custkey % 24)
             + to_hours(o_orderkey % 30 + 1) AS stop, o_orderkey AS seq
-    FROM orders WHERE o_totalprice > 499000)"""
+    FROM orders)"""
 
 
 @query("load_shift_state", f"""
@@ -253,33 +256,71 @@ def unseen_files(spark, sf):
     return joins.unseen(listed, registry)
 
 
-FLAGSHIP_RULES = [(v, 1.0, 300.0, 0, 2) for v in EVENT_TYPES]
-
-
-@query("minute_to_day", f"""
-    WITH m AS (SELECT 'plant' AS site, date_trunc('minute', ts) AS ts, event_type AS variable, avg(value) AS value
-               FROM events GROUP BY 1, 2, 3),
-    b AS (SELECT site, ts, variable, CASE WHEN value < 1 OR value > 300 THEN NULL ELSE value END AS value FROM m),
-    f AS (SELECT site, ts, variable, coalesce(value, last_value(value IGNORE NULLS) OVER (
-          PARTITION BY site, variable ORDER BY ts ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)) AS value FROM b),
+RULE_SCHEMA = "variable_alias string, variable_name string, lower_bound double, upper_bound double, changepoint int, ffill_length int"
+FLAGSHIP_RULES = [(v, v, 1.0, 300.0, 0, 2) for v in EVENT_TYPES]
+# without limit, for two rows, or not at all
+MIXED_RULES = [(v, v, 1.0, 300.0, *fill) for v, fill in zip(
+    EVENT_TYPES, ((1, None), (0, 2), (None, None), (1, None), (0, 1)), strict=True)]
+
+
+def transform_sql(site: str, limits: dict[str, str], minutes: bool) -> str:
+    """The transform from raw rows: a place for each variable in each row, fill, minutes, hours and days."""
+    filled = " ".join(f"WHEN '{v}' THEN last_value(v IGNORE NULLS) OVER (PARTITION BY site, variable ORDER BY m, event_id "
+                      f"ROWS BETWEEN {n} PRECEDING AND CURRENT ROW)" for v, n in limits.items())
+    minute = "UNION ALL SELECT 'MINUTE', site, variable, ts, round(value, 6) FROM mm" if minutes else ""
+    return f"""
+    WITH r AS (SELECT {site} AS site, ts, event_id, event_type, CASE WHEN value BETWEEN 1 AND 300 THEN value END AS v FROM events),
+    k AS (SELECT *, count(v) OVER (PARTITION BY site, ts) AS n FROM r),
+    t AS (SELECT DISTINCT site, event_type AS variable FROM k WHERE n > 0),
+    g AS (SELECT k.site, date_trunc('minute', ts) AS m, event_id, variable, CASE WHEN event_type = variable THEN v END AS v
+          FROM k JOIN t ON k.site = t.site WHERE n > 0),
+    f AS (SELECT site, m, variable, coalesce(v, CASE variable {filled} END) AS v FROM g),
+    mm AS (SELECT site, m AS ts, variable, avg(v) AS value FROM f GROUP BY 1, 2, 3),
     h AS (SELECT site, variable, date_trunc('hour', ts) AS hour, sum(value) AS s, count(value) AS n, count(*) AS r
-          FROM f GROUP BY 1, 2, 3),
+          FROM mm GROUP BY 1, 2, 3),
     d AS (SELECT site, variable, date_trunc('day', hour) AS day, sum(s) AS s, sum(n) AS n,
           count(*) FILTER (WHERE r >= 1.2 AND n >= 1.2) AS ok, count(*) FILTER (WHERE r >= 1.2) AS hours FROM h GROUP BY 1, 2, 3)
     SELECT 'HOUR' AS grain, site, variable, hour AS ts, round(CASE WHEN n >= 1.2 THEN s / n END, 6) AS value FROM h WHERE r >= 1.2
     UNION ALL
-    SELECT 'DAY', site, variable, day, round(CASE WHEN ok >= 12 THEN s / n END, 6) FROM d WHERE hours >= 12""")
+    SELECT 'DAY', site, variable, day, round(CASE WHEN ok >= 12 THEN s / n END, 6) FROM d WHERE hours >= 12 {minute}"""
+
+
+def _transformed(spark, sf, site, rules) -> central.Tables:
+    raw = table(spark, sf, "events").select(site.alias(SITE), TS, F.col("event_type").alias(VARIABLE), VALUE, "event_id")
+    rules = literal_table(spark, rules, RULE_SCHEMA)
+    return central.transform(cleaning.outliers_to_null(raw, rules), rules, seq="event_id", hour_threshold=0.02, day_threshold=0.5, settle=False)
+
+
+def _grains(**tables: DataFrame) -> DataFrame:
+    return reduce(DataFrame.unionByName, [
+        t.select(F.lit(name.upper()).alias("grain"), SITE, VARIABLE, TS, rounded(VALUE).alias(VALUE)) for name, t in tables.items()])
+
+
+@query("minute_to_day", transform_sql("'plant'", dict.fromkeys(EVENT_TYPES, "2"), False))
 def minute_to_day(spark, sf):
-    """Floor, average duplicates, bounds, fill, then complete hours and days: the main transform."""
-    raw = table(spark, sf, "events").select(
-        F.lit("plant").alias(SITE), TS, F.col("event_type").alias(VARIABLE), VALUE)
-    rules = literal_table(
-        spark, FLAGSHIP_RULES,
-        "variable_name string, lower_bound double, upper_bound double, changepoint int, ffill_length int")
-    minutes = cleaning.average_duplicates(cleaning.floor_to(raw, "MINUTE"))
-    filled = cleaning.forward_fill(cleaning.outliers_to_null(minutes, rules), rules)
-    both = aggregates.both_grains(aggregates.hour_parts(filled), hour_threshold=0.02, day_threshold=0.5)
-    return both.withColumn(VALUE, rounded(VALUE))
+    """Bounds, floor, fill, average duplicates, then complete hours and days: the main transform."""
+    out = _transformed(spark, sf, F.lit("plant"), FLAGSHIP_RULES)
+    return _grains(hour=out.hour, day=out.day)
+
+
+@query("transform_day", transform_sql(
+    "'site_' || user_id % 10", {"click": "UNBOUNDED", "error": "2", "signup": "UNBOUNDED", "view": "1"}, True))
+def transform_day(spark, sf):
+    """The main transform of sites with sparse devices and a fill rule of each kind."""
+    out = _transformed(spark, sf, F.concat(F.lit("site_"), F.pmod("user_id", F.lit(10)).cast("string")), MIXED_RULES)
+    return _grains(minute=out.minute, hour=out.hour, day=out.day)
+
+
+@query("completeness_exclusion", f"""
+    WITH g AS (SELECT * FROM ({grain_sql('minute', 2)})), v AS (SELECT DISTINCT site, variable FROM g), m AS (SELECT DISTINCT site, ts FROM g),
+    w AS (SELECT m.site, m.ts, v.variable, g.value FROM m JOIN v ON m.site = v.site
+          LEFT JOIN g ON g.site = m.site AND g.ts = m.ts AND g.variable = v.variable),
+    h AS (SELECT site, variable, date_trunc('hour', ts) AS ts, avg(value) AS value, count(value) AS n, count(*) AS r FROM w GROUP BY 1, 2, 3)
+    SELECT site, variable, ts, round(CASE WHEN n >= 3 OR variable = 'view' THEN value END, 6) AS value FROM h WHERE r >= 3""")
+def completeness_exclusion(spark, sf):
+    """A variable that is exempt keeps its hourly value however few minutes it has."""
+    parts = aggregates.hour_parts(complete_rows(grain_readings(spark, sf, "MINUTE", 2)))
+    return aggregates.complete_hours(parts, 0.05, exclude=["view"]).withColumn(VALUE, rounded(VALUE))
 
 
 @query("long_to_wide", WIDE)

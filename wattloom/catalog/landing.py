@@ -3,23 +3,28 @@
 from pyspark.sql import DataFrame, functions as F
 
 from wattloom.catalog.registry import query
-from wattloom.catalog.tables import rounded, table
+from wattloom.catalog.tables import EVENT_TYPES, rounded, table
 from wattloom.model import SITE, TS, VALUE, VARIABLE, literal_table
 from wattloom.sources import files, logger_csv, payloads, weather
 
-BASE = "SELECT user_id % 5 AS u, ts, date_trunc('second', ts) AS sec, event_type, value, event_id FROM events WHERE event_type IN ('click', 'view')"
+BASE = "SELECT user_id % 5 AS u, ts, date_trunc('second', ts) AS sec, event_type, value, event_id FROM events"
 BOTH = f"""SELECT b.*, v.variable AS name, CASE WHEN event_type = v.variable THEN value END AS v
-    FROM ({BASE}) b CROSS JOIN (VALUES ('click'), ('view')) v(variable)"""
+    FROM ({BASE}) b CROSS JOIN (VALUES {", ".join(f"('{t}')" for t in EVENT_TYPES)}) v(variable)"""
+NAMES = ",".join(EVENT_TYPES)
+
+
+def _stray(mark: str) -> str:
+    """A line below the header with the header's mark inside a text; it has no time, so it is no reading."""
+    return f'"A {mark} of reset",1,2,3,4,5'
 
 
 def _base(spark, sf) -> DataFrame:
-    return table(spark, sf, "events").where(F.col("event_type").isin("click", "view")).withColumn("u", F.pmod("user_id", F.lit(5)))
+    return table(spark, sf, "events").withColumn("u", F.pmod("user_id", F.lit(5)))
 
 
-def _pair(first: str = "click", second: str = "view"):
-    """Two CSV fields, one of them empty."""
-    one = lambda n: F.when(F.col("event_type") == n, F.col(VALUE).cast("string")).otherwise("")
-    return F.concat_ws(",", one(first), one(second))
+def _fields():
+    """A CSV field for each event type, all but one empty."""
+    return F.concat_ws(",", *[F.when(F.col("event_type") == n, F.col(VALUE).cast("string")).otherwise("") for n in EVENT_TYPES])
 
 
 def _lines(rows: DataFrame, *head: str) -> DataFrame:
@@ -40,8 +45,8 @@ def _name(before: str, after: str):
 @query("csv_lines", f"SELECT 'lab' AS site, sec AS ts, name AS variable, v AS value FROM ({BOTH})")
 def csv_lines(spark, sf):
     time = F.date_format(TS, "yyyy/MM/dd HH:mm:ss")
-    lines = _file(spark, sf, _name("f", ".csv"), F.concat_ws(",", time, _pair()))
-    return logger_csv.plain(_lines(lines, "DateTime,click,view"), "lab")
+    lines = _file(spark, sf, _name("f", ".csv"), F.concat_ws(",", time, _fields()))
+    return logger_csv.plain(_lines(lines, f"DateTime,{NAMES}", _stray("DateTime")), "lab")
 
 
 @query("modbus_lines", f"""
@@ -49,8 +54,8 @@ def csv_lines(spark, sf):
     FROM ({BOTH}) GROUP BY ALL""")
 def modbus_lines(spark, sf):
     time = F.date_format(TS, "yyyy-MM-dd HH:mm:ss")
-    lines = _file(spark, sf, _name("mb-00", ".652939A5_1.log.csv"), F.concat_ws(",", time, _pair()))
-    out = logger_csv.modbus(_lines(lines, '"time(UTC)",click x,"view x"'), "lab")
+    lines = _file(spark, sf, _name("mb-00", ".652939A5_1.log.csv"), F.concat_ws(",", time, _fields()))
+    out = logger_csv.modbus(_lines(lines, '"time(UTC)",' + ",".join(f'"{n} x"' for n in EVENT_TYPES), _stray("time(UTC)")), "lab")
     return out.withColumn(VALUE, rounded(VALUE))
 
 
@@ -58,9 +63,9 @@ def modbus_lines(spark, sf):
     SELECT 'lab' AS site, date_trunc('minute', ts) AS ts, name AS variable, round(avg(v), 6) AS value FROM ({BOTH}) GROUP BY ALL""")
 def dent_lines(spark, sf):
     parts = (F.col("event_id").cast("string"), F.date_format(TS, "M/d/yyyy"), F.date_format(TS, "HH:mm:ss"))
-    lines = _file(spark, sf, _name("dent", ".csv"), F.concat_ws(",", *parts, _pair()))
-    preamble = [f"setting {i},a,b,c,d" for i in range(12)]
-    out = logger_csv.dent(_lines(lines, *preamble, "no,day,clock,click,view"), "lab")
+    lines = _file(spark, sf, _name("dent", ".csv"), F.concat_ws(",", *parts, _fields()))
+    preamble = [*(f"setting {i},a,b,c,d" for i in range(11)), "Start,1/1/2024,00:00:00,7,8,9,10,11"]
+    out = logger_csv.dent(_lines(lines, *preamble, f"no,day,clock,{NAMES}"), "lab")
     return out.withColumn(VALUE, rounded(VALUE))
 
 
@@ -68,9 +73,9 @@ def dent_lines(spark, sf):
     SELECT 'lab' AS site, date_trunc('minute', ts) AS ts, name AS variable, round(avg(v), 6) AS value FROM ({BOTH}) GROUP BY ALL""")
 def flow_lines(spark, sf):
     parts = [F.date_format(TS, p) for p in ("M", "d", "yyyy", "H", "m", "s")]
-    lines = _file(spark, sf, _name("flow", ".csv"), F.concat_ws(",", *parts, _pair()))
-    preamble = [f"meter,{i}" for i in range(6)]
-    out = logger_csv.flow(_lines(lines, *preamble, "Month,Day,Year,Hour,Minute,Second,click,view"), "lab")
+    lines = _file(spark, sf, _name("flow", ".csv"), F.concat_ws(",", *parts, _fields()))
+    preamble = [*(f"meter,{i}" for i in range(5)), "1,2,2024,3,4,5,6,7,8,9,10"]
+    out = logger_csv.flow(_lines(lines, *preamble, f"Month,Day,Year,Hour,Minute,Second,{NAMES}"), "lab")
     return out.withColumn(VALUE, rounded(VALUE))
 
 
@@ -85,8 +90,8 @@ def _epoch_text():
 @query("msa_lines", f"""
     SELECT 'lab' AS site, {LOCAL_MINUTE} AS ts, 'msa' || u || name || '_1' AS variable, round(avg(v), 6) AS value FROM ({BOTH}) GROUP BY ALL""")
 def msa_lines(spark, sf):
-    lines = _file(spark, sf, _name("msa", ".csv"), F.concat_ws(",", _epoch_text(), _pair()))
-    out = logger_csv.msa(_lines(lines, "DateEpoch(secs),click*1,view 1"), "lab", device_prefix=True)
+    lines = _file(spark, sf, _name("msa", ".csv"), F.concat_ws(",", _epoch_text(), _fields()))
+    out = logger_csv.msa(_lines(lines, "DateEpoch(secs),click*1," + ",".join(f"{n} 1" for n in EVENT_TYPES[1:]), _stray("DateEpoch(secs)")), "lab", device_prefix=True)
     return out.withColumn(VALUE, rounded(VALUE))
 
 
@@ -94,8 +99,8 @@ def msa_lines(spark, sf):
     SELECT site, ts, variable, round(a - lag(a) OVER (PARTITION BY variable ORDER BY ts), 6) AS value FROM (
         SELECT 'lab' AS site, {LOCAL_MINUTE} AS ts, 'eg' || u || '_' || name AS variable, avg(v) AS a FROM ({BOTH}) GROUP BY ALL)""")
 def egauge_lines(spark, sf):
-    lines = _file(spark, sf, _name("eg", ".csv"), F.concat_ws(",", _epoch_text(), _pair()))
-    out = logger_csv.egauge(_lines(lines, "Date & Time,click,view"), "lab")
+    lines = _file(spark, sf, _name("eg", ".csv"), F.concat_ws(",", _epoch_text(), _fields()))
+    out = logger_csv.egauge(_lines(lines, f"Date & Time,{NAMES}", _stray("Date & Time")), "lab")
     return out.withColumn(VALUE, rounded(VALUE))
 
 
@@ -106,8 +111,8 @@ def egauge_lines(spark, sf):
 def small_planet_lines(spark, sf):
     """Two aliases share one true name."""
     rules = literal_table(spark, [("sp0click", "Temp_Supply"), ("sp1click", "Temp_Supply")], "variable_alias string, variable_name string")
-    lines = _file(spark, sf, _name("sp", ".csv"), F.concat_ws(",", _epoch_text(), _pair()))
-    out = logger_csv.small_planet(_lines(lines, "DateEpoch(secs),click,view"), "lab", rules)
+    lines = _file(spark, sf, _name("sp", ".csv"), F.concat_ws(",", _epoch_text(), _fields()))
+    out = logger_csv.small_planet(_lines(lines, f"DateEpoch(secs),{NAMES}", _stray("DateEpoch(secs)")), "lab", rules)
     return out.where("value IS NOT NULL").withColumn(VALUE, rounded(VALUE))
 
 
@@ -115,8 +120,8 @@ def small_planet_lines(spark, sf):
     SELECT 'lab' AS site, sec AS ts, name AS variable, v AS value FROM ({BOTH})""")
 def nclarity_lines(spark, sf):
     name = F.concat(F.lit("unit_"), F.date_format(TS, "yyyy-MM-dd"), F.lit("_log.csv"))
-    lines = _file(spark, sf, name, F.concat_ws(",", F.date_format(TS, "HH:mm:ss"), _pair()))
-    return logger_csv.nclarity(_lines(lines, "time,click,view"), "lab")
+    lines = _file(spark, sf, name, F.concat_ws(",", F.date_format(TS, "HH:mm:ss"), _fields()))
+    return logger_csv.nclarity(_lines(lines, f"time,{NAMES}", _stray("time")), "lab")
 
 
 @query("aqsuite_registry", f"""
@@ -124,9 +129,9 @@ def nclarity_lines(spark, sf):
     UNION ALL SELECT 'lab', 'aq3.csv', TIMESTAMP '2023-01-01', TIMESTAMP '2023-02-01'""")
 def aqsuite_registry(spark, sf):
     time = F.date_format(TS, "yyyy-MM-dd HH:mm:ss")
-    lines = _file(spark, sf, _name("aq", ".csv"), F.concat_ws(",", time, _pair()))
+    lines = _file(spark, sf, _name("aq", ".csv"), F.concat_ws(",", time, _fields()))
     known = literal_table(spark, [("lab", "aq3.csv", "2023-01-01", "2023-02-01")], "site string, file_name string, start_datetime timestamp_ntz, end_datetime timestamp_ntz")
-    return files.update_registry(known, logger_csv.aqsuite(_lines(lines, "time(UTC),click,view"), "lab"), "lab")
+    return files.update_registry(known, logger_csv.aqsuite(_lines(lines, f"time(UTC),{NAMES}", _stray("time(UTC)")), "lab"), "lab")
 
 
 @query("file_name_hex_epoch", """

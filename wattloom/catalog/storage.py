@@ -27,47 +27,56 @@ def upsert_keep_existing(spark, sf):
 KINDS = "CASE o_orderstatus WHEN 'O' THEN 'SITE_VISIT' WHEN 'F' THEN 'DATA_LOSS_COP' ELSE 'ALARM' END"
 
 
+DETAIL = "'seen by the ' || CASE WHEN o_orderkey % 7 = 0 THEN 'second' ELSE 'first' END || ' crew, ' || o_orderpriority"
+KEPT_BY = ("'MV_COMMISSIONED', 'PLANT_COMMISSIONED', 'DATA_LOSS_COP', 'SYSTEM_MAINTENANCE', 'SYSTEM_TESTING'",
+           "'MV_COMMISSIONED', 'PLANT_COMMISSIONED', 'DATA_LOSS_COP', 'INSTALLATION_ERROR_COP', 'PARTIAL_OCCUPANCY', 'SOO_PERIOD_COP', "
+           "'SYSTEM_TESTING', 'EQUIPMENT_MALFUNCTION', 'SYSTEM_MAINTENANCE'")
+
+
 @query("event_upsert", f"""
     WITH stored AS (SELECT o_orderkey AS id, 'site_' || o_custkey AS site, o_orderdate AS start_time_pt, o_orderdate + INTERVAL 1 DAY AS end_time_pt,
-            {KINDS} AS event_type, 'seen ' || o_orderpriority AS event_detail,
+            {KINDS} AS event_type, {DETAIL} AS event_detail,
             CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE 'v' || o_orderkey % 3 END AS variable_name,
             CASE WHEN o_orderkey % 5 = 0 THEN 'operator' ELSE 'automatic_upload' END AS last_modified_by FROM orders WHERE o_orderkey % 2 = 0),
     new AS (SELECT o_orderkey, 'site_' || o_custkey AS site, o_orderdate AS start_time_pt, o_orderdate + INTERVAL 3 DAY AS end_time_pt, {KINDS} AS event_type,
-            'seen ' || o_orderpriority AS event_detail, CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE 'v' || o_orderkey % 3 END AS variable_name
+            {DETAIL} AS event_detail, CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE 'v' || o_orderkey % 3 END AS variable_name
             FROM orders WHERE o_orderkey % 4 = 0 OR o_orderkey % 3 = 0),
-    keyed AS (SELECT site, start_time_pt, event_type, coalesce(variable_name, '') AS v, substr(event_detail, 1, 20) AS h, max(end_time_pt) AS e FROM new GROUP BY ALL),
-    old AS (SELECT *, coalesce(variable_name, '') AS v, substr(event_detail, 1, 20) AS h,
-            row_number() OVER (PARTITION BY site, start_time_pt, event_type, coalesce(variable_name, ''), substr(event_detail, 1, 20) ORDER BY id) AS rn FROM stored)
-    SELECT o.site, o.start_time_pt, CASE WHEN k.site IS NOT NULL AND rn = 1 AND last_modified_by = 'automatic_upload' THEN k.e ELSE o.end_time_pt END AS end_time_pt,
-           o.event_type, v_name AS variable_name, last_modified_by
-    FROM (SELECT *, variable_name AS v_name FROM old) o LEFT JOIN keyed k ON o.site = k.site AND o.start_time_pt = k.start_time_pt
-         AND o.event_type = k.event_type AND o.v = k.v AND o.h = k.h
+    keyed AS (SELECT site, start_time_pt, event_type, coalesce(variable_name, '') AS v, event_detail AS h, max(end_time_pt) AS e FROM new GROUP BY ALL),
+    old AS (SELECT *, coalesce(variable_name, '') AS v, event_detail AS h,
+            row_number() OVER (PARTITION BY site, start_time_pt, event_type, coalesce(variable_name, ''), event_detail ORDER BY id) AS rn FROM stored)
+    SELECT id, o.site, o.start_time_pt, CASE WHEN k.site IS NOT NULL AND rn = 1 AND last_modified_by = 'automatic_upload' THEN k.e ELSE o.end_time_pt END AS end_time_pt,
+           o.event_type, event_detail, variable_name, last_modified_by, CAST(NULL AS BOOLEAN) AS summary_filtered, CAST(NULL AS BOOLEAN) AS optim_filtered
+    FROM old o LEFT JOIN keyed k ON o.site = k.site AND o.start_time_pt = k.start_time_pt AND o.event_type = k.event_type AND o.v = k.v AND o.h = k.h
     UNION ALL
-    SELECT k.site, k.start_time_pt, k.e, k.event_type, nullif(k.v, ''), 'automatic_upload' FROM keyed k
+    SELECT NULL, k.site, k.start_time_pt, k.e, k.event_type, h, nullif(k.v, ''), 'automatic_upload', k.event_type IN ({KEPT_BY[0]}), k.event_type IN ({KEPT_BY[1]})
+    FROM keyed k
     WHERE NOT EXISTS (SELECT 1 FROM old o WHERE o.site = k.site AND o.start_time_pt = k.start_time_pt AND o.event_type = k.event_type AND o.v = k.v AND o.h = k.h)""")
 def event_upsert(spark, sf):
     orders = table(spark, sf, "orders")
     base = orders.select(
         F.col("o_orderkey").alias("id"), F.concat(F.lit("site_"), "o_custkey").alias(SITE), F.col("o_orderdate").alias("start_time_pt"),
         (F.col("o_orderdate") + F.expr("INTERVAL '1' DAY")).alias("end_time_pt"), F.expr(KINDS).alias("event_type"),
-        F.concat(F.lit("seen "), "o_orderpriority").alias("event_detail"),
+        F.expr(DETAIL).alias("event_detail"),
         F.expr("CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE 'v' || o_orderkey % 3 END").alias("variable_name"))
     stored = base.where("id % 2 = 0").withColumns({
         "last_modified_by": F.when(F.col("id") % 5 == 0, "operator").otherwise(events.UPLOADER),
         "last_modified_date": F.col("start_time_pt")})
     new = base.where("id % 4 = 0 OR id % 3 = 0").drop("id").withColumn("end_time_pt", F.col("start_time_pt") + F.expr("INTERVAL '3' DAY"))
     out = events.upsert_events(stored, new, F.lit("2024-02-01").cast("timestamp_ntz"))
-    return out.select(SITE, "start_time_pt", "end_time_pt", "event_type", "variable_name", "last_modified_by")
+    # ids of new events are hashes; stored ones have no flags here
+    own = F.when(F.col("summary_filtered").isNull(), F.col("id")).alias("id")
+    return out.select(own, SITE, "start_time_pt", "end_time_pt", "event_type", "event_detail", "variable_name", "last_modified_by",
+                      "summary_filtered", "optim_filtered")
 
 
 @query("data_loss", f"""
     WITH n AS (SELECT site, max(ts) AS newest FROM (SELECT 'u' || CAST(user_id AS VARCHAR) AS site, ts FROM events) GROUP BY 1)
     SELECT site, TIMESTAMP '2024-02-01' AS start_time_pt, 'DATA_LOSS_COP' AS event_type FROM n
-    WHERE TIMESTAMP '2024-02-01' - newest > INTERVAL 3 DAY AND site NOT IN (SELECT 'u' || CAST(o_custkey AS VARCHAR) FROM orders WHERE o_totalprice > 490000)""")
+    WHERE TIMESTAMP '2024-02-01' - newest > INTERVAL 3 DAY AND site NOT IN (SELECT 'u' || CAST(o_custkey AS VARCHAR) FROM orders WHERE o_orderkey % 40 = 0)""")
 def data_loss(spark, sf):
     rows = table(spark, sf, "events").select(F.concat(F.lit("u"), "user_id").alias(SITE), TS)
-    stored = table(spark, sf, "orders").where("o_totalprice > 490000").select(
-        F.concat(F.lit("u"), "o_custkey").alias(SITE), F.lit(None).cast("timestamp_ntz").alias("end_time_pt"),
+    stored = table(spark, sf, "orders").select(
+        F.concat(F.lit("u"), "o_custkey").alias(SITE), F.when(F.col("o_orderkey") % 40 != 0, F.col("o_orderdate").cast("timestamp_ntz")).alias("end_time_pt"),
         F.lit("DATA_LOSS_COP").alias("event_type"))
     out = events.data_loss_events(rows, stored, F.lit("2024-02-01").cast("timestamp_ntz"))
     return out.select(SITE, "start_time_pt", "event_type")

@@ -59,20 +59,27 @@ def to_wide(long: DataFrame, variables: Sequence[str], keys: Sequence[str] = (SI
     return long.where(F.col(VARIABLE).isin(list(variables))).groupBy(*keys).agg(*cells)
 
 
-def complete_rows(long: DataFrame, variables: Sequence[str] | None = None) -> DataFrame:
-    """Add a NULL row for each variable of a site that lacks a reading at one of its times.
+def complete_rows(long: DataFrame, variables: Sequence[str] | None = None, keys: Sequence[str] = (SITE, TS)) -> DataFrame:
+    """Add a NULL row for each variable of a site that lacks a reading at one of its moments.
 
     A wide frame has such rows by nature; sparse long readings do not, and operators that count
-    rows (streaks, fill limits, completeness) need them. The variables are those the site has
-    reported, or the documented ones if they are given.
+    rows (streaks, fill limits, completeness) need them. A moment is ``keys``: a site and time, and for raw rows
+    their order. The variables are those the site has reported, or the documented ones if they are given.
+    Readings of a moment are gathered in one shuffle; a moment has a row per sensor, and copies stay.
     """
-    moments = long.select(SITE, TS).distinct()
+    keys = list(keys)
+    rest = [c for c in long.columns if c not in keys]
+    moments = long.groupBy(*keys).agg(F.collect_list(F.struct(*rest)).alias("_have"))
     if variables is None:
-        grid = moments.join(long.select(SITE, VARIABLE).distinct(), SITE)
+        names = long.groupBy(SITE).agg(F.collect_set(VARIABLE).alias("_names"))
+        moments = moments.join(names, SITE)
     else:
-        names = F.array(*[F.lit(v) for v in variables])
-        grid = moments.withColumn(VARIABLE, F.explode(names))
-    return grid.join(long, [SITE, TS, VARIABLE], "left").select(SITE, TS, VARIABLE, VALUE)
+        moments = moments.withColumn("_names", F.array(*[F.lit(v) for v in variables]))
+    types = dict(long.dtypes)
+    absent = F.transform(F.array_except("_names", F.col(f"_have.{VARIABLE}")), lambda v: F.struct(*[
+        (v if c == VARIABLE else F.lit(None).cast(types[c])).alias(c) for c in rest]))
+    kept = F.col("_have") if variables is None else F.filter("_have", lambda r: F.array_contains("_names", r[VARIABLE]))
+    return moments.select(*keys, F.inline(F.concat(kept, absent))).select(long.columns)
 
 
 def literal_table(spark: SparkSession, rows: Iterable[Sequence], schema: str) -> DataFrame:

@@ -1,5 +1,7 @@
 """Time aggregation, completeness, load-shift labels and gap statistics."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from wattloom.functions.times import floor_time, step
@@ -77,21 +79,25 @@ def _check(name: str, share: float) -> None:
         raise ValueError(f"{name} must be between 0 and 1, e.g. 0.8 for 80%")
 
 
-def complete_hours(parts: DataFrame, threshold: float = 0.8, mean_only: bool = False) -> DataFrame:
-    """Drop hours with too few rows; empty a variable with too few values in an hour that stays.
+def _exempt(exclude: Sequence[str]) -> Column:
+    return F.col(VARIABLE).isin(list(exclude)) if exclude else F.lit(False)
+
+
+def complete_hours(parts: DataFrame, threshold: float = 0.8, mean_only: bool = False, exclude: Sequence[str] = ()) -> DataFrame:
+    """Drop hours with too few rows; empty a variable with too few values in an hour that stays, unless it is in ``exclude``.
 
     Readings must have a row per variable and moment (``model.complete_rows``), as wide rows do, so
     the row count of a variable is the row count of its site.
     """
     _check("complete_hour_threshold", threshold)
     need = MINUTES_PER_HOUR * threshold
-    value = F.when(F.col("_values") >= need, F.col(VALUE))
+    value = F.when((F.col("_values") >= need) | _exempt(exclude), F.col(VALUE))
     return hourly(parts, mean_only).where(F.col("_rows") >= need).select(SITE, VARIABLE, TS, value.alias(VALUE))
 
 
 def complete_days(parts: DataFrame, hour_threshold: float = 0.8, day_threshold: float = 1.0,
-                  mean_only: bool = False) -> DataFrame:
-    """Drop days with too few complete hours; empty a variable with too few hourly values.
+                  mean_only: bool = False, exclude: Sequence[str] = ()) -> DataFrame:
+    """Drop days with too few complete hours; empty a variable with too few hourly values, unless it is in ``exclude``.
 
     The value of a day that stays comes from all its readings, also those of dropped hours.
     """
@@ -99,11 +105,11 @@ def complete_days(parts: DataFrame, hour_threshold: float = 0.8, day_threshold:
     _check("complete_day_threshold", day_threshold)
     need_hour, need_day = MINUTES_PER_HOUR * hour_threshold, HOURS_PER_DAY * day_threshold
     kept = F.col("_rows") >= need_hour
-    has_value = kept & (F.col("_values") >= need_hour) & _value(mean_only).isNotNull()
+    has_value = kept & ((F.col("_values") >= need_hour) | _exempt(exclude)) & _value(mean_only).isNotNull()
     rolled = parts.groupBy(SITE, VARIABLE, floor_time(F.col("hour"), "DAY").alias(TS)).agg(
         F.sum("_sum").alias("_sum"), F.sum("_values").alias("_values"),
         F.count(F.when(kept, 1)).alias("_hours"), F.count(F.when(has_value, 1)).alias("_full"))
-    value = F.when(F.col("_full") >= need_day, _value(mean_only))
+    value = F.when((F.col("_full") >= need_day) | _exempt(exclude), _value(mean_only))
     return rolled.where(F.col("_hours") >= need_day).select(SITE, VARIABLE, TS, value.alias(VALUE))
 
 
@@ -135,12 +141,13 @@ def both_grains(parts: DataFrame, hour_threshold: float = 0.8, day_threshold: fl
 
 
 def hour_and_day(df: DataFrame, hour_threshold: float = 0.8, day_threshold: float = 1.0,
-                 rate: str = "drop", remove_partial: bool = True, mean_only: bool = False) -> tuple[DataFrame, DataFrame]:
+                 rate: str = "drop", remove_partial: bool = True, mean_only: bool = False,
+                 exclude: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """Hourly and daily tables from one set of hour parts."""
     parts = hour_parts(df, rate, mean_only)
     if remove_partial:
-        return (complete_hours(parts, hour_threshold, mean_only),
-                complete_days(parts, hour_threshold, day_threshold, mean_only))
+        return (complete_hours(parts, hour_threshold, mean_only, exclude),
+                complete_days(parts, hour_threshold, day_threshold, mean_only, exclude))
     return (densify(hourly(parts, mean_only).drop("_values", "_rows"), "HOUR", mean_only),
             densify(daily(parts, mean_only), "DAY", mean_only))
 

@@ -65,15 +65,16 @@ def parse(rules: DataFrame, tag: str, defaults: Defaults, *, ranged: bool = Fals
         f"explode(filter(transform(split(alarm_codes, ';'), c -> trim(c)), c -> startswith(c, '{tag}'))) AS _full")
     low, high = "_bounds", "string(NULL)"
     if ranged:
-        low = ("CASE WHEN size(split(_bounds, '-')) <> 2 THEN raise_error('Expected bound range [number]-[number] in ' || _bounds) "
+        low = ("CASE WHEN size(split(_bounds, '-')) <> 2 THEN raise_error('a range is written low-high, not ' || _bounds) "
                "ELSE split(_bounds, '-')[0] END")
         high = "try_element_at(split(_bounds, '-'), 2)"
     split_up = codes.selectExpr(
         *keys, "variable", "pretty",
-        "CASE WHEN size(split(_full, ':')) > 2 THEN raise_error('Improperly formated alarm code : ' || _full) "
+        "CASE WHEN size(split(_full, ':')) > 2 THEN raise_error('more than one colon in the code ' || _full) "
         "ELSE split(_full, ':')[0] END AS code", "try_element_at(split(_full, ':'), 2) AS _bounds")
     named = split_up.selectExpr(*keys, "variable", "pretty", "_bounds", f"{role} AS role", f"{element} AS element")
-    return named.selectExpr(
+    # several aliases of a variable repeat its codes
+    return named.distinct().selectExpr(
         *keys, "variable", "pretty", f"'{tag}' AS tag", "role", "element",
         f"CASE WHEN _bounds IS NULL THEN {_default(defaults, 0)} ELSE try_cast({low} AS double) END AS bound",
         f"CASE WHEN _bounds IS NULL THEN {_default(defaults, 1)} ELSE try_cast({high} AS double) END AS bound2")
@@ -82,7 +83,7 @@ def parse(rules: DataFrame, tag: str, defaults: Defaults, *, ranged: bool = Fals
 def one_per_variable(parsed: DataFrame) -> DataFrame:
     """Fail when a variable has two codes of a tag that allows one."""
     keys = [*([SITE] if SITE in parsed.columns else []), VARIABLE, "tag"]
-    problem = F.concat(F.lit("Multiple alarm codes of "), F.col("tag"), F.lit(" for "), F.col(VARIABLE))
+    problem = F.concat(F.col(VARIABLE), F.lit(" has several codes of "), F.col("tag"))
     counted = parsed.groupBy(*keys).agg(
         F.when(F.count(F.lit(1)) > 1, F.raise_error(F.max(problem)).cast("boolean")).otherwise(F.lit(True)).alias("_one"))
     return parsed.join(counted, keys).where("_one").drop("_one")
@@ -100,7 +101,7 @@ def boundary(rules: DataFrame, default_rows: int = 15) -> DataFrame:
         *keys, F.col("variable_name").alias("variable"), pretty.alias("pretty"),
         F.col("low_alarm").cast("string").try_cast("double").alias("low"),
         F.col("high_alarm").cast("string").try_cast("double").alias("high"),
-        F.coalesce(rows, F.lit(default_rows)).alias("need"))
+        F.coalesce(rows, F.lit(default_rows)).alias("need")).distinct()
 
 
 def attach(df: DataFrame, rules: DataFrame, how: str = "inner") -> DataFrame:

@@ -98,7 +98,7 @@ def pair_rules(rules: DataFrame, tag: str, power: float, temp: float, rows: int)
     is_power, is_temp = F.col("role") == "PowerIn", F.col("role") == "Temp"
     n_power, n_temp = F.count(F.when(is_power, 1)), F.count(F.when(is_temp, 1))
     wrong = ((n_power != 1) | (n_temp != 1)) if strict else ((n_power > 1) | (n_temp > 1))
-    problem = F.concat(F.lit(f"Improper alarm codes for {tag} with id "), F.col("element"))
+    problem = F.concat(F.lit(f"{tag} needs a power and a temperature for element "), F.col("element"))
     pick = lambda c, cond: F.max(F.when(cond, F.col(c)))
     pairs = parsed.groupBy(*keys, "tag", "element").agg(
         F.when(wrong, F.raise_error(F.max(problem)).cast("string")).otherwise(pick(VARIABLE, is_power)).alias("power_variable"),
@@ -242,17 +242,32 @@ def _blocks(daily: DataFrame, parsed: DataFrame, days: int, by: list[str]) -> Da
     }).where(F.col("_n") == days)
 
 
+def _one(parsed: DataFrame, fails: Column, problem: str) -> DataFrame:
+    """The rules, after a check of each site's rules together; rules without a site are checked as one."""
+    by = SITE if SITE in parsed.columns else "_all"
+    keyed = parsed if by == SITE else parsed.withColumn("_all", F.lit(1))
+    checked = keyed.groupBy(by).agg(F.when(fails, F.raise_error(F.lit(problem)).cast("boolean")).otherwise(F.lit(True)).alias("_ok"))
+    return keyed.join(checked, by).where("_ok").select(parsed.columns)
+
+
+def _one_total(parsed: DataFrame, tag: str, needs: Column, of: Column) -> DataFrame:
+    """Fail when a site has rules that need a total power, and not exactly one of it."""
+    total = F.count(F.when((F.col("role") == "PowerIn_Total") & of, 1))
+    return _one(parsed, (F.count(F.when(needs, 1)) > 0) & (total != 1), f"{tag} needs one total power for a site")
+
+
 def power_ratio(daily: DataFrame, rules: DataFrame, days: int = 7, stored: DataFrame | None = None) -> DataFrame:
     """Share of a group's power over a block of days: outside the range, or below it for heat pumps."""
     if days < 1:
         raise ValueError("the ratio period must be at least one day")
-    parsed = codes.parse(rules, text.POWER_RATIO, {}, ranged=True, roles="ratio")
+    parsed = _one_total(codes.parse(rules, text.POWER_RATIO, {}, ranged=True, roles="ratio"), "POWRRAT", F.col("element") == "Total",
+                        F.col("element") == "Total")
     blocks = _blocks(with_stored_days(daily, stored, days) if days > 1 else daily, parsed, days, ["element"])
     is_total = F.col("role") == "PowerIn_Total"
     group_sum = F.when(F.col("element") == "Total", F.sum(F.when(is_total, F.col("block")))).otherwise(F.sum("block"))
     n_total = F.count(F.when(is_total, 1))
     problem = F.when((F.col("element") == "Total") & (n_total != 1),
-                     F.raise_error(F.lit("POWRRAT Error: There must be exactly one Total Power variable")).cast("double"))
+                     F.raise_error(F.lit("the Total group of POWRRAT needs one total")).cast("double"))
     groups = blocks.groupBy(SITE, TS, "element").agg(F.coalesce(problem, group_sum).alias("_group"))
     shares = blocks.where(~is_total | (F.col("element") != "Total")).join(groups, [SITE, TS, "element"]).withColumn(
         "percent", ratio(F.col("block"), F.col("_group")) * 100)
@@ -269,7 +284,8 @@ def outage_by_share(daily: DataFrame, rules: DataFrame, flagged: DataFrame, shar
     """Heat pump power under its share of the total over a block, for sites with no flag alarm."""
     if days <= 1:
         raise ValueError("the ratio period must be more than one day")
-    parsed = codes.parse(rules, text.OUTAGE, {"PowerIn": share}).where(F.col("role").isin("PowerIn", "PowerIn_Total"))
+    parsed = _one_total(codes.parse(rules, text.OUTAGE, {"PowerIn": share}).where(F.col("role").isin("PowerIn", "PowerIn_Total")),
+                        "HPOUTGE", F.col("role") == "PowerIn", F.lit(True))
     blocks = _blocks(with_stored_days(daily, stored, days), parsed, days, ["role"])
     totals = blocks.where("role = 'PowerIn_Total'").groupBy(SITE, TS).agg(
         F.when(F.count(F.lit(1)) == 1, F.max("block")).alias("_total"))
@@ -296,11 +312,13 @@ def soo_change(minute: DataFrame, rules: DataFrame, schedule: DataFrame, power:
                off_temp: float = 140.0, margin: float = 5.0, grain: str = "MINUTE") -> DataFrame:
     """Heat pump turns on or off while the deciding temperature is away from its setpoint."""
     parsed = codes.parse(rules, text.SOO_CHANGE, {"PowerIn": power, "ON": on_temp, "OFF": off_temp}, roles="change")
+    n_power = F.count(F.when(F.col("role") == "PowerIn", 1))
+    parsed = _one(parsed, n_power != 1, "SOOCHNG needs one power variable for a site")
     keys = [SITE] if SITE in parsed.columns else []
     mode = F.when(F.col("element").isin(list(text.MODES)), F.col("element")).otherwise("normal")
     temps = parsed.where("role IN ('ON', 'OFF')").withColumn("mode_key", mode)
     n = lambda r: F.count(F.when(F.col("role") == r, 1))
-    problem = F.concat(F.lit("SOO changes need 1 ON and 1 OFF variable for id "), F.col("element"))
+    problem = F.concat(F.lit("SOOCHNG needs an ON and an OFF temperature for "), F.col("element"))
     checked = temps.groupBy(*keys, "element").agg(
         F.when((n("ON") != 1) | (n("OFF") != 1), F.raise_error(F.max(problem)).cast("boolean")).otherwise(F.lit(True)).alias("_ok"))
     temps = temps.join(checked, [*keys, "element"]).where("_ok")

@@ -27,11 +27,19 @@ def rules_for(rules: DataFrame, site: str | None = None, system: str | None = No
 
 
 def _ruled(df: DataFrame, rules: DataFrame, *columns: str, name: str = "variable_name", how: str = "left") -> DataFrame:
-    """Join the rule of each reading, as ``_r_<column>``; rules without a site hold for every site."""
+    """Join the rule of each reading, as ``_r_<column>``; rules without a site hold for every site.
+
+    A name has one rule, however many rows (aliases) repeat it; rows that disagree fail when the plan runs.
+    """
     keys = [SITE] if SITE in rules.columns else []
-    right = rules.select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys], F.col(name).alias("_k_name"),
-        *[F.col(c).alias(f"_r_{c}") for c in columns])
+    named = rules.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col(name).alias("_k_name"))
+    if columns:
+        problem = F.raise_error(F.concat(F.lit(f"rules disagree on {', '.join(columns)} of "), F.col("_k_name")))
+        one = named.agg(F.collect_set(F.struct(*columns)).alias("_s")).select(
+            "*", F.when(F.size("_s") > 1, problem).otherwise(F.col("_s")[0]).alias("_rule"))
+        right = one.select(*[f"_k_{k}" for k in keys], "_k_name", *[F.col(f"_rule.{c}").alias(f"_r_{c}") for c in columns])
+    else:
+        right = named.agg(F.count(F.lit(1)).alias("_s")).drop("_s")
     condition = F.col(VARIABLE) == F.col("_k_name")
     for k in keys:
         condition = condition & (F.col(k) == F.col(f"_k_{k}"))

@@ -47,15 +47,11 @@ def with_group(
 
 
 def merge_alarms(alarms: DataFrame) -> DataFrame:
-    """Merge alarms of one variable, type and certainty whose gap is at most one minute.
-
-    Alarms start on a minute, so a key has no more rows than the calendar has minutes and needs no
-    segments.
-    """
+    """Merge alarms of one variable, type and certainty whose gap is at most one minute. A long history is cut by month."""
     near = F.col("start_time_pt") <= F.col("_reach") + step("MINUTE")
     merged = merge_touching(
         alarms, [SITE, "variable_name", "alarm_type", "certainty"], near,
-        start="start_time_pt", end="end_time_pt", detail="event_detail",
+        start="start_time_pt", end="end_time_pt", detail="event_detail", segment=month_segment("start_time_pt"),
     )
     return merged.select(
         SITE, "start_time_pt", "end_time_pt", "alarm_type", "event_detail", "variable_name", "certainty"
@@ -79,11 +75,17 @@ def certainty_coverage(
 ) -> DataFrame:
     """Cut intervals so that at each moment only the highest certainty remains.
 
+    A certainty that is not in ``levels`` fails. An interval without length stays as it is, unless one of its certainty or a higher one
+    covers that moment.
+
     A line sweep: each interval adds +1 at its start and -1 at its end to the count of its level;
     running sums give the levels that are open after each boundary. The boundary points are summed
     per time before the sweep, so copies of one interval cost nothing.
     """
     keys = list(keys)
+    level = F.col(certainty)
+    unknown = F.raise_error(F.concat(F.lit("unknown certainty "), F.coalesce(level.cast("string"), F.lit("NULL")))).cast("int")
+    intervals = intervals.withColumn(certainty, F.when(F.coalesce(level.isin(list(levels)), F.lit(False)), level).otherwise(unknown))
     real = intervals.where(F.col(start) < F.col(end))
     edges = real.select(
         *keys, certainty,
@@ -106,9 +108,15 @@ def certainty_coverage(
     after, before = top(lambda n: F.col(f"_o{n}")), top(lambda n: F.col(f"_o{n}") - F.col(f"_d{n}"))
     changes = open_now.select(*keys, "at", after.alias("level"), before.alias("_was")).where("level <> _was")
     spans = ordered(changes, keys, ["at"], seg, lead={"_until": F.col("at")})
-    return spans.where("level > 0").select(
+    found = spans.where("level > 0").select(
         *keys, F.col("at").alias(start), F.col("_until").alias(end), F.col("level").alias(certainty)
     )
+    points_only = intervals.where(F.col(start) == F.col(end)).groupBy(*keys, start).agg(F.max(certainty).alias(certainty)).withColumn(
+        end, F.col(start)).alias("p")
+    spans_of = found.alias("s")
+    covers = [F.col(f"p.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys] + [
+        F.col(f"s.{start}") <= F.col(f"p.{start}"), F.col(f"s.{end}") >= F.col(f"p.{start}"), F.col(f"s.{certainty}") >= F.col(f"p.{certainty}")]
+    return found.unionByName(points_only.join(spans_of, covers, "left_anti").select(found.columns))
 
 
 def with_days(windows: DataFrame, start: str = "start", end: str = "end") -> DataFrame:

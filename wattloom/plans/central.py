@@ -4,7 +4,7 @@ Reading and the last two steps are lazy. The transform settles the cleaned minut
 checkpoint, as hours, days, statistics, every alarm shape and the stored tables all read them.
 """
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -59,34 +59,39 @@ def transform(
     zone_to: str = "America/Los_Angeles",
     schedule: DataFrame | None = None,
     weather: DataFrame | None = None,
-    oat: str = "OAT_NOAA",
+    oat: str = "Temp_OAT",
     hour_threshold: float = 0.8,
     day_threshold: float = 1.0,
     remove_partial: bool = True,
+    exempt: Sequence[str] = (),
     settle: bool = True,
     pre_aggregation: PreHook | None = None,
     post_aggregation: PostHook | None = None,
 ) -> Tables:
     """Rename, floor, fill, shift zone, average duplicates, then hours and days with weather.
 
-    Filling comes before duplicates are averaged, so a fill limit counts duplicate rows. ``weather``
+    Every raw row of a site has a place for each of its variables before it is filled, as in a wide frame, so a gap in one device's
+    file is filled at the times of another's. ``seq`` tells raw rows of one time apart.
+    Filling comes before duplicates are averaged, so a fill limit counts duplicate rows. ``exempt`` variables are never
+    emptied for having too few values. ``weather``
     is ``(site, ts, <oat>, ...)``; its columns join the hours as variables. ``settle=False`` leaves
     the minutes and days as plans, for callers that store them before reading on.
     """
     rules = cleaning.rules_for(rules, system=system)
     named = cleaning.floor_to(cleaning.rename_by_rules(raw, rules), "MINUTE")
     fill = rules.select(*([SITE] if SITE in rules.columns else []), "variable_name", "changepoint", "ffill_length").distinct()
-    filled = cleaning.forward_fill(named, fill, seq=seq, seed=seed, segment=hour_segment())
+    grid = complete_rows(named, keys=(SITE, TS) if seq is None else (SITE, TS, seq))
+    filled = cleaning.forward_fill(grid, fill, seq=seq, seed=seed, segment=hour_segment())
     if zone_from != zone_to:
         filled = cleaning.shift_zone(filled, zone_from, zone_to)
-    minute = complete_rows(cleaning.average_duplicates(filled))
+    minute = cleaning.average_duplicates(filled)
     if pre_aggregation is not None:
         minute = pre_aggregation(minute)
         if not isinstance(minute, DataFrame):
             raise TypeError("pre_aggregation must return a DataFrame")
     if settle:
         minute = cut_lineage(minute)
-    hour, day = aggregates.hour_and_day(minute, hour_threshold, day_threshold, remove_partial=remove_partial)
+    hour, day = aggregates.hour_and_day(minute, hour_threshold, day_threshold, remove_partial=remove_partial, exclude=exempt)
     states = flags = None
     if schedule is not None:
         states = aggregates.load_shift_state(hour.select(SITE, TS).distinct(), schedule)

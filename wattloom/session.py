@@ -1,7 +1,6 @@
 """Session defaults for local runs; a cluster passes its own configuration."""
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -27,16 +26,12 @@ def build_session(app: str = "wattloom", cores: int | str = "*", **extra: str) -
 def cut_lineage(df, eager: bool = True):
     """Checkpoint to the folder named by ``spark.checkpoint.dir``.
 
-    The setting must name shared storage on a cluster. A temporary folder is used only on a
-    local master where nothing is set.
+    The setting must name storage that driver and executors share. Where it is unset, a folder of the warehouse is used, which is
+    shared as well.
     """
     spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not sc.master.startswith("local"):
-                raise ValueError("spark.checkpoint.dir must name a shared folder")
-            folder = tempfile.mkdtemp(prefix="wattloom-checkpoint-")
-        sc.setCheckpointDir(folder)
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"{warehouse}/_checkpoints")
     return df.checkpoint(eager)

@@ -14,6 +14,10 @@ MAX_GAP_DAYS = 3
 TIMES = {"start": "start_time_pt", "end": "end_time_pt"}
 
 
+#: Fixed value: the certainty of an alarm that states none.
+DEFAULT_CERTAINTY = 3
+
+
 def alarm_tables(new: DataFrame, parents: DataFrame | None = None, segments: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Parent and segment tables after taking in ``new`` alarms.
 
@@ -24,7 +28,8 @@ def alarm_tables(new: DataFrame, parents: DataFrame | None = None, segments: Dat
     alarms are checkpointed, as both tables are made from them.
     """
     columns = [*KEYS, "start_time_pt", "end_time_pt"]
-    spans = new.select(*columns, "certainty", F.lit(None).cast("bigint").alias("id"))
+    level = F.coalesce("certainty", F.lit(DEFAULT_CERTAINTY)) if "certainty" in new.columns else F.lit(DEFAULT_CERTAINTY)
+    spans = new.select(*columns, level.cast("int").alias("certainty"), F.lit(None).cast("bigint").alias("id"))
     for stored in (parents, segments):
         if stored is not None:
             level = F.col("certainty") if "certainty" in stored.columns else F.lit(None).cast("int")

@@ -17,7 +17,6 @@ OPTIM_FILTERS = (
     "SOO_PERIOD_COP", "SYSTEM_TESTING", "EQUIPMENT_MALFUNCTION", "SYSTEM_MAINTENANCE",
 )
 UPLOADER = "automatic_upload"
-DETAIL_PREFIX = 20
 DATA_LOSS_DETAIL = "Error processing data. Please check logs to resolve."
 DATA_LOSS_DAYS = 3
 
@@ -34,20 +33,25 @@ def flags(kind: Column) -> dict[str, Column]:
     return {"summary_filtered": kind.isin(*SUMMARY_FILTERS), "optim_filtered": kind.isin(*OPTIM_FILTERS)}
 
 
-def upsert_events(stored: DataFrame, new: DataFrame, now: Column | None = None) -> DataFrame:
+def upsert_events(stored: DataFrame, new: DataFrame, now: Column | None = None, detail_chars: int | None = None) -> DataFrame:
     """The stored table after taking in ``new``.
 
-    A new event matches a stored one on site, start, type, variable (NULL matches NULL) and the first
-    characters of the detail. Only rows last written by the uploader are updated; an edited row stays
+    A new event matches a stored one on site, start, type, variable (NULL matches NULL) and its detail, or the first
+    ``detail_chars`` characters of it. New events are the same only if their whole details are equal; of several that match one
+    stored event by a short detail, the one that ends last updates it and the others are inserted. Only rows last written by the uploader are updated; an edited row stays
     as it is. Of several stored matches the one with the lowest id is updated. New events without a
     match get ids after the stored ones.
     """
     now = F.current_timestamp().cast("timestamp_ntz") if now is None else now
     key = [SITE, "start_time_pt", "event_type"]
-    loose = {"_variable": F.coalesce("variable_name", F.lit("")), "_head": F.coalesce(F.substring("event_detail", 1, DETAIL_PREFIX), F.lit(""))}
+    head = F.col("event_detail") if detail_chars is None else F.substring("event_detail", 1, detail_chars)
+    loose = {"_variable": F.coalesce("variable_name", F.lit("")), "_head": F.coalesce(head, F.lit(""))}
     match = [*key, *loose]
-    incoming = checked(new).withColumns(loose).groupBy(*match).agg(
-        F.max_by(F.struct("end_time_pt", "event_detail", "variable_name"), F.struct(F.coalesce("end_time_pt", F.col("start_time_pt")), "event_detail")).alias("_new"))
+    last = F.struct(F.coalesce("end_time_pt", F.col("start_time_pt")), "event_detail")
+    distinct = checked(new).withColumns(loose).groupBy(*match, "event_detail").agg(
+        F.max_by(F.struct("end_time_pt", "event_detail", "variable_name"), F.struct(F.coalesce("end_time_pt", F.col("start_time_pt")))).alias("_new"))
+    incoming = distinct.select(*match, "_new.*").groupBy(*match).agg(
+        F.max_by(F.struct("end_time_pt", "event_detail", "variable_name"), last).alias("_new"))
     old = stored.withColumns(loose)
     first = old.groupBy(*match).agg(F.min("id").alias("_first_id"))
     targets = first.join(incoming, match).select(F.col("_first_id").alias("id"), "_new")
@@ -57,9 +61,11 @@ def upsert_events(stored: DataFrame, new: DataFrame, now: Column | None = None)
         "event_detail": F.when(written, F.coalesce("_new.event_detail", "event_detail")).otherwise(F.col("event_detail")),
         "last_modified_date": F.when(written, now).otherwise(F.col("last_modified_date")),
     }).select(*stored.columns)
-    fresh = incoming.join(first, match, "left_anti").select(
+    used = first.join(incoming, match).select(*match, F.col("_new.event_detail").alias("_used"))
+    same = [F.col(f"d.{c}") == F.col(f"u.{c}") for c in match] + [F.col("d.event_detail").eqNullSafe(F.col("u._used"))]
+    fresh = distinct.alias("d").join(used.alias("u"), same, "left_anti").select(
         # stable across re-runs, unlike a running number
-        F.xxhash64(*match).alias("id"), *key, "_new.*")
+        F.xxhash64(*match, F.coalesce("event_detail", F.lit(""))).alias("id"), *key, "_new.*")
     inserted = fresh.withColumns({
         **flags(F.col("event_type")), "last_modified_date": now, "last_modified_by": F.lit(UPLOADER)})
     return updated.unionByName(inserted, allowMissingColumns=True)

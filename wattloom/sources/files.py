@@ -87,26 +87,36 @@ def nth_line(lines: DataFrame, n: int) -> DataFrame:
     """
     w = Window.partitionBy("file_name").orderBy("pos")
     ranked = lines.where("pos IS NOT NULL").withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= n)
-    return ranked.where(F.col("_n") == n).select("file_name", F.col("value").alias("header"))
+    return ranked.where(F.col("_n") == n).select("file_name", F.col("value").alias("header"), F.col("pos").alias("header_pos"))
 
 
 def marked_line(lines: DataFrame, *marks: str) -> DataFrame:
-    """The line of each file that contains every mark, as ``(file_name, header)``."""
-    found = lines
+    """The first line of each file that has every mark as a cell of its own, as ``(file_name, header, header_pos)``."""
+    found = lines.where("pos IS NOT NULL")
     for mark in marks:
         found = found.where(F.contains("value", F.lit(mark)))
-    return found.groupBy("file_name").agg(F.min("value").alias("header"))
+    own = F.lit(True)
+    for mark in marks:
+        own = own & F.array_contains(cells("value"), mark)
+    first = found.where(own).groupBy("file_name").agg(F.min(F.struct("pos", "value")).alias("_h"))
+    return first.select("file_name", F.col("_h.value").alias("header"), F.col("_h.pos").alias("header_pos"))
+
+
+def cells(line) -> Column:
+    """Fields of a line, without quotes and the blanks around them."""
+    comma = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+    return F.transform(F.split(line, comma), lambda x: F.trim(F.regexp_replace(x, '^\\s*"|"\\s*$', "")))
 
 
 def tabulate(lines: DataFrame, headers: DataFrame) -> DataFrame:
     """Give each line its file's column names: ``(file_name, names, fields)``, quotes removed.
 
+    Lines up to the header are no data; lines without a position are in later blocks of their file.
     One header row per file meets its lines by file name; a file that holds a third of all lines is
     split by the adaptive join like any hot key.
     """
-    comma = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
-    cells = lambda c: F.transform(F.split(c, comma), lambda x: F.trim(F.regexp_replace(x, '^\\s*"|"\\s*$', "")))
-    return lines.join(headers, "file_name").where(F.col("value") != F.col("header")).select(
+    data = F.col("pos").isNull() | (F.col("pos") > F.col("header_pos"))
+    return lines.join(headers, "file_name").where(data & (F.col("value") != F.col("header"))).select(
         "file_name", cells("header").alias("names"), cells("value").alias("fields"))
 
 

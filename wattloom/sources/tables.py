@@ -48,7 +48,9 @@ def read_schedule(spark: SparkSession, path: str, site: str) -> DataFrame:
 def read_site_table(spark: SparkSession, path: str, site: str | None = None) -> DataFrame:
     """Site or air-flow information; the line after the header is a comment and is dropped."""
     raw = spark.read.option("header", "true").csv(path)
-    first = raw.withColumn("_block", F.col("_metadata.file_block_start")).withColumn("_id", F.monotonically_increasing_id())
-    # the comment line is the first row of the file's first block, which is the scan's first row
-    kept = first.where((F.col("_block") != 0) | (F.col("_id") != 0)).drop("_block", "_id").dropna("all")
+    placed = raw.withColumns({"_file": F.col("_metadata.file_path"), "_block": F.col("_metadata.file_block_start"),
+                              "_id": F.monotonically_increasing_id()})
+    # the comment line is the first row of each file's first block
+    comments = placed.where("_block = 0").groupBy("_file").agg(F.min("_id").alias("_comment"))
+    kept = placed.join(comments, "_file", "left").where("_block <> 0 OR _id <> _comment").drop("_file", "_block", "_id", "_comment").dropna("all")
     return kept if site is None else kept.where(F.col("site") == site)
