@@ -3,7 +3,7 @@
 import numpy as np
 import xxhash
 
-MEMO_WORDS = 300_000
+MEMO_WORDS = 200_000
 
 
 class _Hashes(dict):

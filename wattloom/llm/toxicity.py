@@ -6,7 +6,6 @@ and in training some words lose theirs, so that characters must tell. The networ
 overlap by a quarter and cover the whole text. Training takes for each labelled text the window that scores highest so far.
 """
 
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -21,7 +20,7 @@ HELD_OUT_OF = 5
 #: The bounded sample of labelled rows: so many of each class, of at most so many characters.
 ROWS_PER_CLASS, TRAIN_CHARS = 1500, 20_000
 SLICE_CHARS = 1_000_000
-MEMO_WORDS = 400_000
+MEMO_WORDS = 200_000
 BATCH = 512
 EDGES = "\"'`.,;:!?#$%&*|()[]{}<>-_"
 
@@ -362,18 +361,6 @@ def _descend(texts: list[str], labels: list[int], rounds: int, rate: float, seed
     return w
 
 
-_scorers: dict[int, Scorer] = {}
-
-
-def scorer_of(weights: dict) -> Scorer:
-    """The worker's scorer for these weights; only the last one is kept."""
-    key = zlib.crc32(weights["char"].tobytes() + weights["word"].tobytes() + weights["out_w"].tobytes())
-    if key not in _scorers:
-        _scorers.clear()
-        _scorers[key] = Scorer(weights)
-    return _scorers[key]
-
-
 def remainder(id_column: str = "doc_id"):
     return F.crc32(F.col(id_column).cast("string").cast("binary")) % HELD_OUT_OF
 
@@ -399,7 +386,7 @@ def score_texts(docs: DataFrame, weights: dict, id_column: str = "doc_id", text:
     rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text).alias("_t"))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        scorer = scorer_of(weights)
+        scorer = Scorer(weights)
         for frame in frames:
             texts = frame["_t"].tolist()
             parts = [scorer.scores([split_words(t or "") for t in texts[a:b]]) for a, b in slices([len(t or "") for t in texts], SLICE_CHARS)]
@@ -419,7 +406,7 @@ def without_toxic(docs: DataFrame, weights: dict, text: str = "text", threshold:
     workers_import(docs.sparkSession)
 
     def make():
-        scorer = scorer_of(weights)
+        scorer = Scorer(weights)
 
         def clean(texts: list[str | None]) -> np.ndarray:
             parts = [scorer.scores([split_words(t or "") for t in texts[a:b]]) for a, b in slices([len(t or "") for t in texts], SLICE_CHARS)]
