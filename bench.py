@@ -16,7 +16,7 @@ from wattloom.catalog import QUERIES, load_all  # noqa: E402
 from wattloom.session import build_session  # noqa: E402
 
 HEADLINE = (
-    "minute_to_day", "floor_and_average_duplicates", "outliers_to_null", "ffill_limited", "ffill_raw_rows",
+    "minute_to_day", "transform_day", "floor_and_average_duplicates", "outliers_to_null", "ffill_limited", "ffill_raw_rows",
     "hour_day_aggregate", "completeness_day", "dense_hourly_grid", "gap_statistics", "load_shift_state",
     "weather_left_join", "streaks", "streaks_across_days", "event_ids", "merge_intervals", "certainty_coverage",
     "pair_alarm", "rolling_block_share", "tm_setpoint_alarm", "heat_output", "relative_humidity", "daily_plant_cop",

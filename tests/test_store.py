@@ -245,6 +245,21 @@ def test_run_from_files_to_tables(spark, tmp_path, rows):
     assert both.count() == 1440
 
 
+def test_touched_dates_and_later_files_only(spark, tmp_path, rows):
+    path = str(tmp_path / "stored")
+    upsert.load_readings(readings(spark, (0, "a", 1.0), (1440, "a", 2.0), (2880, "a", 3.0)), path)
+    run = readings(spark, (1441, "a", 5.0)).withColumn("date", F.to_date("ts"))
+    plan = upsert.touched(upsert.read_table(spark, path), run)._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan and "2024-01-04" in plan
+    src = tmp_path / "in"
+    src.mkdir()
+    for day in ("02", "03", "04"):
+        (src / f"x_202401{day}000000.csv").write_text(f"DateTime,p\n2024/01/{day} 12:00:00,1\n")
+    stored = readings(spark, (1439, "p", 1.0))
+    out = central.extract(spark, "csv", str(src), "s", stored=stored, name_start=-18, name_end=-4)
+    assert rows(out, "ts") == [(datetime(2024, 1, 4, 12),)]
+
+
 def test_fill_reaches_the_rows_of_other_devices(spark, rows):
     """A gap in one device's file is filled at the times of another's."""
     raw = readings(spark, (0, "a", 1.0), (1, "b", 5.0), (2, "b", 6.0))

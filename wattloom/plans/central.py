@@ -37,13 +37,16 @@ def extract(
 ) -> DataFrame:
     """Landed readings of a site since its last full stored day.
 
+    Files whose name is dated before the day of that mark are not read; rows up to the mark are dropped from the others.
     With ``reprocess`` the stored history up to that day is put in front of what was read.
     """
     if stored is None:
         return read_raw(spark, kind, path, site, **options)
     sites = spark.sql("SELECT :site AS site", args={"site": site})
     mark = marks.last_full_day(stored.where(F.col(SITE) == site), sites)
-    raw = read_raw(spark, kind, path, site, **options)
+    # one row: the mark of this site
+    day = mark.select(F.to_date("mark")).first()[0]
+    raw = read_raw(spark, kind, path, site, **{"start": f"{day} 00:00:00", "keep_undated": True} | options)
     fresh = raw.join(mark, SITE).where(F.col(TS) > F.col("mark")).drop("mark")
     return marks.merge_history(stored.where(F.col(SITE) == site), fresh, mark) if reprocess else fresh
 

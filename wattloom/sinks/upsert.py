@@ -1,7 +1,8 @@
 """Upsert by key into a date-partitioned parquet table.
 
 Stored values are never overwritten by NULL, infinities are stored as NULL, new columns are added and
-columns without any value are ignored. Only the touched date partitions are read and rewritten.
+columns without any value are ignored. Only the touched date partitions are read and rewritten: a run's dates are few, and go into the
+filter of the stored table as values.
 """
 
 from collections.abc import Sequence
@@ -10,8 +11,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.utils import AnalysisException
 
 from wattloom.model import SITE, TS, VARIABLE, finite
+from wattloom.session import cut_lineage
 
 PARTITION = "date"
+#: Dates of one run that are listed in the filter; a run over more days is filtered by its first and last one.
+LISTED_DATES = 2000
 
 
 def clean_for_store(df: DataFrame) -> DataFrame:
@@ -50,18 +54,25 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
+def touched(target: DataFrame, dated: DataFrame) -> DataFrame:
+    """Rows of the stored table on the dates of a run; the scan lists the partitions of those dates only."""
+    days = [r[0] for r in dated.select(PARTITION).distinct().limit(LISTED_DATES + 1).collect()]
+    if len(days) <= LISTED_DATES:
+        return target.where(F.col(PARTITION).isin([d for d in days if d is not None]))
+    low, high = dated.agg(F.min(PARTITION), F.max(PARTITION)).first()
+    return target.where(F.col(PARTITION).between(low, high)).join(dated.select(PARTITION).distinct(), PARTITION, "left_semi")
+
+
 def upsert(source: DataFrame, path: str, keys: Sequence[str] = (SITE, TS), ts: str = TS) -> None:
     """Write ``source`` into the table at ``path``; creates it when absent."""
     spark = source.sparkSession
-    dated = without_empty_columns(source, keys).withColumn(PARTITION, F.to_date(ts))
+    # written once: the columns with values, the dates and the merge all read it
+    dated = without_empty_columns(cut_lineage(source.withColumn(PARTITION, F.to_date(ts))), [*keys, PARTITION])
     target = read_table(spark, path)
     if target is None:
         merged = clean_for_store(dated)
     else:
-        # the semi join on the partition column prunes the scan to the touched dates
-        touched = dated.select(PARTITION).distinct()
-        current = target.join(touched, PARTITION, "left_semi")
-        merged = merge_keep_existing(current, dated, [*keys, PARTITION])
+        merged = merge_keep_existing(touched(target, dated), dated, [*keys, PARTITION])
     # rebalancing gathers a partition's rows but lets adaptive execution split a hot site and day
     columns = f"{PARTITION}, {SITE}" if SITE in merged.columns else PARTITION
     balanced = spark.sql(f"SELECT /*+ REBALANCE({columns}) */ * FROM {{merged}}", merged=merged)

@@ -27,19 +27,23 @@ def time_defaults(kind: str, column: str | None = None, form: str | None = None,
 def read_raw(
     spark: SparkSession, kind: str, path, site: str, *, start: str | None = None, end: str | None = None,
     prefix: str = "", name_start: int = files.NAME_DATE_START, name_end: int = files.NAME_DATE_END,
-    name_format: str = files.NAME_DATE_FORMAT, zone: str = "US/Pacific", rules: DataFrame | None = None, **options,
+    name_format: str = files.NAME_DATE_FORMAT, zone: str = "US/Pacific", rules: DataFrame | None = None,
+    keep_undated: bool = False, **options,
 ) -> DataFrame:
     """Readings of all files of a kind under ``path``, pruned by the date in their names.
 
     The pruning is a filter on the file's metadata. Hex-named device files start strictly after
-    ``start``; all others start at it.
+    ``start``; all others start at it. Files without a date in their name go, or stay with ``keep_undated``.
     """
     if kind not in TIME_DEFAULTS and kind not in logger_csv.PARSERS:
         time_defaults(kind)
     if kind.startswith("api_"):
         landed = payloads.read_payloads(spark, path, site)
         return payloads.PARSERS[kind](landed, zone) if kind == "api_skycentrics" else payloads.PARSERS[kind](landed)
-    dated = lambda name: files.within(files.name_date(name, name_start, name_end, name_format), start, end)
+    def wanted(moment, strict: bool = False):
+        return F.coalesce(files.within(moment, start, end, strict), F.lit(keep_undated))
+
+    dated = lambda name: wanted(files.name_date(name, name_start, name_end, name_format))
     if kind == "json":
         return payloads.read_sensor_files(
             spark, path, site, zone, prefix=prefix, keep=None if start is None and end is None else dated, **options)
@@ -47,10 +51,10 @@ def read_raw(
     name = F.col("file_name")
     if start is not None or end is not None:
         if kind == "csv_mb":
-            lines = lines.where(files.within(files.name_hex_epoch(name), start, end, strict=True))
+            lines = lines.where(wanted(files.name_hex_epoch(name), strict=True))
         elif kind == "csv_nclarity":
             day = files.sliced(name, files.DAILY_NAME_START, files.DAILY_NAME_END).try_cast("timestamp_ntz")
-            lines = lines.where(files.within(day, start, end))
+            lines = lines.where(wanted(day))
         else:
             lines = lines.where(dated(name))
     if kind in ("csv_msa", "csv_egauge"):
