@@ -47,6 +47,25 @@ def test_link_equals_brute_force(spark):
     assert len(set(want.values())) < len(rows) - 10
 
 
+def brute_links(rows):
+    sets = [shingles(t) for _, t in rows]
+    return {d: sum(i != j and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]) > 0 for j in range(len(rows)))
+            for i, (d, _) in enumerate(rows)}
+
+
+@pytest.mark.parametrize("cell", [500, 4])
+def test_all_links_are_counted(spark, monkeypatch, cell):
+    """Groups of like texts with copies: every pair counts, also within a component and over cells."""
+    monkeypatch.setattr(ngram_join, "LINK_CELL", cell)
+    rows = planted(7, 5)
+    base = [f"k{i}" for i in range(90)]
+    rows += [(1000 + i, " ".join([*base[:i], f"x{i}", *base[i + 1:]])) for i in range(25)]
+    rows += [(2000 + i, t) for i, (_, t) in enumerate(rows[-3:] * 2)] + [(3000, None), (3001, "")]
+    got = {r["doc_id"]: r["n_links"] for r in ngram_join.link(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    assert got == brute_links(rows)
+    assert max(got.values()) > 20
+
+
 def test_link_given_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]

@@ -10,11 +10,11 @@ Equal blocks are joined by stars: the smallest member of a block is paired with
 reads, then among all. Pairs are first held against sketches of single bits, whose Hamming distance is at most the symmetric difference
 of the sets, and then verified on the whole sets. Where that leaves members of a block in different components, the sketches of those
 still apart are compared, a bounded number of members against as many in a task, and the pairs that pass are verified too. So no link
-is lost, and none is looked for within a component.
+is lost. Links are counted last: in a component where not every pair is known to link, all sets are compared exactly, again in cells of
+bounded size, and only the sums per set leave a cell.
 """
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -36,6 +36,8 @@ CHUNK_KEYS, SHARD_KEYS = 1_000_000, 1_000_000
 COUNT_KEYS, LEAST_SHARD_BITS = 1_500_000, 8
 #: Members of a block that are compared with as many others at once; larger blocks are cut into cells.
 CELL = 2000
+#: Sets of a component, and their n-grams, that are compared exactly with as many others at once to count links.
+LINK_CELL, LINK_CELL_GRAMS = 500, 2_000_000
 SLICE_CHARS = 1_000_000
 KEY_BYTES = 6
 
@@ -281,8 +283,8 @@ def _uncut(data: bytes) -> np.ndarray:
     return out.view(np.int64).ravel()
 
 
-def verified(pairs: DataFrame, docs: DataFrame, known: DataFrame, n: int) -> DataFrame:
-    """``(u, v)`` of the pairs whose sets are similar enough."""
+def verified(pairs: DataFrame, docs: DataFrame, known: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
+    """``(u, v)`` of the pairs whose sets are similar enough, and the ``(set_id, grams)`` they were judged on."""
     own = known.groupBy("set_id").agg(F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
 
     def side(c: str) -> DataFrame:
@@ -312,7 +314,7 @@ def verified(pairs: DataFrame, docs: DataFrame, known: DataFrame, n: int) -> Dat
         sets.select(F.col("set_id").alias("v"), F.col("grams").alias("b")), "v")
     shared = F.size(F.array_intersect("a", "b"))
     return both.withColumn("_i", shared).where(
-        F.col("_i") * WHOLE >= (F.size("a") + F.size("b") - F.col("_i")) * SHARE).select("u", "v")
+        F.col("_i") * WHOLE >= (F.size("a") + F.size("b") - F.col("_i")) * SHARE).select("u", "v"), sets
 
 
 def _folded(sketches: np.ndarray, size: int) -> np.ndarray:
@@ -360,7 +362,19 @@ def apart_pairs(members: DataFrame, known: DataFrame) -> DataFrame:
     names = ["key", "c1", "c2"]
     ordered = rows.select(*names, "node", "root", "size", "part", "sketch").repartition(*names).sortWithinPartitions(*names)
 
-    def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def found(frame: pd.DataFrame, cuts: list[int]) -> pd.DataFrame:
+        columns = [frame[c].to_numpy() for c in ("node", "root", "size", "part")]
+        sketches, pairs = frame["sketch"].tolist(), set()
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            pairs.update(near_pairs(*(c[a:b] for c in columns), sketches[a:b]))
+        return pd.DataFrame(sorted(pairs), columns=["u", "v"], dtype=np.int64)
+
+    return ordered.mapInPandas(_by_groups(names, found), "u long, v long").distinct()
+
+
+def _by_groups(names: list[str], found):
+    """Calls ``found(frame, cuts)`` with whole groups of neighbouring rows, whatever batches they come in."""
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None
         for frame in frames:
             frame = frame if held is None else pd.concat([held, frame], ignore_index=True)
@@ -371,14 +385,71 @@ def apart_pairs(members: DataFrame, known: DataFrame) -> DataFrame:
         if held is not None:
             yield found(held, [0, len(held)])
 
+    return run
+
+
+def linked_copies(grams: list[np.ndarray], part: np.ndarray, copies: np.ndarray) -> np.ndarray:
+    """For each set the copies of all other sets that it links with; with two parts only across them."""
+    order = np.lexsort(([len(g) for g in grams], part))
+    grams, weight = [grams[i] for i in order.tolist()], copies[order]
+    size = np.array([len(g) for g in grams], np.int64)
+    start = np.concatenate([[0], np.cumsum(size)])
+    names, flat = np.unique(np.concatenate(grams), return_inverse=True)
+    across = part.min() != part.max()
+    second = int((part == part.min()).sum()) if across else len(grams)
+    mine, counts = np.zeros(len(names), np.uint8), np.zeros(len(grams), np.int64)
+    for i in range(second):
+        if across:
+            low = second + int(np.searchsorted(size[second:], -(-size[i] * SHARE // WHOLE)))
+            high = second + int(np.searchsorted(size[second:], size[i] * WHOLE // SHARE, "right"))
+        else:
+            low, high = i + 1, int(np.searchsorted(size, size[i] * WHOLE // SHARE, "right"))
+        if low >= high:
+            continue
+        own = flat[start[i]:start[i + 1]]
+        mine[own] = 1
+        shared = np.add.reduceat(mine[flat[start[low]:start[high]]], start[low:high] - start[low], dtype=np.int64)
+        mine[own] = 0
+        near = low + np.flatnonzero(shared * WHOLE >= (size[i] + size[low:high] - shared) * SHARE)
+        counts[i] += weight[near].sum()
+        counts[near] += weight[i]
+    out = np.empty_like(counts)
+    out[order] = counts
+    return out
+
+
+def link_counts(links: DataFrame, roots: DataFrame, sets: DataFrame, known: DataFrame) -> DataFrame:
+    """``(set_id, n_links)``: how many other rows each row of a set links with, equal sets among them.
+
+    Links stay within components. Where the verified links are all pairs of a component they are summed; the other components are cut
+    into cells, so the work grows with the square of a component's sets and the rows don't.
+    """
+    own = settle(known.where("n_shingles > 0").groupBy("set_id").agg(F.first("n_shingles").alias("_size"), F.count(F.lit(1)).alias("copies")))
+    nodes = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct()).join(
+        own.withColumnRenamed("set_id", "node"), "node")
+    nodes = settle(nodes)
+    pairs = links.join(nodes.select(F.col("node").alias("u"), "root"), "u").groupBy("root").agg(F.count(F.lit(1)).alias("_pairs"))
+    shape = settle(nodes.groupBy("root").agg(F.count(F.lit(1)).alias("_n"), F.sum("_size").alias("_grams")).join(pairs, "root").select(
+        "root", (F.col("_pairs") * 2 < F.col("_n") * (F.col("_n") - 1)).alias("_open"),
+        F.greatest(F.ceil(F.col("_n") / LINK_CELL), F.ceil(F.col("_grams") / LINK_CELL_GRAMS)).cast("int").alias("_cells")))
+    placed = nodes.join(shape, "root")
+    both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    whole = placed.where("NOT _open").select(F.col("node").alias("v"), "copies").join(both, "v").select(F.col("u").alias("set_id"), "copies")
+    cells = placed.where("_open").withColumn("part", F.pmod(F.xxhash64("node"), "_cells").cast("int")).withColumn(
+        "_with", F.explode(F.sequence(F.lit(0), F.col("_cells") - 1)))
+    names = ["root", "c1", "c2"]
+    cells = cells.select("root", F.least("part", "_with").alias("c1"), F.greatest("part", "_with").alias("c2"), "node", "part", "copies")
+    rows = cells.join(sets.withColumnRenamed("set_id", "node"), "node").select(*names, "node", "part", "copies", "grams")
+
     def found(frame: pd.DataFrame, cuts: list[int]) -> pd.DataFrame:
-        columns = [frame[c].to_numpy() for c in ("node", "root", "size", "part")]
-        sketches, pairs = frame["sketch"].tolist(), set()
-        for a, b in zip(cuts, cuts[1:], strict=False):
-            pairs.update(near_pairs(*(c[a:b] for c in columns), sketches[a:b]))
-        return pd.DataFrame(sorted(pairs), columns=["u", "v"], dtype=np.int64)
+        part, copies, grams = frame["part"].to_numpy(), frame["copies"].to_numpy(), frame["grams"].tolist()
+        counts = [linked_copies(grams[a:b], part[a:b], copies[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
+        return pd.DataFrame({"set_id": frame["node"].to_numpy()[:cuts[-1]], "copies": np.concatenate([np.zeros(0, np.int64), *counts])})
 
-    return ordered.mapInPandas(compare, "u long, v long").distinct()
+    counted = rows.repartition(*names).sortWithinPartitions(*names).mapInPandas(_by_groups(names, found), "set_id long, copies long")
+    others = whole.unionByName(counted).groupBy("set_id").agg(F.sum("copies").alias("_others"))
+    return own.join(others, "set_id", "left").select(
+        "set_id", (F.coalesce("_others", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
 
 
 def _ordered(pairs: DataFrame, a: str, b: str) -> DataFrame:
@@ -389,11 +460,19 @@ def link(docs: DataFrame, id_column: str = "doc_id", text: str = "text", n: int
     """``(doc_id, n_shingles, component_id, set_id, n_links, root, row)`` for every row.
 
     Texts link when their n-gram sets have a similarity of at least three quarters; the component is the smallest ``doc_id`` reachable
-    by links. ``n_links`` counts the verified links of a row's set to other sets; links that follow from others needn't be verified, so it
-    is at least 1 where there is any. A null or empty text has no n-grams and links with nothing. Equal rows are one set. A null id is
-    never the smallest; a component of null ids has a null id. ``root`` names the component also where ids are null or repeat, and
-    ``row`` is a hash of all columns. Extra columns are ignored.
+    by links. ``n_links`` counts all other rows that a row links with, rows with an equal set among them. A null or empty text has no
+    n-grams and links with nothing. A null id is never the smallest; a component of null ids has a null id. ``root`` names the
+    component also where ids are null or repeat, and ``row`` is a hash of all columns. Extra columns are ignored.
     """
+    known, links, roots, sets = _joined_sets(docs, id_column, text, n)
+    counts = link_counts(links, roots, sets, known)
+    return _named(known, roots).join(counts, "set_id", "left").select(
+        "doc_id", "n_shingles", "component_id", F.when(F.col("n_shingles") > 0, F.col("set_id")).alias("set_id"),
+        F.coalesce("n_links", F.lit(0)).alias("n_links"), "root", "row")
+
+
+def _joined_sets(docs: DataFrame, id_column: str, text: str, n: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """What is known of each row, links that join every component, its roots, and the whole sets of all members."""
     workers_import(docs.sparkSession)
     rows = docs.select(F.col(id_column).alias("doc_id"), row_hash(docs).alias("row"), F.col(text).alias("_t"))
     known = stored(identify(rows, n), "known")
@@ -402,26 +481,30 @@ def link(docs: DataFrame, id_column: str = "doc_id", text: str = "text", n: int
     table = docs.sparkSession.sparkContext.broadcast(frequency_table(rows, n, total))
     stars = stored(star_pairs(rows, n, table, shards), "stars")
     tried = settle(_ordered(stars, "center", "member"))
-    links = settle(verified(tried, rows, known, n))
+    links, sets = verified(tried, rows, known, n)
+    links = settle(links)
     roots = settle(components(links))
     # blocks whose members are not all in one component yet
     members = stars.select("key", F.explode(F.array("center", "member")).alias("node")).distinct().join(roots, "node", "left").select(
         "key", "node", F.coalesce("root", "node").alias("root"))
     open_ = settle(apart_pairs(members, known).join(tried, ["u", "v"], "left_anti"))
     if not open_.isEmpty():
-        links = settle(links.unionByName(verified(open_, rows, known, n)))
+        more, others = verified(open_, rows, known, n)
+        links = settle(links.unionByName(more))
+        sets = sets.unionByName(others.join(sets.select("set_id"), "set_id", "left_anti"))
         roots = settle(components(links))
-    degree = reduce(DataFrame.unionByName, [links.select(F.col(c).alias("set_id")) for c in ("u", "v")]).groupBy("set_id").agg(
-        F.count(F.lit(1)).alias("n_links"))
+    return known, links, roots, sets
+
+
+def _named(known: DataFrame, roots: DataFrame) -> DataFrame:
+    """``known`` with ``component_id`` and ``root``."""
     per_set = known.groupBy("set_id").agg(F.min("doc_id").alias("_first")).join(
-        roots.withColumnRenamed("node", "set_id"), "set_id", "left").join(degree, "set_id", "left").withColumn(
-        "root", F.coalesce("root", "set_id"))
+        roots.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
     least = per_set.groupBy("root").agg(F.min("_first").alias("_least"))
-    named = per_set.join(least, "root").select("set_id", "_least", "n_links", "root")
+    named = per_set.join(least, "root").select("set_id", "_least", "root")
     return known.join(named, "set_id").select(
         "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("_least")).otherwise(F.col("doc_id")).alias("component_id"),
-        F.when(F.col("n_shingles") > 0, F.col("set_id")).alias("set_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"),
-        F.when(F.col("n_shingles") > 0, F.col("root")).alias("root"), "row")
+        "set_id", F.when(F.col("n_shingles") > 0, F.col("root")).alias("root"), "row")
 
 
 def row_hash(docs: DataFrame):
@@ -430,7 +513,8 @@ def row_hash(docs: DataFrame):
 
 def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text", n: int = WORDS) -> DataFrame:
     """The row with the smallest id of each component, and every row without words; all columns stay. Of equal rows one stays."""
-    linked = link(docs, id_column, text, n)
+    known, _, roots, _ = _joined_sets(docs, id_column, text, n)
+    linked = _named(known, roots)
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))["row"].alias("row")
     best = linked.where("root IS NOT NULL").groupBy("root").agg(first).select("row").unionByName(
         linked.where("root IS NULL").select("row"))
