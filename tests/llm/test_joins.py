@@ -218,6 +218,28 @@ def test_items_with_edits(spark):
     assert clean == {d for d, _ in docs} - {d for d, _ in got}
 
 
+def edited(words, edits, rng):
+    """So many words changed, dropped or put in."""
+    out = list(words)
+    for place in sorted(rng.sample(range(len(words)), edits), reverse=True):
+        kind = rng.randrange(3)
+        out[place:place + 1] = [[f"n{rng.random()}"], [], [out[place], f"n{rng.random()}"]][kind]
+    return out
+
+
+@pytest.mark.parametrize("size", [1, 4, 5, 9, 10, 15, 17, 20, 33, 40, 64, 80, 129])
+def test_no_item_is_missed_at_the_full_edits(size):
+    rng = random.Random(size)
+    texts = [[f"w{i}_{k}" for k in range(size)] for i in range(60)]
+    items = decontaminate.Items([" ".join(t) for t in texts])
+    docs = []
+    for i, words in enumerate(texts):
+        around = [[f"a{rng.random()}" for _ in range(rng.choice([0, 30]))] for _ in range(2)]
+        docs.append(" ".join([*around[0], *edited(words, int(0.2 * size), rng), *around[1]]))
+    got = {(o, i) for o, i, *_ in items.matches(docs)}
+    assert got == {(i, i) for i in range(len(texts))}
+
+
 def test_items_odd_rows(spark):
     items = spark.createDataFrame([(1, None), (2, ""), (3, "lazy dog"), (3, "lazy dog"), (None, "one")], "item_id long, text string")
     found = {(r["doc_id"], r["item_id"]) for r in decontaminate.find_items(odd_docs(spark), items).collect()}

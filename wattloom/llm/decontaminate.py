@@ -1,9 +1,8 @@
-"""Benchmark passages in documents, by a random-walk embedding of word edits into Hamming distance.
+"""Benchmark passages in documents, with a few word edits, and none missed.
 
-Every window of a document is walked through: a step writes the word it stands on and moves on or stays, as a bit of the word's hash
-for that step says. Windows a few edits apart write mostly the same words at the same steps, so their outputs are close in Hamming
-distance. Items are walked through likewise from several places. Outputs are compared on a few sampled steps, several times over;
-agreement in one sample makes a candidate, and each candidate is settled by the exact edit distance in words.
+An item that may have ``k`` edits is cut into ``k + 1`` pieces of words; an edit spoils one piece at most, so a passage within ``k``
+edits holds one piece as it is. Each place of a document that holds a piece makes a candidate, and each candidate is settled by the
+exact edit distance in words. This replaces samples of random walks, which missed a part of the passages at the full allowed edits.
 """
 
 from collections.abc import Iterator
@@ -17,49 +16,20 @@ from wattloom.llm.hashing import ascii_words, mix, word_hashes
 
 #: Edits allowed, as a part of the item's words.
 MOST_EDITS = 0.2
-REPEATS, SAMPLED = 6, 5
-LONGEST_WALK = 64
 #: Characters of benchmark text that one pass over the documents holds; a larger benchmark takes several passes.
 BLOCK_CHARS = 8_000_000
 SLICE_CHARS = 2_000_000
 BLOCK = 1 << 15
-_SEED = 20_240_501
 
 
-def samples(steps: int) -> list[np.ndarray]:
-    """The steps that each repeat compares in walks of so many steps."""
-    rng = np.random.default_rng(_SEED + steps)
-    return [np.sort(rng.choice(steps, min(SAMPLED, steps), replace=False)) for _ in range(REPEATS if steps > SAMPLED else 1)]
-
-
-def walk_keys(words: np.ndarray, starts: np.ndarray, walks: list[int]) -> Iterator[tuple[int, np.ndarray]]:
-    """``(walk, keys)`` for each length of walk and repeat, from every start. ``words`` goes on past the last walk."""
-    moves, signs = mix(words ^ np.uint64(0xA5A5A5A5)), mix(words + np.uint64(0x51ED270B))
+def piece_keys(words: np.ndarray, size: int, count: int) -> np.ndarray:
+    """Keys of the runs of ``size`` words from the first ``count`` places."""
     factor = np.uint64(0x9FB21C651E98DF25)
-    wanted: dict[int, list[tuple[int, int]]] = {}
-    keys, left = {}, {}
-    for steps in walks:
-        for r, at in enumerate(samples(steps)):
-            keys[steps, r] = np.full(len(starts), np.uint64(steps * 1000 + r), np.uint64)
-            left[steps, r] = len(at)
-            for t in at.tolist():
-                wanted.setdefault(t, []).append((steps, r))
-    place = starts.copy()
-    for t in range(max(walks)):
-        if t in wanted:
-            sign = signs[place]
-            for k in wanted[t]:
-                keys[k] *= factor
-                keys[k] += sign
-                left[k] -= 1
-                if not left[k]:
-                    yield k[0], keys.pop(k)
-        if not keys:
-            return
-        move = moves[place]
-        move >>= np.uint64(t % 64)
-        move &= np.uint64(1)
-        place += move.view(np.int64)
+    keys = np.full(count, np.uint64(size), np.uint64)
+    for t in range(size):
+        keys *= factor
+        keys += words[t:t + count]
+    return mix(keys)
 
 
 def edits(item: np.ndarray, region: np.ndarray) -> tuple[int, int]:
@@ -75,20 +45,20 @@ def edits(item: np.ndarray, region: np.ndarray) -> tuple[int, int]:
 
 
 class Items:
-    """The walks of one block of items, and the check of candidates."""
+    """The pieces of one block of items, and the check of candidates."""
 
     def __init__(self, texts: list[str], most_edits: float = MOST_EDITS):
         self.words = [word_hashes(ascii_words(t)) for t in texts]
         self.allowed = [int(most_edits * len(w)) for w in self.words]
         found = []  # key, item, offset
-        self.walks = sorted({self._walk(len(w)) for w in self.words if len(w)})
-        for steps in self.walks:
-            for i, words in enumerate(self.words):
-                if len(words) and self._walk(len(words)) == steps:
-                    offsets = np.unique(np.append(np.arange(0, len(words) - steps + 1, max(1, steps // 16)), len(words) - steps))
-                    padded = np.concatenate([words, np.zeros(steps + 1, np.uint64)])
-                    for _, keys in walk_keys(padded, offsets, [steps]):
-                        found += zip(keys.tolist(), [i] * len(offsets), offsets.tolist(), strict=True)
+        sizes = set()
+        for i, (words, most) in enumerate(zip(self.words, self.allowed, strict=True)):
+            cuts = np.arange(most + 2) * len(words) // (most + 1)
+            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                if a < b:
+                    found.append((int(piece_keys(words[a:b], b - a, 1)[0]), i, a))
+                    sizes.add(b - a)
+        self.sizes = sorted(sizes)
         found.sort()
         self.keys = np.array([f[0] for f in found], np.uint64)
         self.item = np.array([f[1] for f in found], np.int64)
@@ -96,31 +66,25 @@ class Items:
         bits = int(np.clip(np.ceil(np.log2(max(1, len(found)))) + 8, 16, 26))
         self.shift = np.uint64(64 - bits)
         self.seen = np.zeros(1 << bits, bool)
-        self.seen[mix(self.keys) >> self.shift] = True
-
-    @staticmethod
-    def _walk(n: int) -> int:
-        """The longest walk that can't leave an item of ``n`` words: a power of two."""
-        return min(LONGEST_WALK, 1 << (n.bit_length() - 1))
-
-    def candidates(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Items and the places where they would begin."""
-        padded = np.concatenate([words, np.zeros(LONGEST_WALK + 1, np.uint64)])
-        items, places = [], []
-        for a in range(0, len(words), BLOCK):
-            part = padded[a:a + BLOCK + LONGEST_WALK + 1]
-            starts = np.arange(min(BLOCK, len(words) - a))
-            for _, keys in walk_keys(part, starts, self.walks):
-                hit = np.flatnonzero(self.seen[mix(keys) >> self.shift])
+        self.seen[self.keys >> self.shift] = True
+
+    def candidates(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Items, the places where they would begin, and the places of the pieces found."""
+        items, places, hits = [], [], []
+        for size in self.sizes:
+            for a in range(0, len(words) - size + 1, BLOCK):
+                keys = piece_keys(words[a:a + BLOCK + size - 1], size, min(BLOCK, len(words) - size + 1 - a))
+                hit = np.flatnonzero(self.seen[keys >> self.shift])
                 if not len(hit):
                     continue
                 low = np.searchsorted(self.keys, keys[hit], "left")
                 n = np.searchsorted(self.keys, keys[hit], "right") - low
                 at = np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
                 items.append(self.item[at])
-                places.append(np.repeat(hit + a, n) - self.offset[at])
+                hits.append(np.repeat(hit + a, n))
+                places.append(hits[-1] - self.offset[at])
         empty = np.zeros(0, np.int64)
-        return np.concatenate([empty, *items]), np.concatenate([empty, *places])
+        return np.concatenate([empty, *items]), np.concatenate([empty, *places]), np.concatenate([empty, *hits])
 
     def matches(self, texts: list[str | None]) -> list[tuple[int, int, int, int]]:
         """``(text, item, edits, end word)`` of the best place of each item in each text."""
@@ -130,11 +94,8 @@ class Items:
             return []
         words = word_hashes([w for s in split for w in s])
         ends = np.cumsum(lengths)
-        item, place = self.candidates(words)
-        # a place may lie before its text's start by the shift that edits make
-        item_size = np.array([len(w) for w in self.words])[item]
-        middle = np.clip(place + item_size // 2, 0, len(words) - 1)
-        owner = np.searchsorted(ends, middle, "right")
+        item, place, hit = self.candidates(words)
+        owner = np.searchsorted(ends, hit, "right")
         best: dict[tuple[int, int], tuple[int, int]] = {}
         order = np.lexsort((place, item, owner))
         last = None
