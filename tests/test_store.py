@@ -1,5 +1,6 @@
 """Stored tables, streams and whole runs."""
 
+import os
 from datetime import datetime, timedelta
 
 import pytest
@@ -203,6 +204,39 @@ def test_files_are_ingested_once(spark, tmp_path, rows):
         (at(0), "p", 1.0), (at(1), "p", 5.0), (at(1), "q", 6.0)]
 
 
+@pytest.mark.parametrize("kind", ["csv", "csv_mb", "csv_egauge"])
+def test_files_per_batch_change_nothing(spark, tmp_path, rows, kind):
+    src = tmp_path / "in"
+    src.mkdir()
+    head = {"csv": "DateTime", "csv_mb": "time(UTC)", "csv_egauge": "Date & Time"}[kind]
+    moment = (lambda m: str(1704240000 + 60 * m)) if kind == "csv_egauge" else (lambda m: at(m).strftime("%Y/%m/%d %H:%M:%S"))
+    # the second file comes between rows of the first one, and empties a known register
+    for k, values in enumerate(({0: "1", 1: "5", 4: "20"}, {1: "9", 3: ""}, {2: "12", 1500: "30"})):
+        (src / f"d.{k}.csv").write_text("\n".join([f"{head},p", *(f"{moment(m)},{v}" for m, v in values.items())]) + "\n")
+        os.utime(src / f"d.{k}.csv", (1_700_000_000 + 10 * k,) * 2)
+    got = []
+    for files in (1, 10):
+        target = str(tmp_path / f"t{files}")
+        assert incremental.ingest_files(
+            spark, str(src), kind, "s", target, str(tmp_path / f"cp{files}"), files_per_batch=files).awaitTermination(120)
+        got.append(rows(upsert.read_table(spark, target), "ts", "variable", "value"))
+    assert got[0] == got[1]
+    want = {"csv": [1.0, 9.0, 12.0, None, 20.0, 30.0], "csv_mb": [1.0, 7.0, 12.0, None, 20.0, 30.0], "csv_egauge": [None, 6.0, 5.0, None, None, 10.0]}
+    assert [r[2] for r in sorted(got[0])] == want[kind]
+
+
+def test_readings_per_batch_change_nothing(spark, tmp_path, rows):
+    src, got = str(tmp_path / "in"), []
+    for value in (1.0, 3.0, 8.0):
+        stream_rows(spark, src, ("s", at(0), "a", value))
+    for files in (1, 10):
+        target = str(tmp_path / f"t{files}")
+        stream = incremental.read_stream(spark, src, files_per_batch=files)
+        assert incremental.upsert_batches(stream, target, str(tmp_path / f"cp{files}")).awaitTermination(120)
+        got.append(rows(upsert.read_table(spark, target), "ts", "value"))
+    assert got == [[(at(0), 4.0)]] * 2
+
+
 # --- whole runs -----------------------------------------------------------------------------------
 
 RULES = "variable_alias string, variable_name string, changepoint int, ffill_length int"

@@ -32,16 +32,18 @@ def without_empty_columns(df: DataFrame, keep: Sequence[str]) -> DataFrame:
     return df.drop(*[c for c in others if counts[c] == 0])
 
 
-def merge_keep_existing(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Full outer join on the keys; a source value wins unless it is NULL. Columns of both sides stay."""
+def merge_keep_existing(target: DataFrame, source: DataFrame, keys: Sequence[str], replace: bool = False) -> DataFrame:
+    """Full outer join on the keys; a source value wins unless it is NULL, with ``replace`` also then. Columns of both sides stay."""
     keys = list(keys)
     columns = [c for c in target.columns if c not in keys] + [
         c for c in source.columns if c not in keys and c not in target.columns]
-    t, s = target.alias("t"), clean_for_store(source).alias("s")
+    t, s = target.alias("t"), clean_for_store(source).withColumn("_in", F.lit(True)).alias("s")
     joined = t.join(s, keys, "full")
 
     def value(c: str):
         sides = [F.col(f"{a}.`{c}`") for a, df in (("s", source), ("t", target)) if c in df.columns]
+        if replace and len(sides) == 2:
+            return F.when(F.col("s._in"), sides[0]).otherwise(sides[1]).alias(c)
         return F.coalesce(*sides).alias(c)
 
     return joined.select(*keys, *[value(c) for c in columns])
@@ -63,16 +65,17 @@ def touched(target: DataFrame, dated: DataFrame) -> DataFrame:
     return target.where(F.col(PARTITION).between(low, high)).join(dated.select(PARTITION).distinct(), PARTITION, "left_semi")
 
 
-def upsert(source: DataFrame, path: str, keys: Sequence[str] = (SITE, TS), ts: str = TS) -> None:
-    """Write ``source`` into the table at ``path``; creates it when absent."""
+def upsert(source: DataFrame, path: str, keys: Sequence[str] = (SITE, TS), ts: str = TS, replace: bool = False) -> None:
+    """Write ``source`` into the table at ``path``; creates it when absent. ``replace`` lets NULL overwrite, for values derived anew."""
     spark = source.sparkSession
     # written once: the columns with values, the dates and the merge all read it
-    dated = without_empty_columns(cut_lineage(source.withColumn(PARTITION, F.to_date(ts))), [*keys, PARTITION])
+    dated = cut_lineage(source.withColumn(PARTITION, F.to_date(ts)))
+    dated = dated if replace else without_empty_columns(dated, [*keys, PARTITION])
     target = read_table(spark, path)
     if target is None:
         merged = clean_for_store(dated)
     else:
-        merged = merge_keep_existing(touched(target, dated), dated, [*keys, PARTITION])
+        merged = merge_keep_existing(touched(target, dated), dated, [*keys, PARTITION], replace)
     # rebalancing gathers a partition's rows but lets adaptive execution split a hot site and day
     columns = f"{PARTITION}, {SITE}" if SITE in merged.columns else PARTITION
     balanced = spark.sql(f"SELECT /*+ REBALANCE({columns}) */ * FROM {{merged}}", merged=merged)

@@ -10,8 +10,10 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from wattloom.model import SITE, TS, VALUE, VARIABLE
 from wattloom.operators.aggregates import HOURS_PER_DAY, MINUTES_PER_HOUR, is_energy
-from wattloom.sinks.upsert import load_readings
-from wattloom.sources.logger_csv import PARSERS
+from wattloom.operators.sequences import SERIES, day_segment, ordered
+from wattloom.session import cut_lineage
+from wattloom.sinks.upsert import PARTITION, load_readings, read_table, touched, upsert
+from wattloom.sources.logger_csv import CORRECTED, PARSERS, REGISTERS
 
 STREAM_READINGS = "site string, ts timestamp, variable string, value double"
 
@@ -28,21 +30,63 @@ def read_stream(spark: SparkSession, path: str, form: str = "parquet", files_per
     return spark.readStream.schema(STREAM_READINGS).option("maxFilesPerTrigger", files_per_batch).format(form).load(path)
 
 
+def load_parts(parts: DataFrame, target: str, how: str = "mean") -> None:
+    """Keep ``(site, ts, variable, part, at, _sum, _count)`` beside the target, and derive the target's touched values from all parts.
+
+    A part is what one file or batch holds, so a batch that runs again replaces its own parts, and the target doesn't depend on how files
+    were dealt to batches. ``how``: the mean of all parts, the ``latest`` part with a value, or the ``difference`` of registers.
+    """
+    spark, base = parts.sparkSession, f"{target.rstrip('/')}_parts"
+    parts = cut_lineage(parts)
+    upsert(parts, base, (SITE, TS, VARIABLE, "part"))
+    keys = parts.select(SITE, TS, VARIABLE).distinct()
+    stored = read_table(spark, base)
+    if stored is None:  # no batch had rows yet
+        return
+    if how == "difference":
+        # a row's difference hangs on the row before it, at whatever distance
+        held = stored.join(keys.select(SITE, VARIABLE).distinct(), [SITE, VARIABLE], "left_semi")
+    else:
+        held = touched(stored, keys.withColumn(PARTITION, F.to_date(TS))).join(keys, [SITE, TS, VARIABLE], "left_semi")
+    per = held.groupBy(SITE, TS, VARIABLE)
+    if how == "latest":
+        mean = F.col("_sum") / F.col("_count")
+        rows = per.agg(F.max_by(F.when(F.col("_count") > 0, mean), F.when(
+            F.col("_count") > 0, F.struct("at", "part"))).alias(VALUE))
+    else:
+        # the store keeps an infinite sum as NULL
+        total = F.when(F.count("_sum") == F.count(F.lit(1)), F.sum("_sum"))
+        rows = per.agg((total / F.when(F.sum("_count") > 0, F.sum("_count"))).alias(VALUE))
+    if how == "difference":
+        marked = rows.join(keys.withColumn("_new", F.lit(True)), [SITE, TS, VARIABLE], "left").withColumn(
+            "_new", F.coalesce("_new", F.lit(False)))
+        seen = ordered(marked, SERIES, (TS,), day_segment(), lag={"_prev": F.col(VALUE), "_prev_new": F.col("_new")})
+        rows = seen.where(F.col("_new") | F.coalesce("_prev_new", F.lit(False))).select(
+            SITE, TS, VARIABLE, (F.col(VALUE) - F.col("_prev")).alias(VALUE))
+        upsert(rows, target, (SITE, TS, VARIABLE), replace=True)
+    else:
+        load_readings(rows, target)
+
+
 def ingest_files(
     spark: SparkSession, path: str, kind: str, site: str, target: str, checkpoint: str,
     suffix: str = ".csv", files_per_batch: int = 1000, **options: Any,
 ) -> StreamingQuery:
     """Parse newly landed logger files and upsert them, then stop.
 
-    A micro-batch holds whole files, so the batch parsers apply as they are. The upsert is keyed, so
-    a batch that runs again changes nothing.
+    A micro-batch holds whole files, so the batch parsers apply as they are. Sums and counts (for registers, of the registers) are kept
+    by file in ``<target>_parts``, so the table is the same for any number of files per batch, and a batch that runs again changes nothing.
     """
     lines = spark.readStream.option("pathGlobFilter", f"*{suffix}").option("maxFilesPerTrigger", files_per_batch).text(path).select(
-        F.col("_metadata.file_name").alias("file_name"), "value", F.col("_metadata.file_block_start").alias("_block"))
+        F.col("_metadata.file_name").alias("file_name"), "value", F.col("_metadata.file_block_start").alias("_block"),
+        F.unix_micros("_metadata.file_modification_time").alias("at"))
+    how = "latest" if kind in CORRECTED else "difference" if kind in REGISTERS else "mean"
 
     def store(batch: DataFrame, _: int) -> None:
-        numbered = batch.withColumn("pos", F.when(F.col("_block") == 0, F.monotonically_increasing_id())).drop("_block")
-        load_readings(PARSERS[kind](numbered, site, **options).drop("file_name"), target)
+        numbered = batch.withColumn("pos", F.when(F.col("_block") == 0, F.monotonically_increasing_id())).drop("_block", "at")
+        ages = batch.groupBy("file_name").agg(F.max("at").alias("at"))
+        parts = PARSERS[kind](numbered, site, parts=True, **options)
+        load_parts(parts.join(ages, "file_name").withColumnRenamed("file_name", "part"), target, how)
 
     return lines.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
@@ -145,11 +189,12 @@ def _count_streaks(need: int) -> Callable:
 
 
 def upsert_batches(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
-    """Upsert every micro-batch of readings, then stop when the input is drained."""
+    """Upsert every micro-batch of readings, then stop when the input is drained. What falls together is averaged over all batches."""
 
-    def store(batch: DataFrame, _: int) -> None:
-        naive = batch.groupBy(SITE, VARIABLE, F.col(TS).cast("timestamp_ntz").alias(TS)).agg(F.avg(VALUE).alias(VALUE))
-        load_readings(naive, target)
+    def store(batch: DataFrame, number: int) -> None:
+        naive = batch.groupBy(SITE, VARIABLE, F.col(TS).cast("timestamp_ntz").alias(TS)).agg(
+            F.coalesce(F.sum(VALUE), F.lit(0.0)).alias("_sum"), F.count(VALUE).alias("_count"))
+        load_parts(naive.select("*", F.lit(f"{checkpoint}#{number}").alias("part"), F.lit(number).cast("long").alias("at")), target)
 
     return stream.select(SITE, VARIABLE, TS, VALUE).writeStream.foreachBatch(store).option(
         "checkpointLocation", checkpoint).trigger(availableNow=True).start()
