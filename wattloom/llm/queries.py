@@ -4,7 +4,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wattloom.llm import chat, decontaminate, mixing, ngram_join, pii, quality, suffix_dedup, token_count, toxicity, warc
+from wattloom.llm import (
+    bpe, chat, decontaminate, divergence, hard_negatives, mixing, ngram_join, pii, quality, suffix_dedup, token_count, toxicity, warc,
+)
 from wattloom.llm.common import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +84,18 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "warc")
     warc.write(_table(spark, sf_dir, "pages"), folder)
     return warc.page_digests(warc.read(spark, folder))
+
+
+@_query("op11_hard_negatives", hard_negatives.mine_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(hard_negatives.shifted_labels(_table(spark, sf_dir, "embeddings")))
+
+
+@_query("op12_bpe")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_texts(_table(spark, sf_dir, "documents"), digests=True)
+
+
+@_query("op13_divergence", divergence.audit_sql())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"))
