@@ -269,3 +269,60 @@ def test_rules_that_need_one_power_or_total_fail_without(spark):
         alarms.flag_power_ratio(None, day, rules(spark, ("PowerIn_SwingTank", "POWRRAT:5-30")), days=1).collect()
     with pytest.raises(Exception, match="HPOUTGE needs one total"):
         alarms.flag_outage(df, day, rules(spark, ("PowerIn_HPWH1", "HPOUTGE"))).collect()
+
+
+BAD_RULES = {
+    "more than one colon": [("Temp_A", "TMPRANG:1:2")],
+    "written low-high": [("COP_A", "ABNRMCP:3")],
+    "Improper variable name": [("Temp", "TMPRANG")],
+    "several codes of SHRTCYC": [("PowerIn_A", "SHRTCYC:1;SHRTCYC:2")],
+    "HPINLET needs a power and a temperature for element HP": [("PowerIn_HP", "HPINLET")],
+    "HPOUTLT needs a power and a temperature for element HP": [("Temp_HP_Outlet", "HPOUTLT")],
+    "TMNSTPT needs a power and a temperature for element A": [("Temp_A_Inlet", "TMNSTPT"), ("Temp_A_Outlet", "TMNSTPT")],
+    "IMBCKUP: one total power at most": [("PowerIn_Total", "IMBCKUP"), ("PowerIn_Total_B", "IMBCKUP")],
+    "BALVALV: needs power, and heat or one total": [("PowerIn_ER", "BALVALV")],
+    "is not a power variable": [("Temp_A", "POWRRAT:1-2")],
+    "POWRRAT needs one total": [("PowerIn_SwingTank", "POWRRAT:5-30")],
+    "HPOUTGE needs one total": [("PowerIn_HPWH1", "HPOUTGE")],
+    "SOOCHNG needs one power variable": [("Temp_On", "SOOCHNG_ON"), ("Temp_Off", "SOOCHNG_OFF")],
+    "an ON and an OFF temperature for shed": [("PowerIn_HP", "SOOCHNG"), ("Temp_On", "SOOCHNG_ON_shed")],
+    "neither a power nor a temperature": [("Flow_A", "SOOCHNG_ON")],
+    "TAG_TYPE or TAG_TYPE_ID": [("mode_A", "SOOSCHD")],
+}
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_no_problem_of_the_rules_is_lost(spark, adaptive):
+    """Without any reading, each problem alone fails, and all of them together are listed."""
+    empty = wide(spark, PowerIn_A=[0]).where("false")
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        for problem, entries in BAD_RULES.items():
+            with pytest.raises(Exception, match=problem):
+                alarms.all_alarms(empty, empty, rules(spark, *entries), windows(spark)).collect()
+        every = rules(spark, *[e for entries in BAD_RULES.values() for e in entries])
+        with pytest.raises(Exception) as caught:
+            alarms.all_alarms(empty, empty, every, windows(spark)).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    together = {"POWRRAT needs one total", "HPOUTGE needs one total", "more than one colon", "several codes of SHRTCYC", "TAG_TYPE or TAG_TYPE_ID"}
+    assert all(p in str(caught.value) for p in together)
+
+
+def test_large_rule_tables_are_checked_too(spark, monkeypatch):
+    from wattloom.operators.alarms import codes, detectors
+
+    monkeypatch.setattr(codes, "LOCAL_RULES", 3)
+    monkeypatch.setattr(codes, "LISTED", 2)
+    good = [(f"PowerIn_{i}", "SHRTCYC") for i in range(6)]
+    assert detectors.book(rules(spark, *good), "SHRTCYC").count() == 6
+    bad = [(f"PowerIn{i}", "SHRTCYC") for i in range(5)]
+    with pytest.raises(codes.RuleError, match="PowerIn0; .*PowerIn1; and 3 more"):
+        detectors.book(rules(spark, *good, *bad), "SHRTCYC")
+
+
+def test_sites_are_checked_apart(spark):
+    schema = "site string, variable_name string, alarm_codes string"
+    both = spark.createDataFrame([("a", "PowerIn_HPWH", "HPOUTGE"), ("a", "PowerIn_Total", "HPOUTGE"), ("b", "PowerIn_HPWH", "HPOUTGE")], schema)
+    with pytest.raises(Exception, match="HPOUTGE needs one total"):
+        alarms.flag_outage(wide(spark, Alarm_A=[0]), days(spark, PowerIn_HPWH=[1]), both).collect()

@@ -169,7 +169,7 @@ def boundary_alarm(spark, sf):
 def temp_range_alarm(spark, sf):
     minute, daily, rules = plant(spark, sf)
     return detectors.on_days_of(
-        detectors.value_streaks(minute, detectors.temp_range_rules(rules, rows=2), GRAIN), daily)
+        detectors.value_streaks(minute, detectors.temp_range_rules(detectors.book(rules, "TMPRANG"), rows=2), GRAIN), daily)
 
 
 @query("blown_fuse_alarm", merged_sql(*FUSE_SQL))

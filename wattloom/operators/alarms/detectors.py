@@ -5,6 +5,8 @@ rows likewise, with ``ts`` at midnight. Streak windows are keyed by sensor and d
 to a day's rows. Every detector returns the alarm columns of :mod:`wattloom.model`.
 """
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from wattloom.functions.times import floor_time, step
@@ -36,10 +38,110 @@ def on_days_of(alarms: DataFrame, daily: DataFrame) -> DataFrame:
     return alarms.withColumn("_d", F.to_date(F.col("start_time_pt"))).join(days, [SITE, "_d"], "left_semi").drop("_d")
 
 
+# --- rules ----------------------------------------------------------------------------------------
+
+class Settings(NamedTuple):
+    """Bounds that codes without one take, by detector."""
+
+    temp_low: float = 115
+    temp_high: float = 130
+    fuse_draw: float = 30
+    inlet_power: float = 1.0
+    inlet_temp: float = 115.0
+    outlet_power: float = 1.0
+    outlet_temp: float = 140.0
+    tm_setpoint: float = 130.0
+    tm_power: float = 1.0
+    tm_share: float = 0.4
+    backup_setpoint: float = 130.0
+    backup_share: float = 0.1
+    balancing_share: float = 0.4
+    cop_low: float = 0.0
+    cop_high: float = 4.5
+    outage_share: float = 0.3
+    cycle_power: float = 1.0
+    change_power: float = 1.0
+    on_temp: float = 115.0
+    off_temp: float = 140.0
+
+
+def _specs(s: Settings) -> list[codes.Spec]:
+    cop = (s.cop_low, s.cop_high)
+    return [
+        codes.Spec(text.TEMP_RANGE, {"Temp": (s.temp_low, s.temp_high)}, ranged=True),
+        codes.Spec(text.BLOWN_FUSE, {"PowerIn": s.fuse_draw}),
+        codes.Spec(text.INLET, {"PowerIn": s.inlet_power, "Temp": s.inlet_temp}, roles="element"),
+        codes.Spec(text.OUTLET, {"PowerIn": s.outlet_power, "Temp": s.outlet_temp}, roles="element"),
+        codes.Spec(text.TM_SETPOINT, {"PowerIn": s.tm_power, "Temp": s.tm_setpoint, "Setpoint": s.tm_setpoint,
+                                      "PowerIn_Total": s.tm_share}, roles="element"),
+        codes.Spec(text.BACKUP, {"Setpoint": s.backup_setpoint, "PowerIn_Total": s.backup_share}),
+        codes.Spec(text.BALANCING, {"PowerIn_Total": s.balancing_share}),
+        codes.Spec(text.ABNORMAL_COP, {"COP": cop, "SystemCOP": cop}, ranged=True),
+        codes.Spec(text.POWER_RATIO, {}, ranged=True, roles="ratio"),
+        codes.Spec(text.OUTAGE, {"PowerIn": s.outage_share}),
+        codes.Spec(text.SOO_CHANGE, {"PowerIn": s.change_power, "ON": s.on_temp, "OFF": s.off_temp}, roles="change"),
+        codes.Spec(text.SHORT_CYCLE, {"PowerIn": s.cycle_power}),
+        codes.Spec(text.SOO_SCHEDULE, {}, roles="code"),
+    ]
+
+
+TAGS = tuple(s.tag for s in _specs(Settings()))
+
+
+def _is(*roles: str) -> Column:
+    return F.coalesce(F.col("role").isin(list(roles)), F.lit(False))
+
+
+def _checked(parsed: DataFrame, tags: set[str]) -> DataFrame:
+    """What rows of one tag must be to each other. Only checks of tags that are wanted are planned."""
+    power, temp, total, heat = _is("PowerIn"), _is("Temp"), _is("PowerIn_Total"), _is("HeatOut")
+    on, off, in_total = _is("ON"), _is("OFF"), F.col("element") == "Total"
+    said = lambda *parts: F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
+    tag, element = F.col("tag"), F.col("element")
+
+    def pair(n):
+        return (n(power | temp) > 0) & ((n(power) != 1) | (n(temp) != 1))
+
+    def balance(n):
+        return (n(power | total | heat) > 0) & ((n(total) > 1) | (n(power) < 1) | ((n(heat) < 1) & (n(total) != 1)))
+
+    checks = [
+        ((text.INLET, text.OUTLET), ["element"], pair, said(tag, " needs a power and a temperature for element ", element)),
+        ((text.TM_SETPOINT,), ["element"], lambda n: (n(power) > 1) | (n(temp) > 1),
+         said(tag, " needs a power and a temperature for element ", element)),
+        ((text.TM_SETPOINT, text.BACKUP), [], lambda n: n(total) > 1, said("Improper alarm codes for ", tag, ": one total power at most")),
+        ((text.BALANCING,), [], balance, said("Improper alarm codes for ", tag, ": needs power, and heat or one total")),
+        ((text.POWER_RATIO,), [], lambda n: (n(in_total) > 0) & (n(in_total & total) != 1), said(tag, " needs one total power for a site")),
+        ((text.OUTAGE,), [], lambda n: (n(power) > 0) & (n(total) != 1), said(tag, " needs one total power for a site")),
+        ((text.SOO_CHANGE,), [], lambda n: n(power) != 1, said(tag, " needs one power variable for a site")),
+        ((text.SOO_CHANGE,), ["element"], lambda n: (n(on | off) > 0) & ((n(on) != 1) | (n(off) != 1)),
+         said(tag, " needs an ON and an OFF temperature for ", element)),
+    ]
+    single = [t for t in (text.TEMP_RANGE, text.BLOWN_FUSE, text.ABNORMAL_COP, text.SHORT_CYCLE) if t in tags]
+    out = codes.one_per_variable(parsed, single) if single else parsed
+    for of, by, wrong, problem in checks:
+        if tags & set(of):
+            out = codes.check(out, of, by, wrong, problem)
+    return out
+
+
+def book(rules: DataFrame, *tags: str, **settings: float) -> DataFrame:
+    """The checked rules of these tags, of all tags without any; :func:`of_tag` picks those of a detector.
+
+    All problems of all tags fail at once, here, whatever the readings are. Runs a small job.
+    """
+    specs = [s for s in _specs(Settings(**settings)) if not tags or s.tag in tags]
+    return codes.settle(_checked(codes.read(rules, specs), {s.tag for s in specs}))
+
+
+def of_tag(book: DataFrame, tag: str) -> DataFrame:
+    return book.where(F.col("tag") == tag)
+
+
 # --- one variable against its bounds -------------------------------------------------------------
 
 def boundary_rules(rules: DataFrame, default_rows: int = 15) -> DataFrame:
-    base = codes.boundary(rules, default_rows)
+    base = codes.settle(codes.boundary(rules, default_rows))
     sides = F.explode(F.array(F.lit("below"), F.lit("above"))).alias("kind")
     return base.select("*", F.lit(text.BOUNDARY).alias("tag"), sides)
 
@@ -50,25 +152,20 @@ def _value_rules(parsed: DataFrame, kind: str, need: int, low: Column, high: Col
                          F.lit(need).alias("need"), "tag", F.lit(kind).alias("kind"))
 
 
-def temp_range_rules(rules: DataFrame, low: float = 115, high: float = 130, rows: int = 10) -> DataFrame:
-    parsed = codes.one_per_variable(codes.parse(rules, text.TEMP_RANGE, {"Temp": (low, high)}, ranged=True))
-    return _value_rules(parsed, "outside", rows, F.col("bound"), F.col("bound2"))
+def temp_range_rules(book: DataFrame, rows: int = 10) -> DataFrame:
+    return _value_rules(of_tag(book, text.TEMP_RANGE), "outside", rows, F.col("bound"), F.col("bound2"))
 
 
-def blown_fuse_rules(rules: DataFrame, threshold: float = 1.0, margin: float = 2.0, draw: float = 30,
-                     rows: int = 3) -> DataFrame:
-    parsed = codes.one_per_variable(codes.parse(rules, text.BLOWN_FUSE, {"PowerIn": draw}))
-    return _value_rules(parsed, "between", rows, F.lit(threshold), F.col("bound") - margin)
+def blown_fuse_rules(book: DataFrame, threshold: float = 1.0, margin: float = 2.0, rows: int = 3) -> DataFrame:
+    return _value_rules(of_tag(book, text.BLOWN_FUSE), "between", rows, F.lit(float(threshold)), F.col("bound") - margin)
 
 
-def setpoint_rules(rules: DataFrame, tag: str, setpoint: float = 130.0, rows: int = 10) -> DataFrame:
-    parsed = codes.parse(rules, tag, {"Setpoint": setpoint}).where("role = 'Setpoint'")
-    return _value_rules(parsed, "differs", rows, F.col("bound"), F.lit(None).cast("double"))
+def setpoint_rules(book: DataFrame, tag: str, rows: int = 10) -> DataFrame:
+    return _value_rules(of_tag(book, tag).where(_is("Setpoint")), "differs", rows, F.col("bound"), F.lit(None).cast("double"))
 
 
-def outage_flag_rules(rules: DataFrame) -> DataFrame:
-    parsed = codes.parse(rules, text.OUTAGE, {}).where("role = 'Alarm'")
-    return _value_rules(parsed, "differs", 1, F.lit(0.0), F.lit(None).cast("double"))
+def outage_flag_rules(book: DataFrame) -> DataFrame:
+    return _value_rules(of_tag(book, text.OUTAGE).where(_is("Alarm")), "differs", 1, F.lit(0.0), F.lit(None).cast("double"))
 
 
 def value_streaks(minute: DataFrame, value_rules: DataFrame, grain: str = "MINUTE") -> DataFrame:
@@ -89,35 +186,16 @@ def value_streaks(minute: DataFrame, value_rules: DataFrame, grain: str = "MINUT
 
 # --- power and temperature of one element --------------------------------------------------------
 
-def pair_rules(rules: DataFrame, tag: str, power: float, temp: float, rows: int) -> DataFrame:
+def pair_rules(book: DataFrame, tag: str, rows: int) -> DataFrame:
     """One row per element with its power and temperature variable and bounds."""
-    strict = tag != text.TM_SETPOINT
-    parsed = codes.parse(rules, tag, {"PowerIn": power, "Temp": temp}, roles="element").where(
-        F.col("role").isin("PowerIn", "Temp"))
+    parsed = of_tag(book, tag).where(_is("PowerIn", "Temp"))
     keys = [SITE] if SITE in parsed.columns else []
-    is_power, is_temp = F.col("role") == "PowerIn", F.col("role") == "Temp"
-    n_power, n_temp = F.count(F.when(is_power, 1)), F.count(F.when(is_temp, 1))
-    wrong = ((n_power != 1) | (n_temp != 1)) if strict else ((n_power > 1) | (n_temp > 1))
-    problem = F.concat(F.lit(f"{tag} needs a power and a temperature for element "), F.col("element"))
-    pick = lambda c, cond: F.max(F.when(cond, F.col(c)))
+    pick = lambda c, role: F.max(F.when(_is(role), F.col(c)))
     pairs = parsed.groupBy(*keys, "tag", "element").agg(
-        F.when(wrong, F.raise_error(F.max(problem)).cast("string")).otherwise(pick(VARIABLE, is_power)).alias("power_variable"),
-        pick(VARIABLE, is_temp).alias("temp_variable"),
-        pick("bound", is_power).alias("power_bound"), pick("bound", is_temp).alias("bound"),
-        pick("pretty", is_power).alias("power_pretty"), pick("pretty", is_temp).alias("pretty"))
-    return pairs.where("power_variable IS NOT NULL AND temp_variable IS NOT NULL").withColumn("need", F.lit(rows))
-
-
-def inlet_rules(rules, power: float = 1.0, temp: float = 115.0, rows: int = 5) -> DataFrame:
-    return pair_rules(rules, text.INLET, power, temp, rows)
-
-
-def outlet_rules(rules, power: float = 1.0, temp: float = 140.0, rows: int = 5) -> DataFrame:
-    return pair_rules(rules, text.OUTLET, power, temp, rows)
-
-
-def tm_draw_rules(rules, power: float = 1.0, temp: float = 130.0, rows: int = 3) -> DataFrame:
-    return pair_rules(rules, text.TM_SETPOINT, power, temp, rows)
+        pick(VARIABLE, "PowerIn").alias("power_variable"), pick(VARIABLE, "Temp").alias("temp_variable"),
+        pick("bound", "PowerIn").alias("power_bound"), pick("bound", "Temp").alias("bound"),
+        pick("pretty", "PowerIn").alias("power_pretty"), pick("pretty", "Temp").alias("pretty"))
+    return codes.settle(pairs.where("power_variable IS NOT NULL AND temp_variable IS NOT NULL").withColumn("need", F.lit(rows)))
 
 
 def pair_streaks(minute: DataFrame, pairs: DataFrame, grain: str = "MINUTE", warmup: int = 10) -> DataFrame:
@@ -158,21 +236,14 @@ def pair_streaks(minute: DataFrame, pairs: DataFrame, grain: str = "MINUTE", war
 
 # --- daily shares -------------------------------------------------------------------------------
 
-def share_rules(rules: DataFrame, tag: str, default_share: float) -> DataFrame:
+def share_rules(book: DataFrame, *tags: str) -> DataFrame:
     """Members of a daily share: summed power, heat, and one total; counts of each."""
-    parsed = codes.parse(rules, tag, {"PowerIn_Total": default_share}).where(
-        F.col("role").isin("PowerIn", "PowerIn_Total", "HeatOut"))
-    keys = [SITE] if SITE in parsed.columns else []
-    w = Window.partitionBy(*keys, "tag")
-    n = lambda role: F.count(F.when(F.col("role") == role, 1)).over(w)
-    counted = parsed.withColumns({
+    parsed = book.where(F.col("tag").isin(list(tags)) & _is("PowerIn", "PowerIn_Total", "HeatOut"))
+    w = Window.partitionBy(*([SITE] if SITE in parsed.columns else []), "tag")
+    n = lambda role: F.count(F.when(_is(role), 1)).over(w)
+    return codes.settle(parsed.withColumns({
         "n_power": n("PowerIn"), "n_total": n("PowerIn_Total"), "n_heat": n("HeatOut"),
-        "heat_variable": F.min(F.when(F.col("role") == "HeatOut", F.col(VARIABLE))).over(w)})
-    wrong = F.col("n_total") > 1
-    if tag == text.BALANCING:
-        wrong = wrong | (F.col("n_power") < 1) | ((F.col("n_heat") < 1) & (F.col("n_total") != 1))
-    problem = F.raise_error(F.lit(f"Improper alarm codes for {tag}: needs power, and heat or one total")).cast("bigint")
-    return counted.withColumn("n_total", F.when(wrong, problem).otherwise(F.col("n_total")))
+        "heat_variable": F.min(F.when(_is("HeatOut"), F.col(VARIABLE))).over(w)}))
 
 
 def daily_shares(daily: DataFrame, members: DataFrame, grain: str = "MINUTE") -> DataFrame:
@@ -213,9 +284,8 @@ def daily_shares(daily: DataFrame, members: DataFrame, grain: str = "MINUTE") ->
     return by_share.unionByName(by_heat)
 
 
-def abnormal_cop(daily: DataFrame, rules: DataFrame, low: float = 1.5, high: float = 5.5) -> DataFrame:
-    parsed = codes.one_per_variable(
-        codes.parse(rules, text.ABNORMAL_COP, {"COP": (low, high), "SystemCOP": (low, high)}, ranged=True))
+def abnormal_cop(daily: DataFrame, book: DataFrame) -> DataFrame:
+    parsed = of_tag(book, text.ABNORMAL_COP)
     odd = codes.attach(daily, parsed).where((F.col(VALUE) > F.col("bound2")) | (F.col(VALUE) < F.col("bound")))
     odd = odd.withColumn("actual", F.when(F.abs(F.col(VALUE)) < float("inf"), F.round(VALUE, 2)).otherwise(F.col(VALUE)))
     return _alarm(odd, text.ABNORMAL_COP, F.col(TS), F.col(TS) + step("DAY"), F.col(VARIABLE),
@@ -242,33 +312,18 @@ def _blocks(daily: DataFrame, parsed: DataFrame, days: int, by: list[str]) -> Da
     }).where(F.col("_n") == days)
 
 
-def _one(parsed: DataFrame, fails: Column, problem: str) -> DataFrame:
-    """The rules, after a check of each site's rules together; rules without a site are checked as one."""
-    by = SITE if SITE in parsed.columns else "_all"
-    keyed = parsed if by == SITE else parsed.withColumn("_all", F.lit(1))
-    checked = keyed.groupBy(by).agg(F.when(fails, F.raise_error(F.lit(problem)).cast("boolean")).otherwise(F.lit(True)).alias("_ok"))
-    return keyed.join(checked, by).where("_ok").select(parsed.columns)
-
-
-def _one_total(parsed: DataFrame, tag: str, needs: Column, of: Column) -> DataFrame:
-    """Fail when a site has rules that need a total power, and not exactly one of it."""
-    total = F.count(F.when((F.col("role") == "PowerIn_Total") & of, 1))
-    return _one(parsed, (F.count(F.when(needs, 1)) > 0) & (total != 1), f"{tag} needs one total power for a site")
-
+def power_ratio(daily: DataFrame, book: DataFrame, days: int = 7, stored: DataFrame | None = None) -> DataFrame:
+    """Share of a group's power over a block of days: outside the range, or below it for heat pumps.
 
-def power_ratio(daily: DataFrame, rules: DataFrame, days: int = 7, stored: DataFrame | None = None) -> DataFrame:
-    """Share of a group's power over a block of days: outside the range, or below it for heat pumps."""
+    Where the total of a block was not reported, shares of it are unknown and give no alarm.
+    """
     if days < 1:
         raise ValueError("the ratio period must be at least one day")
-    parsed = _one_total(codes.parse(rules, text.POWER_RATIO, {}, ranged=True, roles="ratio"), "POWRRAT", F.col("element") == "Total",
-                        F.col("element") == "Total")
+    parsed = of_tag(book, text.POWER_RATIO)
     blocks = _blocks(with_stored_days(daily, stored, days) if days > 1 else daily, parsed, days, ["element"])
     is_total = F.col("role") == "PowerIn_Total"
     group_sum = F.when(F.col("element") == "Total", F.sum(F.when(is_total, F.col("block")))).otherwise(F.sum("block"))
-    n_total = F.count(F.when(is_total, 1))
-    problem = F.when((F.col("element") == "Total") & (n_total != 1),
-                     F.raise_error(F.lit("the Total group of POWRRAT needs one total")).cast("double"))
-    groups = blocks.groupBy(SITE, TS, "element").agg(F.coalesce(problem, group_sum).alias("_group"))
+    groups = blocks.groupBy(SITE, TS, "element").agg(group_sum.alias("_group"))
     shares = blocks.where(~is_total | (F.col("element") != "Total")).join(groups, [SITE, TS, "element"]).withColumn(
         "percent", ratio(F.col("block"), F.col("_group")) * 100)
     under, above = F.col("percent") < F.col("bound"), F.col("percent") > F.col("bound2")
@@ -279,13 +334,11 @@ def power_ratio(daily: DataFrame, rules: DataFrame, days: int = 7, stored: DataF
                   F.col(VARIABLE), message(text.POWER_RATIO), HIGH)
 
 
-def outage_by_share(daily: DataFrame, rules: DataFrame, flagged: DataFrame, share: float = 0.3, days: int = 7,
-                    stored: DataFrame | None = None) -> DataFrame:
+def outage_by_share(daily: DataFrame, book: DataFrame, flagged: DataFrame, days: int = 7, stored: DataFrame | None = None) -> DataFrame:
     """Heat pump power under its share of the total over a block, for sites with no flag alarm."""
     if days <= 1:
         raise ValueError("the ratio period must be more than one day")
-    parsed = _one_total(codes.parse(rules, text.OUTAGE, {"PowerIn": share}).where(F.col("role").isin("PowerIn", "PowerIn_Total")),
-                        "HPOUTGE", F.col("role") == "PowerIn", F.lit(True))
+    parsed = of_tag(book, text.OUTAGE).where(_is("PowerIn", "PowerIn_Total"))
     blocks = _blocks(with_stored_days(daily, stored, days), parsed, days, ["role"])
     totals = blocks.where("role = 'PowerIn_Total'").groupBy(SITE, TS).agg(
         F.when(F.count(F.lit(1)) == 1, F.max("block")).alias("_total"))
@@ -297,10 +350,9 @@ def outage_by_share(daily: DataFrame, rules: DataFrame, flagged: DataFrame, shar
 
 # --- operating modes ------------------------------------------------------------------------------
 
-def short_cycle(minute: DataFrame, rules: DataFrame, threshold: float = 1.0, rows: int = 15,
-                grain: str = "MINUTE") -> DataFrame:
+def short_cycle(minute: DataFrame, book: DataFrame, rows: int = 15, grain: str = "MINUTE") -> DataFrame:
     """On-runs shorter than ``rows``; a run may cross midnight, so the series is cut into segments."""
-    parsed = codes.one_per_variable(codes.parse(rules, text.SHORT_CYCLE, {"PowerIn": threshold}))
+    parsed = of_tag(book, text.SHORT_CYCLE)
     joined = codes.attach(minute, parsed).select(
         SITE, VARIABLE, TS, "pretty", (F.col(VALUE) > F.col("bound")).alias("on"))
     found = sequences.short_runs(joined, "on", rows, [SITE, VARIABLE, "pretty"], segment=sequences.day_segment())
@@ -308,20 +360,12 @@ def short_cycle(minute: DataFrame, rules: DataFrame, threshold: float = 1.0, row
                   message(text.SHORT_CYCLE), HIGH)
 
 
-def soo_change(minute: DataFrame, rules: DataFrame, schedule: DataFrame, power: float = 1.0, on_temp: float = 115.0,
-               off_temp: float = 140.0, margin: float = 5.0, grain: str = "MINUTE") -> DataFrame:
+def soo_change(minute: DataFrame, book: DataFrame, schedule: DataFrame, margin: float = 5.0, grain: str = "MINUTE") -> DataFrame:
     """Heat pump turns on or off while the deciding temperature is away from its setpoint."""
-    parsed = codes.parse(rules, text.SOO_CHANGE, {"PowerIn": power, "ON": on_temp, "OFF": off_temp}, roles="change")
-    n_power = F.count(F.when(F.col("role") == "PowerIn", 1))
-    parsed = _one(parsed, n_power != 1, "SOOCHNG needs one power variable for a site")
+    parsed = of_tag(book, text.SOO_CHANGE)
     keys = [SITE] if SITE in parsed.columns else []
     mode = F.when(F.col("element").isin(list(text.MODES)), F.col("element")).otherwise("normal")
-    temps = parsed.where("role IN ('ON', 'OFF')").withColumn("mode_key", mode)
-    n = lambda r: F.count(F.when(F.col("role") == r, 1))
-    problem = F.concat(F.lit("SOOCHNG needs an ON and an OFF temperature for "), F.col("element"))
-    checked = temps.groupBy(*keys, "element").agg(
-        F.when((n("ON") != 1) | (n("OFF") != 1), F.raise_error(F.max(problem)).cast("boolean")).otherwise(F.lit(True)).alias("_ok"))
-    temps = temps.join(checked, [*keys, "element"]).where("_ok")
+    temps = parsed.where(_is("ON", "OFF")).withColumn("mode_key", mode)
     drives = parsed.where("role = 'PowerIn'").select(*keys, VARIABLE, F.col("bound").alias("threshold"))
     draw = codes.attach(minute, drives).select(SITE, TS, VALUE, "threshold")
     during = inside(draw, schedule).where(F.col("event").isin(list(text.MODES))).select(
@@ -341,9 +385,9 @@ def soo_change(minute: DataFrame, rules: DataFrame, schedule: DataFrame, power:
     return _alarm(odd, text.SOO_CHANGE, F.col(TS), F.col(TS) + step(grain), F.col(VARIABLE), detail, MEDIUM)
 
 
-def schedule_mismatch(minute: DataFrame, rules: DataFrame, schedule: DataFrame, grain: str = "MINUTE") -> DataFrame:
+def schedule_mismatch(minute: DataFrame, book: DataFrame, schedule: DataFrame, grain: str = "MINUTE") -> DataFrame:
     """A mode variable that does not show the scheduled mode, per window; or the normal mode outside."""
-    parsed = codes.parse(rules, text.SOO_SCHEDULE, {}, roles="code").where(F.col("role").isin("normal", *text.MODES))
+    parsed = of_tag(book, text.SOO_SCHEDULE).where(_is("normal", *text.MODES))
     watched = codes.attach(minute, parsed).select(SITE, TS, VARIABLE, VALUE, "pretty", "bound", F.col("role").alias("mode"))
     during = inside(watched.where("mode <> 'normal'"), schedule).where("event = mode").select(*watched.columns, "seq")
     scheduled = schedule.select(SITE).distinct()
