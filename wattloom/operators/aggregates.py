@@ -144,7 +144,11 @@ def hour_and_day(df: DataFrame, hour_threshold: float = 0.8, day_threshold: floa
                  rate: str = "drop", remove_partial: bool = True, mean_only: bool = False,
                  exclude: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """Hourly and daily tables from one set of hour parts."""
-    parts = hour_parts(df, rate, mean_only)
+    return of_parts(hour_parts(df, rate, mean_only), hour_threshold, day_threshold, remove_partial, mean_only, exclude)
+
+
+def of_parts(parts: DataFrame, hour_threshold: float = 0.8, day_threshold: float = 1.0, remove_partial: bool = True,
+             mean_only: bool = False, exclude: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     if remove_partial:
         return (complete_hours(parts, hour_threshold, mean_only, exclude),
                 complete_days(parts, hour_threshold, day_threshold, mean_only, exclude))

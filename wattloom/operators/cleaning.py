@@ -26,7 +26,7 @@ def rules_for(rules: DataFrame, site: str | None = None, system: str | None = No
     return rules
 
 
-def _ruled(df: DataFrame, rules: DataFrame, *columns: str, name: str = "variable_name", how: str = "left") -> DataFrame:
+def rule_of(df: DataFrame, rules: DataFrame, *columns: str, name: str = "variable_name", how: str = "left") -> DataFrame:
     """Join the rule of each reading, as ``_r_<column>``; rules without a site hold for every site.
 
     A name has one rule, however many rows (aliases) repeat it; rows that disagree fail when the plan runs.
@@ -55,7 +55,7 @@ def rename_by_rules(df: DataFrame, rules: DataFrame) -> DataFrame:
     names = rules.where(F.col("variable_name").isNotNull() & F.col("variable_alias").isNotNull())
     keys = [SITE] if SITE in rules.columns else []
     names = names.select(*keys, "variable_alias", "variable_name").distinct()
-    renamed = _ruled(df, names, "variable_name", name="variable_alias", how="inner").withColumn(
+    renamed = rule_of(df, names, "variable_name", name="variable_alias", how="inner").withColumn(
         VARIABLE, F.col("_r_variable_name"))
     filled = renamed.groupBy(SITE, TS).agg(F.count(VALUE).alias("_n")).where("_n > 0").drop("_n")
     return renamed.join(filled, [SITE, TS], "left_semi").select(*df.columns)
@@ -109,13 +109,13 @@ def outliers_to_null(df: DataFrame, rules: DataFrame) -> DataFrame:
     """Values outside ``[lower_bound, upper_bound]`` become NULL; either bound may be missing."""
     low, high = F.col("_r_lower_bound").cast("double"), F.col("_r_upper_bound").cast("double")
     value = F.when(F.col(VALUE) < low, None).when(F.col(VALUE) > high, None).otherwise(F.col(VALUE))
-    return _ruled(df, rules, "lower_bound", "upper_bound").withColumn(VALUE, value).select(*df.columns)
+    return rule_of(df, rules, "lower_bound", "upper_bound").withColumn(VALUE, value).select(*df.columns)
 
 
 def sentinel_to_null(df: DataFrame, rules: DataFrame) -> DataFrame:
     """Values equal to the rule's ``error_value`` become NULL."""
     hit = F.col(VALUE) == F.col("_r_error_value").cast("double")
-    return _ruled(df, rules, "error_value").withColumn(
+    return rule_of(df, rules, "error_value").withColumn(
         VALUE, F.when(hit, None).otherwise(F.col(VALUE))).select(*df.columns)
 
 
@@ -140,7 +140,7 @@ def forward_fill(
     start = df
     if seed is not None:
         ruled = rules.where("changepoint IS NOT NULL OR ffill_length IS NOT NULL")
-        stored = _ruled(seed, ruled, how="left_semi").select(
+        stored = rule_of(seed, ruled, how="left_semi").select(
             SITE, VARIABLE, F.col(VALUE).alias("_seed"))
         absent = seed.select(SITE, VARIABLE).join(df.select(SITE, VARIABLE).distinct(), [SITE, VARIABLE], "left_anti")
         empty = df.select(SITE, *order).distinct().join(absent, SITE).withColumn(VALUE, F.lit(None).cast("double"))
@@ -157,7 +157,7 @@ def forward_fill(
     change, limit = F.col("_r_changepoint").cast("int"), F.col("_r_ffill_length").cast("int")
     may_fill = (change == 1) | ((change == 0) & (F.col("_age") <= limit))
     value = F.coalesce(F.col(VALUE), F.when(may_fill, F.col("_latest")))
-    return _ruled(carried, rules, "changepoint", "ffill_length").withColumn(VALUE, value).select(*df.columns)
+    return rule_of(carried, rules, "changepoint", "ffill_length").withColumn(VALUE, value).select(*df.columns)
 
 
 def correct_points(df: DataFrame, corrections: DataFrame) -> DataFrame:

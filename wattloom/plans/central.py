@@ -10,9 +10,8 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wattloom.functions.times import floor_time
-from wattloom.model import SITE, TS, VALUE, VARIABLE, complete_rows
-from wattloom.operators import aggregates, alarms, cleaning
-from wattloom.operators.sequences import hour_segment
+from wattloom.model import SITE, TS, VALUE, VARIABLE
+from wattloom.operators import aggregates, alarms, cleaning, filling
 from wattloom.session import cut_lineage
 from wattloom.sinks.upsert import store_all
 from wattloom.sources import marks
@@ -73,28 +72,29 @@ def transform(
 ) -> Tables:
     """Rename, floor, fill, shift zone, average duplicates, then hours and days with weather.
 
-    Every raw row of a site has a place for each of its variables before it is filled, as in a wide frame, so a gap in one device's
-    file is filled at the times of another's. ``seq`` tells raw rows of one time apart.
+    Every raw row of a site is a moment of each of its variables, as in a wide frame, so a gap in one device's file is filled at the
+    times of another's; no row is made for it before minutes are. ``seq`` tells raw rows of one time apart.
     Filling comes before duplicates are averaged, so a fill limit counts duplicate rows. ``exempt`` variables are never
     emptied for having too few values. ``weather``
     is ``(site, ts, <oat>, ...)``; its columns join the hours as variables. ``settle=False`` leaves
-    the minutes and days as plans, for callers that store them before reading on.
+    the minutes and days as plans, for callers that store them before reading on; hours are then summed without making minutes.
     """
     rules = cleaning.rules_for(rules, system=system)
     named = cleaning.floor_to(cleaning.rename_by_rules(raw, rules), "MINUTE")
     fill = rules.select(*([SITE] if SITE in rules.columns else []), "variable_name", "changepoint", "ffill_length").distinct()
-    grid = complete_rows(named, keys=(SITE, TS) if seq is None else (SITE, TS, seq))
-    filled = cleaning.forward_fill(grid, fill, seq=seq, seed=seed, segment=hour_segment())
-    if zone_from != zone_to:
-        filled = cleaning.shift_zone(filled, zone_from, zone_to)
-    minute = cleaning.average_duplicates(filled)
+    filled = filling.fill(named, fill, seq=seq, seed=seed)
+    minute = filling.minutes(filled)
+    changed = zone_from != zone_to or pre_aggregation is not None
+    if zone_from != zone_to:  # two hours can become one
+        minute = cleaning.average_duplicates(cleaning.shift_zone(minute, zone_from, zone_to))
     if pre_aggregation is not None:
         minute = pre_aggregation(minute)
         if not isinstance(minute, DataFrame):
             raise TypeError("pre_aggregation must return a DataFrame")
     if settle:
         minute = cut_lineage(minute)
-    hour, day = aggregates.hour_and_day(minute, hour_threshold, day_threshold, remove_partial=remove_partial, exclude=exempt)
+    parts = aggregates.hour_parts(minute) if settle or changed else filling.hour_parts(filled)
+    hour, day = aggregates.of_parts(parts, hour_threshold, day_threshold, remove_partial, exclude=exempt)
     states = flags = None
     if schedule is not None:
         states = aggregates.load_shift_state(hour.select(SITE, TS).distinct(), schedule)
