@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from wattloom.model import READINGS
+from wattloom.model import READINGS, SCHEDULE
 from wattloom.operators import intervals, sequences
 
 START = datetime(2024, 3, 9, 20, 0)
@@ -182,3 +182,24 @@ def test_merging_equals_the_greedy_loop(spark, spans, gap):
                     current = [a, b]
             want.append((site, *current))
         assert got == sorted(want)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_disjoint_windows_keep_the_highest_priority(spark, seed):
+    rng = random.Random(seed)
+    at = lambda m: START + timedelta(minutes=m)
+    n, wide = (120, 60) if seed else (40, 3000)  # many on few edges; few over many weeks
+    rows = [(rng.choice("ab"), rng.choice("xyz"), (m := rng.randint(0, 30 * wide)), m + rng.randint(0, 10 * wide), rng.randint(0, 50)) for _ in range(n)]
+    odd = [("a", None, 0, 9, 99), ("a", "x", 9, 9, 99), ("a", "x", 0, 9, None), ("c", "only", 1, 2, 1)]
+    windows = spark.createDataFrame([(s, e, at(a), at(b), p) for s, e, a, b, p in rows + odd], SCHEDULE)
+    got = [tuple(r) for r in intervals.disjoint(windows).collect()]
+    for site in "abc":
+        mine = sorted((r[1], r[2], r[4], r[3]) for r in got if r[0] == site)
+        assert all(x[1] <= y[0] for x, y in zip(mine, mine[1:]))
+        for a, b, p, e in mine:
+            open_ = [(w[4], w[1]) for w in rows + odd[3:] if w[0] == site and at(w[2]) <= a and b <= at(w[3])]
+            assert (p, e) == max(open_)
+        covered = sum(((b - a) for a, b, *_ in mine), timedelta())
+        minutes = {m for w in rows + odd[3:] if w[0] == site for m in range(w[2], w[3])}
+        assert covered == timedelta(minutes=len(minutes))
+    assert intervals.disjoint(windows.where("false")).count() == 0

@@ -144,13 +144,42 @@ def inside(readings: DataFrame, windows: DataFrame, how: str = "inner", ts: str
     return left.join(right, matched, how).drop("_rday", "_wsite", "_day")
 
 
-def label(rows: DataFrame, schedule: DataFrame, out: str, default: str | None, ts: str = TS,
-          keys: Sequence[str] = (SITE, TS)) -> DataFrame:
-    """Name of the schedule window a row lies in; the later schedule row wins an overlap."""
-    hits = inside(rows.select(*keys).distinct(), schedule, "inner", ts).groupBy(*keys).agg(
-        F.max_by("event", "seq").alias(out))
-    joined = rows.join(hits, list(keys), "left")
-    return joined if default is None else joined.withColumn(out, F.coalesce(F.col(out), F.lit(default)))
+def disjoint(windows: DataFrame, priority: str = "seq", name: str = "event") -> DataFrame:
+    """``(site, start, end, <name>, <priority>)``: half-open windows cut so that none overlap; where some did, the highest priority stays.
+
+    Of equal priorities the greatest name stays. A sweep needs the highest of all open windows after every edge; that set is not kept
+    anywhere. A site's edges are numbered instead, a window is split into at most two aligned ranges of numbers of each size, and a
+    range keeps only its best window, so hot ranges collapse before they are shuffled. The winner between two edges is the best of the
+    aligned ranges around it. Windows without length or with a missing time, name or priority don't count.
+    """
+    real = windows.where(F.col("start") < F.col("end")).select(SITE, "start", "end", F.struct(priority, name).alias("w")).where(
+        F.col(f"w.{priority}").isNotNull() & F.col(f"w.{name}").isNotNull())
+    best = real.groupBy(SITE, "start", "end").agg(F.max("w").alias("w"))
+    edges = best.select(SITE, F.explode(F.array("start", "end")).alias("at")).distinct()
+    placed = ordered(edges, [SITE], ["at"], month_segment("at"), total={"i": F.lit(1)}, lead={"until": F.col("at")})
+    first = placed.select(SITE, F.col("at").alias("start"), F.col("i").alias("lo"))
+    last = placed.select(SITE, F.col("at").alias("end"), F.col("i").alias("hi"))
+    spans = best.join(first, [SITE, "start"]).join(last, [SITE, "end"])
+    # numbers lo to hi - 1: at each size the odd one at the left end and the even one at the right end stick out
+    ranges = """filter(flatten(transform(sequence(0, length(bin(hi - lo))), l -> array(
+        struct(l, shiftright(lo + shiftleft(1L, l) - 1, l) AS r,
+               shiftright(lo + shiftleft(1L, l) - 1, l) < shiftright(hi, l) AND shiftright(lo + shiftleft(1L, l) - 1, l) % 2 = 1 AS ok),
+        struct(l, shiftright(hi, l) - 1 AS r,
+               shiftright(lo + shiftleft(1L, l) - 1, l) < shiftright(hi, l) AND shiftright(hi, l) % 2 = 1 AS ok)))), x -> x.ok)"""
+    nodes = spans.select(SITE, "w", F.expr(f"inline({ranges})")).groupBy(SITE, "l", "r").agg(F.max("w").alias("w"))
+    sizes = placed.groupBy(SITE).agg(F.expr("length(bin(max(i)))").alias("top"))
+    slots = placed.where("until IS NOT NULL").join(sizes, SITE).select(
+        SITE, "at", "until", F.expr("inline(transform(sequence(0, top), l -> struct(l, shiftright(i, l) AS r)))"))
+    won = slots.join(nodes, [SITE, "l", "r"]).groupBy(SITE, "at", "until").agg(F.max("w").alias("w"))
+    return won.select(SITE, F.col("at").alias("start"), F.col("until").alias("end"), f"w.{name}", f"w.{priority}")
+
+
+def label(rows: DataFrame, schedule: DataFrame, out: str, default: str | None, ts: str = TS) -> DataFrame:
+    """Name of the schedule window a row lies in; the later schedule row wins an overlap. A row meets one window at most."""
+    named = disjoint(schedule).select(SITE, "start", "end", F.col("event").alias("_event"))
+    joined = inside(rows, named, "left", ts)
+    event = F.col("_event") if default is None else F.coalesce("_event", F.lit(default))
+    return joined.withColumn(out, event).select(*[c for c in rows.columns if c != out], out)
 
 
 def latest(df: DataFrame, keys: Sequence[str], ts: str = TS) -> DataFrame:
