@@ -24,6 +24,8 @@ from wattloom.llm.common import small_enough, stored, workers_import
 SHARE = 1_000_000_000
 LEAST_DOCS = 3
 RANKS = 200
+#: Texts with copies whose digests may be broadcast, with a few sources each.
+COPIED_TEXTS = 200_000
 #: Sums that a task holds before it hands them on, and counts in a block of terms.
 HELD_SUMS, BLOCK_COUNTS = 300_000, 200_000
 #: Bytes as they are read: A-Z in lower case, other ASCII characters that are no letters as blanks.
@@ -33,18 +35,21 @@ READ_AS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b > 127 else
 def collapsed(docs: DataFrame, text: str, lang: str, source: str) -> DataFrame:
     """``(lang, text, sources)``: each text of a language once, with ``(source, n)`` of the documents that have it.
 
-    Copies are counted by the SHA-256 of their text; texts are shuffled once, after each task has put together its own copies.
+    Copies are counted by the SHA-256 of their text. Only texts that have copies are shuffled, each once by every task.
     """
     named = docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(a) for c, a in ((lang, "lang"), (source, "source"), (text, "text"))))
     named = named.withColumn("digest", F.unhex(F.sha2("text", 256)))
     times = named.groupBy("lang", "digest", "source").agg(F.count(F.lit(1)).alias("n"))
-    sources = times.groupBy("lang", "digest").agg(F.collect_list(F.struct("source", "n")).alias("sources"))  # one entry a source
-    texts = named.select("lang", "digest", "text").dropDuplicates(["lang", "digest"])
-    return texts.join(sources, ["lang", "digest"]).select("lang", "text", "sources")
+    copies = times.groupBy("lang", "digest").agg(F.sum("n").alias("_n"), F.collect_list(F.struct("source", "n")).alias("sources"))  # one entry a source
+    copies = stored(copies.where("_n > 1").drop("_n"), "copies")
+    marked = named.join(small_enough(copies, COPIED_TEXTS), ["lang", "digest"], "left")
+    alone = marked.where("sources IS NULL").select("lang", "text", F.array(F.struct("source", F.lit(1).cast("long").alias("n"))).alias("sources"))
+    shared = marked.where("sources IS NOT NULL").select("lang", "digest", "text").dropDuplicates(["lang", "digest"]).join(copies, ["lang", "digest"])
+    return alone.unionByName(shared.select("lang", "text", "sources"))
 
 
 def term_sums(texts: DataFrame) -> DataFrame:
-    """``(lang, source, term, count, docs)`` of collapsed texts: occurrences, and documents that have the term."""
+    """``(lang, source, term, count, docs)`` of collapsed texts, summed within tasks: occurrences, and documents that have the term."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict = defaultdict(Counter)
@@ -82,8 +87,7 @@ def term_sums(texts: DataFrame) -> DataFrame:
                     held = 0
         yield hand_on()
 
-    parts = texts.mapInArrow(run, "lang string, source string, term string, count long, docs long")
-    return parts.groupBy("lang", "source", "term").agg(F.sum("count").alias("count"), F.sum("docs").alias("docs"))
+    return texts.mapInArrow(run, "lang string, source string, term string, count long, docs long")
 
 
 def share(count: Column, total: Column, terms: Column) -> Column:
@@ -120,12 +124,14 @@ def audit(docs: DataFrame, least_docs: int = LEAST_DOCS, ranks: int = RANKS, tex
     workers_import(spark)
     groups = stored(docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("")).alias("lang"),
                                 F.coalesce(F.col(source).cast("string"), F.lit("")).alias("source")).distinct(), "groups")
-    sums = stored(term_sums(collapsed(docs, text, lang, source)), "terms")
-    kept = sums.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("count").alias("lang_count")).where(
-        F.col("docs") >= least_docs).drop("docs")
-    counts = stored(sums.join(kept, ["lang", "term"]).select("lang", "source", "term", "count", "lang_count"), "counts")
-    terms = counts.groupBy("lang", "term").agg(F.first("lang_count").alias("n"))
-    langs = terms.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("n").alias("lang_n"))
+    # one shuffle by term serves its sums in every source and in the language
+    parts = term_sums(collapsed(docs, text, lang, source)).repartition("lang", "term")
+    sums = parts.groupBy("lang", "term", "source").agg(F.sum("count").alias("count"), F.sum("docs").alias("docs"))
+    terms = sums.groupBy("lang", "term").agg(
+        F.sum("docs").alias("docs"), F.sum("count").alias("lang_count"), F.collect_list(F.struct("source", "count")).alias("own"))
+    terms = stored(terms.where(F.col("docs") >= least_docs).drop("docs"), "terms")
+    counts = terms.select("lang", "term", "lang_count", F.inline("own"))
+    langs = terms.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("lang_count").alias("lang_n"))
     own = counts.groupBy("lang", "source").agg(F.sum("count").alias("n"))
     zero = F.lit(0).cast("long")
     sized = groups.join(own, ["lang", "source"], "left").join(langs, "lang", "left").select(
