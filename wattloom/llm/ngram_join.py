@@ -9,8 +9,8 @@ the key space, how many sets have the most frequent block there.
 Equal blocks are joined by stars: the smallest member of a block is paired with each other one, first within the texts that one task
 reads, then among all. Pairs are first held against sketches of single bits, whose Hamming distance is at most the symmetric difference
 of the sets, and then verified on the whole sets. Where that leaves members of a block in different components, the sketches of those
-still apart are compared, a bounded number of members against as many in a task, and the pairs that pass are verified too. So no link
-is lost. Links are counted last: in a component where not every pair is known to link, all sets are compared exactly, again in cells of
+still apart are compared, a bounded number of members against as many in a task, and the sets of those that may link are verified there
+until all are joined that can be. So no component is missed. Links are counted last: in a component where not every pair is known to link, all sets are compared exactly, again in cells of
 bounded size, and only the sums per set leave a cell.
 """
 
@@ -18,7 +18,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 from wattloom.llm.common import settle, slices, small_enough, stored, workers_import
 from wattloom.llm.components import components
@@ -29,8 +30,9 @@ WORDS = 5
 SHARE, WHOLE = 75, 100
 #: Sets below this size have a block for each n-gram.
 SMALL_SET = 128
-#: Slots of the frequency table, a byte each, and the least number of sets that counts as frequent. The table is broadcast.
-SLOT_BITS, OFTEN = 24, 3
+#: The most slots of the frequency table, a byte each, and the least number of sets that counts as frequent. The table is broadcast;
+#: fewer n-grams have fewer slots.
+SLOT_BITS, LEAST_SLOT_BITS, OFTEN = 24, 14, 3
 #: Block keys that a map task holds before it sends them on, and about how many a reduce task gets.
 CHUNK_KEYS, SHARD_KEYS = 1_000_000, 1_000_000
 COUNT_KEYS, LEAST_SHARD_BITS = 1_500_000, 8
@@ -131,7 +133,8 @@ def chosen_keys(grams: np.ndarray, table: np.ndarray) -> np.ndarray:
         keys = block_keys(grams, blocks)
         need = differing(len(grams), largest) + 1
         if len(keys) > need:
-            order = keys >> np.uint64(8) | table[keys >> np.uint64(64 - SLOT_BITS)].astype(np.uint64) << np.uint64(56)
+            slot = keys >> np.uint64(65 - len(table).bit_length())
+            order = keys >> np.uint64(8) | table[slot].astype(np.uint64) << np.uint64(56)
             keys = keys[np.argpartition(order, need - 1)[:need]]
         elif blocks and len(keys) < need:
             raise ValueError(f"a sketch of {len(grams)} n-grams fills only {len(keys)} blocks of {blocks}")
@@ -161,21 +164,19 @@ def frequency_table(docs: DataFrame, n: int, total: int) -> np.ndarray:
 
     A map task counts its own keys, sends repeated ones with their counts and the others by 32 bits, by the leading bits of the key.
     """
-    lead = min(SLOT_BITS, max(LEAST_SHARD_BITS, (total // SHARD_KEYS).bit_length()))
-    shards = 1 << lead
+    slot_bits = min(SLOT_BITS, max(LEAST_SLOT_BITS, total.bit_length()))
+    lead = min(slot_bits, max(LEAST_SHARD_BITS, (total // SHARD_KEYS).bit_length()))
 
     def send(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, size, ids = [], 0, set()
 
         def packed() -> pd.DataFrame:
             keys, times = np.unique(np.concatenate(held), return_counts=True)
-            cuts = np.searchsorted(keys >> np.uint64(64 - lead), np.arange(shards + 1))
             brief = (keys >> np.uint64(32 - lead)).astype(np.uint32)
             rows = []
-            for s in range(shards):
-                k, c = brief[cuts[s]:cuts[s + 1]], times[cuts[s]:cuts[s + 1]]
-                if len(k):
-                    rows.append((s, k[c == 1].tobytes(), k[c > 1].tobytes(), c[c > 1].astype(np.uint32).tobytes()))
+            for s, a, b in _runs(keys >> np.uint64(64 - lead)):
+                k, c = brief[a:b], times[a:b]
+                rows.append((s, k[c == 1].tobytes(), k[c > 1].tobytes(), c[c > 1].astype(np.uint32).tobytes()))
             return pd.DataFrame(rows, columns=["shard", "once", "more", "times"])
 
         for _, sets in _frames(frames, n):
@@ -196,18 +197,25 @@ def frequency_table(docs: DataFrame, n: int, total: int) -> np.ndarray:
         keys, back = np.unique(np.concatenate([once, more]), return_inverse=True)
         counts = np.bincount(back, np.concatenate([np.ones(len(once)), times]), len(keys))
         often = counts >= OFTEN
-        levels = np.zeros(1 << (SLOT_BITS - lead), np.uint8)
-        np.maximum.at(levels, keys[often] >> np.uint32(32 - SLOT_BITS + lead), np.minimum(8 * np.log2(counts[often]), 255).astype(np.uint8))
+        levels = np.zeros(1 << (slot_bits - lead), np.uint8)
+        np.maximum.at(levels, keys[often] >> np.uint32(32 - slot_bits + lead), np.minimum(8 * np.log2(counts[often]), 255).astype(np.uint8))
         return pd.DataFrame({"shard": [int(group["shard"].iloc[0])], "levels": [levels.tobytes()]})
 
     sent = docs.mapInPandas(send, "shard int, once binary, more binary, times binary")
-    table = np.zeros(1 << SLOT_BITS, np.uint8)
-    width = 1 << (SLOT_BITS - lead)
+    table = np.zeros(1 << slot_bits, np.uint8)
+    width = 1 << (slot_bits - lead)
     for r in sent.groupBy("shard").applyInPandas(add, "shard int, levels binary").toLocalIterator():
         table[r["shard"] * width:(r["shard"] + 1) * width] = np.frombuffer(r["levels"], np.uint8)
     return table
 
 
+def _runs(values: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """``(value, start, end)`` of the runs of sorted values."""
+    if len(values):
+        starts = np.concatenate([[0], np.flatnonzero(values[1:] != values[:-1]) + 1])
+        yield from zip(values[starts].tolist(), starts.tolist(), [*starts[1:].tolist(), len(values)], strict=True)
+
+
 def star_pairs(docs: DataFrame, n: int, table, shards: int) -> DataFrame:
     """``(key, center, member)``: for every block with several members, each of them but the smallest paired with a smaller one."""
     def send(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -223,14 +231,13 @@ def star_pairs(docs: DataFrame, n: int, table, shards: int) -> DataFrame:
             new = np.concatenate([[True], key[1:] != key[:-1]])
             first = owner[new][np.cumsum(new) - 1]
             shard = (key >> np.uint64(40)) * np.uint64(shards) >> np.uint64(24)
-            cuts = np.searchsorted(shard, np.arange(shards + 1))
             rows = []
-            for s in range(shards):
-                a, b = cuts[s], cuts[s + 1]
-                if a < b:
-                    k, o, lead = key[a:b], owner[a:b], new[a:b]
-                    rows.append((s, _cut(k[lead]), o[lead].astype(np.uint32).tobytes(), names.tobytes(), _cut(k[~lead]),
-                                 first[a:b][~lead].astype(np.uint32).tobytes(), o[~lead].astype(np.uint32).tobytes()))
+            for s, a, b in _runs(shard):
+                k, lead = key[a:b], new[a:b]
+                # a shard gets the ids of its own members only
+                own, back = np.unique(np.concatenate([owner[a:b], first[a:b]]), return_inverse=True)
+                o, f = back[:b - a].astype(np.uint32), back[b - a:].astype(np.uint32)
+                rows.append((s, _cut(k[lead]), o[lead].tobytes(), names[own].tobytes(), _cut(k[~lead]), f[~lead].tobytes(), o[~lead].tobytes()))
             return pd.DataFrame(rows, columns=["shard", "key", "node", "names", "e_key", "e_center", "e_member"])
 
         place: dict[int, int] = {}
@@ -298,7 +305,17 @@ def verified(pairs: DataFrame, docs: DataFrame, known: DataFrame, n: int) -> tup
     sized = pairs.join(side("u"), "u").join(side("v"), "v").where(
         F.least("n_u", "n_v") * WHOLE >= F.greatest("n_u", "n_v") * SHARE)
     pairs = stored(sized.mapInPandas(near, "u long, v long"), "near")
-    wanted = settle(pairs.select(F.explode(F.array("u", "v")).alias("set_id")).distinct())
+    sets = whole_sets(pairs.select(F.explode(F.array("u", "v")).alias("set_id")).distinct(), docs, known, n)
+    both = pairs.join(sets.select(F.col("set_id").alias("u"), F.col("grams").alias("a")), "u").join(
+        sets.select(F.col("set_id").alias("v"), F.col("grams").alias("b")), "v")
+    shared = F.size(F.array_intersect("a", "b"))
+    return both.withColumn("_i", shared).where(
+        F.col("_i") * WHOLE >= (F.size("a") + F.size("b") - F.col("_i")) * SHARE).select("u", "v"), sets
+
+
+def whole_sets(wanted: DataFrame, docs: DataFrame, known: DataFrame, n: int) -> DataFrame:
+    """``(set_id, grams)`` of the wanted ``(set_id)``, made anew from one text of each."""
+    wanted = settle(wanted)
     one = known.join(small_enough(wanted), "set_id", "left_semi").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"))
     ids = settle(one.select("doc_id").distinct())
     some = docs.join(small_enough(ids.withColumnRenamed("doc_id", "_id")), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
@@ -309,12 +326,7 @@ def verified(pairs: DataFrame, docs: DataFrame, known: DataFrame, n: int) -> tup
 
     # rows with equal ids may hold other texts, and rows with equal sets repeat
     sets = some.mapInPandas(sets_of, "set_id long, grams array<long>").join(wanted, "set_id", "left_semi").dropDuplicates(["set_id"])
-    sets = stored(sets, "sets")
-    both = pairs.join(sets.select(F.col("set_id").alias("u"), F.col("grams").alias("a")), "u").join(
-        sets.select(F.col("set_id").alias("v"), F.col("grams").alias("b")), "v")
-    shared = F.size(F.array_intersect("a", "b"))
-    return both.withColumn("_i", shared).where(
-        F.col("_i") * WHOLE >= (F.size("a") + F.size("b") - F.col("_i")) * SHARE).select("u", "v"), sets
+    return stored(sets, "sets")
 
 
 def _folded(sketches: np.ndarray, size: int) -> np.ndarray:
@@ -324,14 +336,14 @@ def _folded(sketches: np.ndarray, size: int) -> np.ndarray:
     return sketches
 
 
-def near_pairs(node: np.ndarray, root: np.ndarray, size: np.ndarray, part: np.ndarray, sketch: list[bytes]) -> list[tuple[int, int]]:
-    """Pairs of members with different roots, sizes that can link, and sketches near enough; with two parts only pairs across them."""
+def near_pairs(root: np.ndarray, size: np.ndarray, part: np.ndarray, sketch: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Places of pairs of members with different roots, sizes that can link, and sketches near enough; with two parts only pairs across them."""
     across = part.min() != part.max()
     lengths = np.array([len(x) for x in sketch])
     kinds = np.unique(lengths)
     matrix = {k: np.frombuffer(b"".join(x for x in sketch if len(x) == k), np.uint64).reshape(-1, k // 8) for k in kinds.tolist()}
     rows = {k: np.flatnonzero(lengths == k) for k in kinds.tolist()}
-    out = []
+    left, right = [], []
     for a, small in enumerate(kinds.tolist()):
         for large in kinds.tolist()[a:]:
             other, at = _folded(matrix[large], small // 8), rows[large]
@@ -346,30 +358,78 @@ def near_pairs(node: np.ndarray, root: np.ndarray, size: np.ndarray, part: np.nd
                     j = np.flatnonzero(fit)
                     gap = np.bitwise_count(other[j] ^ mine).sum(1, dtype=np.int64)
                     j = at[j[gap * (WHOLE + SHARE) <= (size[at[j]] + size[i]) * (WHOLE - SHARE)]]
-                    out += [(min(node[i], x), max(node[i], x)) for x in node[j].tolist()]
-    return out
+                    left.append(np.full(len(j), i))
+                    right.append(j)
+    none = [np.zeros(0, np.int64)]
+    return np.concatenate(none + left), np.concatenate(none + right)
+
 
+def _cells(members: DataFrame, by_size: DataFrame | None = None) -> DataFrame:
+    """Members of blocks in which several components meet, dealt to pairs of parts of bounded size: ``(key, c1, c2, node, root, part)``.
 
-def apart_pairs(members: DataFrame, known: DataFrame) -> DataFrame:
-    """``(u, v)`` of members ``(key, node, root)`` of a block that are in different components and may link."""
-    split = members.groupBy("key").agg(F.min("root").alias("_a"), F.max("root").alias("_b"), F.count(F.lit(1)).alias("_n")).where(
-        "_a <> _b AND _n > 2").select("key", F.ceil(F.col("_n") / CELL).cast("int").alias("_cells"))
-    own = known.groupBy("set_id").agg(F.first("n_shingles").alias("size"), F.first("sketch").alias("sketch"))
-    cells = members.join(split, "key").withColumn("part", F.pmod(F.xxhash64("node"), "_cells").cast("int")).withColumn(
+    With ``(node, size)`` parts are bounded by their n-grams too.
+    """
+    cells = F.ceil(F.col("_n") / CELL)
+    if by_size is not None:
+        members = members.join(by_size, "node")
+        cells = F.greatest(cells, F.ceil(F.col("_grams") / LINK_CELL_GRAMS))
+    grams = F.lit(0) if by_size is None else F.sum("size")
+    split = members.groupBy("key").agg(F.min("root").alias("_a"), F.max("root").alias("_b"), F.count(F.lit(1)).alias("_n"), grams.alias("_grams")).where(
+        "_a <> _b").select("key", cells.cast("int").alias("_cells"))
+    dealt = members.join(split, "key").withColumn("part", F.pmod(F.xxhash64("node"), "_cells").cast("int")).withColumn(
         "_with", F.explode(F.sequence(F.lit(0), F.col("_cells") - 1)))
-    cells = cells.select("key", "node", "root", "part", F.least("part", "_with").alias("c1"), F.greatest("part", "_with").alias("c2"))
-    rows = cells.join(own.withColumnRenamed("set_id", "node"), "node")
+    return dealt.select("key", F.least("part", "_with").alias("c1"), F.greatest("part", "_with").alias("c2"), "node", "root", "part")
+
+
+def apart_links(members: DataFrame, rows: DataFrame, known: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
+    """``(u, v)`` links that join the components of members ``(key, node, root)`` of a block, and the ``(set_id, grams)`` they rest on.
+
+    Sketches tell first which members may link with one of another component. The sets of those meet in cells again, where near pairs
+    are verified until the members are joined as far as they can be: a cell sends on fewer links than it has members.
+    """
     names = ["key", "c1", "c2"]
-    ordered = rows.select(*names, "node", "root", "size", "part", "sketch").repartition(*names).sortWithinPartitions(*names)
+    own = known.groupBy("set_id").agg(F.first("n_shingles").alias("size"), F.first("sketch").alias("sketch")).withColumnRenamed("set_id", "node")
+    wide = members.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 2").select("key")  # of two the stars have tried the pair
+    sketched = _cells(members.join(wide, "key", "left_semi")).join(own, "node")
 
-    def found(frame: pd.DataFrame, cuts: list[int]) -> pd.DataFrame:
-        columns = [frame[c].to_numpy() for c in ("node", "root", "size", "part")]
-        sketches, pairs = frame["sketch"].tolist(), set()
+    def hopeful(frame: pd.DataFrame, cuts: list[int]) -> pd.DataFrame:
+        out = [frame.iloc[:0]]
         for a, b in zip(cuts, cuts[1:], strict=False):
-            pairs.update(near_pairs(*(c[a:b] for c in columns), sketches[a:b]))
-        return pd.DataFrame(sorted(pairs), columns=["u", "v"], dtype=np.int64)
-
-    return ordered.mapInPandas(_by_groups(names, found), "u long, v long").distinct()
+            part = frame.iloc[a:b]
+            pair = near_pairs(*(part[c].to_numpy() for c in ("root", "size", "part")), part["sketch"].tolist())
+            out.append(part.iloc[np.unique(np.concatenate(pair))])
+        return pd.concat(out)[["key", "node", "root"]]
+
+    ordered = sketched.select(*names, "node", "root", "size", "part", "sketch").repartition(*names).sortWithinPartitions(*names)
+    near = stored(ordered.mapInPandas(_by_groups(names, hopeful), "key long, node long, root long").distinct(), "hopeful")
+    sets = whole_sets(near.select(F.col("node").alias("set_id")).distinct(), rows, known, n)
+    again = _cells(near, own.select("node", "size")).join(own, "node").join(sets.withColumnRenamed("set_id", "node"), "node")
+
+    def joined(frame: pd.DataFrame, cuts: list[int]) -> pd.DataFrame:
+        links = []
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            part = frame.iloc[a:b]
+            left, right = near_pairs(*(part[c].to_numpy() for c in ("root", "size", "part")), part["sketch"].tolist())
+            node, grams = part["node"].to_numpy(), part["grams"].tolist()
+            above = {r: r for r in part["root"].tolist()}
+
+            def top(x: int) -> int:
+                while above[x] != x:
+                    above[x] = x = above[above[x]]
+                return x
+
+            roots = part["root"].tolist()
+            for i, j in zip(left.tolist(), right.tolist(), strict=True):
+                x, y = top(roots[i]), top(roots[j])
+                if x != y:
+                    shared = len(np.intersect1d(grams[i], grams[j], assume_unique=True))
+                    if shared * WHOLE >= (len(grams[i]) + len(grams[j]) - shared) * SHARE:
+                        above[max(x, y)] = min(x, y)
+                        links.append((min(node[i], node[j]), max(node[i], node[j])))
+        return pd.DataFrame(links, columns=["u", "v"], dtype=np.int64)
+
+    met = again.select(*names, "node", "root", "size", "part", "sketch", "grams").repartition(*names).sortWithinPartitions(*names)
+    return met.mapInPandas(_by_groups(names, joined), "u long, v long").distinct(), sets
 
 
 def _by_groups(names: list[str], found):
@@ -462,7 +522,8 @@ def link(docs: DataFrame, id_column: str = "doc_id", text: str = "text", n: int
     Texts link when their n-gram sets have a similarity of at least three quarters; the component is the smallest ``doc_id`` reachable
     by links. ``n_links`` counts all other rows that a row links with, rows with an equal set among them. A null or empty text has no
     n-grams and links with nothing. A null id is never the smallest; a component of null ids has a null id. ``root`` names the
-    component also where ids are null or repeat, and ``row`` is a hash of all columns. Extra columns are ignored.
+    component also where ids are null or repeat, and ``row`` is a hash of all columns. Extra columns are ignored. An empty table gives an
+    empty result. Very long texts are read whole, one at a time. Runs jobs while the plan is built.
     """
     known, links, roots, sets = _joined_sets(docs, id_column, text, n)
     counts = link_counts(links, roots, sets, known)
@@ -480,6 +541,7 @@ def _joined_sets(docs: DataFrame, id_column: str, text: str, n: int) -> tuple[Da
     shards = max(1, -(-total * 45 // 100 // SHARD_KEYS))
     table = docs.sparkSession.sparkContext.broadcast(frequency_table(rows, n, total))
     stars = stored(star_pairs(rows, n, table, shards), "stars")
+    table.destroy()
     tried = settle(_ordered(stars, "center", "member"))
     links, sets = verified(tried, rows, known, n)
     links = settle(links)
@@ -487,9 +549,9 @@ def _joined_sets(docs: DataFrame, id_column: str, text: str, n: int) -> tuple[Da
     # blocks whose members are not all in one component yet
     members = stars.select("key", F.explode(F.array("center", "member")).alias("node")).distinct().join(roots, "node", "left").select(
         "key", "node", F.coalesce("root", "node").alias("root"))
-    open_ = settle(apart_pairs(members, known).join(tried, ["u", "v"], "left_anti"))
-    if not open_.isEmpty():
-        more, others = verified(open_, rows, known, n)
+    more, others = apart_links(members, rows, known, n)
+    more = settle(more)
+    if not more.isEmpty():
         links = settle(links.unionByName(more))
         sets = sets.unionByName(others.join(sets.select("set_id"), "set_id", "left_anti"))
         roots = settle(components(links))
@@ -507,20 +569,31 @@ def _named(known: DataFrame, roots: DataFrame) -> DataFrame:
         "set_id", F.when(F.col("n_shingles") > 0, F.col("root")).alias("root"), "row")
 
 
-def row_hash(docs: DataFrame):
-    return F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+def _holds_map(kind: DataType) -> bool:
+    inner = [f.dataType for f in kind.fields] if isinstance(kind, StructType) else [kind.elementType] if isinstance(kind, ArrayType) else []
+    return isinstance(kind, MapType) or any(map(_holds_map, inner))
+
+
+def row_hash(docs: DataFrame) -> Column:
+    """A hash of all columns. Maps are hashed as their JSON, entries in their order; names are hashed with it, so no column is lost."""
+    columns = [F.to_json(F.struct(F.col(f"`{f.name}`"))) if _holds_map(f.dataType) else F.col(f"`{f.name}`") for f in docs.schema.fields]
+    return F.xxhash64(*columns)
 
 
 def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text", n: int = WORDS) -> DataFrame:
-    """The row with the smallest id of each component, and every row without words; all columns stay. Of equal rows one stays."""
+    """The row with the smallest id of each component, and every row without words; all columns stay. Of equal rows one stays.
+
+    Rows are told apart by a 64-bit hash of all columns, whatever their names and kinds. A null id is never the smallest while another is
+    there. An empty table stays empty; very long texts are read whole, one at a time.
+    """
     known, _, roots, _ = _joined_sets(docs, id_column, text, n)
     linked = _named(known, roots)
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))["row"].alias("row")
     best = linked.where("root IS NOT NULL").groupBy("root").agg(first).select("row").unionByName(
         linked.where("root IS NULL").select("row"))
-    times = linked.where("root IS NOT NULL").groupBy("row").agg(F.count(F.lit(1)).alias("_times")).where("_times > 1")
+    times = linked.where("root IS NOT NULL").groupBy("row").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
     best = settle(best.distinct().join(times, "row", "left"))
-    marked = docs.withColumn("_row_hash", row_hash(docs)).join(
-        small_enough(best).withColumnRenamed("row", "_row_hash"), "_row_hash")
-    once = marked.where("_times IS NULL")
-    return once.unionByName(marked.where("_times IS NOT NULL").dropDuplicates(["_row_hash"])).select(docs.columns)
+    whole = docs.select(row_hash(docs).alias("row"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("all"))
+    marked = whole.join(small_enough(best), "row")
+    once = marked.where("times IS NULL").unionByName(marked.where("times IS NOT NULL").dropDuplicates(["row"]))
+    return once.select("all.*")
