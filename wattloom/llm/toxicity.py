@@ -6,6 +6,10 @@ and in training some words lose theirs, so that characters must tell. The networ
 overlap by a quarter and cover the whole text. Training takes for each labelled text the window that scores highest so far.
 """
 
+import os
+import pickle
+import subprocess
+import sys
 from collections import Counter
 from collections.abc import Iterator
 
@@ -397,8 +401,22 @@ def score_texts(docs: DataFrame, weights: dict, id_column: str = "doc_id", text:
         "doc_id", (remainder("doc_id") == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+_TRAIN = "import pickle, sys; from wattloom.llm.toxicity import train; sys.stdout.buffer.write(pickle.dumps(train(*pickle.load(sys.stdin.buffer))))"
+
+
 def fit(docs: DataFrame, labels: DataFrame, **options) -> dict:
-    return train(*labelled_sample(docs, labels, **options))
+    """Weights from the bounded sample of labelled rows. Runs jobs while the plan is built.
+
+    Training runs in a process of its own, which gives all of its memory back. The number of rounds and the part of the texts that is
+    left for calibration follow the number of labelled rows; scores of other rows don't depend on their number.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    paths = os.pathsep.join(x for x in (root, os.environ.get("PYTHONPATH", "")) if x)
+    done = subprocess.run([sys.executable, "-c", _TRAIN], input=pickle.dumps(labelled_sample(docs, labels, **options)), capture_output=True,
+                          env=os.environ | {"PYTHONPATH": paths}, check=False)
+    if done.returncode:
+        raise RuntimeError(f"training failed: {done.stderr.decode(errors='replace')[-2000:]}")
+    return pickle.loads(done.stdout)
 
 
 def without_toxic(docs: DataFrame, weights: dict, text: str = "text", threshold: float = 0.5) -> DataFrame:
