@@ -34,7 +34,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("op2_suffix_dedup")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents")).drop("kept_text")
+    return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
 
 
 @_query("op3_quality_rules", quality.judge_sql())
