@@ -7,7 +7,7 @@ checkpoint, as hours, days, statistics, every alarm shape and the stored tables
 from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wattloom.functions.times import floor_time
 from wattloom.model import SITE, TS, VALUE, VARIABLE
@@ -133,6 +133,8 @@ def find_alarms(tables: Tables, rules: DataFrame, schedule: DataFrame | None = N
     return alarms.all_alarms(tables.minute, tables.day, rules, schedule, stored=stored_days, days=days, system=system)
 
 
-def load(tables: Tables, base: str, alarm_table: DataFrame | None = None, statistics: DataFrame | None = None) -> None:
-    """Store alarms first, then minute, hour and day tables."""
-    store_all(base, minute=tables.minute, hour=tables.hour, day=tables.day, statistics=statistics, alarms=alarm_table)
+def load(tables: Tables, base: str, alarm_table: DataFrame | None = None, statistics: DataFrame | None = None,
+         events: DataFrame | None = None, data_loss: bool = False, now: Column | None = None) -> None:
+    """Store alarms first, then events and data losses, then minute, hour and day tables."""
+    store_all(base, minute=tables.minute, hour=tables.hour, day=tables.day, statistics=statistics, alarms=alarm_table, events=events,
+              data_loss=data_loss, now=now)

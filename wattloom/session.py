@@ -1,6 +1,7 @@
 """Session defaults for local runs; a cluster passes its own configuration."""
 
 import os
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -23,15 +24,33 @@ def build_session(app: str = "wattloom", cores: int | str = "*", **extra: str) -
     return spark
 
 
-def cut_lineage(df, eager: bool = True):
-    """Checkpoint to the folder named by ``spark.checkpoint.dir``.
+def shared_folder(spark) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``, else a folder of the warehouse.
 
-    The setting must name storage that driver and executors share. Where it is unset, a folder of the warehouse is used, which is
-    shared as well.
+    A warehouse on a local disk is shared on a local master only, so elsewhere one of the settings must name shared storage.
     """
-    spark = df.sparkSession
-    sc = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if warehouse.startswith(("file:", "/")) and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{warehouse}/_shared"
+
+
+def cut_lineage(df, eager: bool = True):
+    """Checkpoint to the folder named by ``spark.checkpoint.dir``, or to the one that ``shared_folder`` gives."""
+    sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"{warehouse}/_checkpoints")
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager)
+
+
+def settled_from(spark, name: str, make):
+    """``make(folder)`` with a new shared folder: its result is checkpointed, and the folder removed."""
+    folder = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    try:
+        return cut_lineage(make(folder))
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

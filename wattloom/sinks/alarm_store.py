@@ -1,12 +1,13 @@
 """Alarm parents (sessions of alarms up to three days apart) and their certainty segments."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wattloom.functions.times import step
 from wattloom.model import SITE
 from wattloom.operators.intervals import certainty_coverage, with_group
 from wattloom.operators.sequences import month_segment
 from wattloom.session import cut_lineage
+from wattloom.sinks import versions
 from wattloom.sinks.upsert import read_table
 
 KEYS = [SITE, "alarm_type", "variable_name"]
@@ -62,3 +63,48 @@ def load_alarms(new: DataFrame, parent_path: str, segment_path: str) -> None:
     tables = [cut_lineage(t) for t in alarm_tables(new, *current)]
     for df, path in zip(tables, (parent_path, segment_path), strict=True):
         df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(SITE).parquet(path)
+
+
+PARENTS = "id long, site string, alarm_type string, variable_name string, start_time_pt timestamp_ntz, end_time_pt timestamp_ntz"
+SEGMENTS = f"{PARENTS}, certainty int"
+
+
+def stored_history(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Parents and segments of the history at ``path``."""
+    rows = versions.read(spark, versions.entries(spark, path), f"{SEGMENTS}, of_parent boolean")
+    return (rows.where("of_parent").drop("of_parent", "certainty"), rows.where("NOT of_parent").drop("of_parent"))
+
+
+def load_history(new: DataFrame, path: str) -> set[str]:
+    """Take new alarms into a history by months; gives the months that were written anew.
+
+    A session and its segments lie in the month in which the session starts, and each month's reach is the latest end in it. New alarms
+    can only join sessions that end at most three days before the first of them and start at most three days after the last one ends, so
+    months whose reach is earlier, or that begin later, are neither read nor written. In a month that is read only sessions of the same
+    keys take part; the others are carried over. Both tables change in one commit.
+    """
+    spark = new.sparkSession
+    new = cut_lineage(new)
+    low, high = new.agg(F.min("start_time_pt") - step("DAY", MAX_GAP_DAYS + 1), F.max("end_time_pt") + step("DAY", MAX_GAP_DAYS + 1)).first()
+    entries = versions.entries(spark, path)
+    if low is None:
+        return set()
+    high = high or low
+    near = [e for e in entries if e.folder and e.reach >= low and e.part <= f"{high:%Y-%m}"]
+    held = versions.read(spark, near, f"{SEGMENTS}, of_parent boolean")
+    parents = held.where("of_parent").where(
+        (F.col("start_time_pt") <= F.lit(high)) & (F.col("end_time_pt") >= F.lit(low))).join(new.select(*KEYS).distinct(), KEYS, "left_semi")
+    ids = cut_lineage(parents.select("id", versions.month("start_time_pt").alias("_month")))
+    mine = held.join(ids.select("id"), "id", "left_semi")
+    made_parents, made_segments = alarm_tables(new, mine.where("of_parent").drop("of_parent", "certainty"), mine.where("NOT of_parent").drop("of_parent"))
+    starts = made_parents.select("id", versions.month("start_time_pt").alias("_month"))
+    made = made_parents.select("*", F.lit(None).cast("int").alias("certainty"), F.lit(True).alias("of_parent")).unionByName(
+        made_segments.withColumn("of_parent", F.lit(False))).join(starts, "id")
+    made = cut_lineage(made)
+    months = {r[0] for r in ids.select("_month").unionByName(made.select("_month")).distinct().collect()}
+    touched = [e for e in entries if e.part in months]
+    old = versions.read(spark, touched, f"{SEGMENTS}, of_parent boolean")
+    month_of = old.where("of_parent").select("id", versions.month("start_time_pt").alias("_month"))
+    kept = old.join(month_of, "id").join(ids.select("id"), "id", "left_anti")
+    versions.write(kept.unionByName(made), path, F.col("_month"), F.col("end_time_pt"), entries, months)
+    return months

@@ -1,9 +1,11 @@
 """Site events: upsert with respect for edited rows, and data-loss events."""
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wattloom.functions.times import step
 from wattloom.model import SITE, TS
+from wattloom.session import cut_lineage
+from wattloom.sinks import versions
 
 # Event types and which of them filter the summary and the optimisation figures.
 EVENT_TYPES = (
@@ -79,3 +81,48 @@ def data_loss_events(readings: DataFrame, stored: DataFrame, now: Column) -> Dat
         SITE, now.alias("start_time_pt"), F.lit(None).cast("timestamp_ntz").alias("end_time_pt"),
         F.lit("DATA_LOSS_COP").alias("event_type"), F.lit(DATA_LOSS_DETAIL).alias("event_detail"),
         F.lit(True).alias("summary_filtered"), F.lit(True).alias("optim_filtered"))
+
+
+STORED = ("id long, site string, start_time_pt timestamp_ntz, end_time_pt timestamp_ntz, event_type string, event_detail string, "
+          "variable_name string, summary_filtered boolean, optim_filtered boolean, last_modified_date timestamp_ntz, last_modified_by string")
+#: The reach of a month in which an event has no end.
+OPEN = "9999-12-31 00:00:00"
+
+
+def stored_events(spark: SparkSession, path: str) -> DataFrame:
+    """All events of the store, as the last complete load left them."""
+    return versions.read(spark, versions.entries(spark, path), STORED)
+
+
+def load_events(new: DataFrame | None, path: str, readings: DataFrame | None = None, now: Column | None = None,
+                detail_chars: int | None = None) -> int:
+    """Take new events, and data-loss events of sites whose ``readings`` have stopped, into the store; gives its version.
+
+    Events lie by the month they start in. Only the months of new events are read and written anew, and months with open events are looked
+    at for open data losses. The load shows as a whole or not at all. An unknown event type fails before anything is written.
+    """
+    given = [d for d in (new, readings) if d is not None]
+    if not given:
+        raise ValueError("neither events nor readings to look for data losses in")
+    spark = given[0].sparkSession
+    now = F.current_timestamp().cast("timestamp_ntz") if now is None else now
+    columns = "site string, start_time_pt timestamp_ntz, end_time_pt timestamp_ntz, event_type string, event_detail string, variable_name string"
+    names = [c.split(" ")[0] for c in columns.split(", ")]
+    arrived = spark.createDataFrame([], columns)
+    if new is not None:
+        wrong = [r[0] for r in new.select("event_type").distinct().where(~F.coalesce(
+            F.col("event_type").isin(*EVENT_TYPES), F.lit(False))).limit(20).collect()]
+        if wrong:
+            raise ValueError(f"unknown event types {wrong}")
+        arrived = arrived.unionByName(new.select([c for c in names if c in new.columns]), allowMissingColumns=True)
+    entries = versions.entries(spark, path)
+    if readings is not None:
+        open_months = [e for e in entries if str(e.reach) == OPEN]
+        lost = data_loss_events(readings, versions.read(spark, open_months, STORED), now)
+        arrived = arrived.unionByName(lost.select([c for c in names if c in lost.columns]), allowMissingColumns=True)
+    arrived = cut_lineage(arrived)
+    months = {r[0] for r in arrived.select(versions.month("start_time_pt")).distinct().collect()}
+    before = versions.read(spark, [e for e in entries if e.part in months], STORED)
+    after = upsert_events(before, arrived, now, detail_chars).select([c.split(" ")[0] for c in STORED.split(", ")])
+    reach = F.coalesce("end_time_pt", F.lit(OPEN).cast("timestamp_ntz"))
+    return versions.write(after, path, versions.month("start_time_pt"), reach, entries, months)

@@ -7,7 +7,7 @@ filter of the stored table as values.
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.utils import AnalysisException
 
 from wattloom.model import SITE, TS, VARIABLE, finite
@@ -87,12 +87,19 @@ def load_readings(df: DataFrame, path: str) -> None:
 
 
 def store_all(base: str, *, minute: DataFrame | None = None, hour: DataFrame | None = None,
-              day: DataFrame | None = None, statistics: DataFrame | None = None, alarms: DataFrame | None = None) -> None:
-    """Fan-out of one run's results: alarms first, then the time tables."""
+              day: DataFrame | None = None, statistics: DataFrame | None = None, alarms: DataFrame | None = None,
+              events: DataFrame | None = None, data_loss: bool = False, now: Column | None = None) -> None:
+    """Fan-out of one run's results: alarms first, then events, then the time tables.
+
+    ``events`` go to the event store; with ``data_loss`` sites whose minutes have stopped get an event there as well.
+    """
     from wattloom.sinks.alarm_store import load_alarms
+    from wattloom.sinks.events import load_events
 
     if alarms is not None:
         load_alarms(alarms, f"{base}/alarm", f"{base}/alarm_inst")
+    if events is not None or (data_loss and minute is not None):
+        load_events(events, f"{base}/site_events", minute if data_loss else None, now)
     for name, df in (("minute", minute), ("hour", hour), ("day", day)):
         if df is not None:
             load_readings(df, f"{base}/{name}")
