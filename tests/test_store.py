@@ -1,6 +1,7 @@
 """Stored tables, streams and whole runs."""
 
 import os
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -237,6 +238,44 @@ def test_readings_per_batch_change_nothing(spark, tmp_path, rows):
     assert got == [[(at(0), 4.0)]] * 2
 
 
+@pytest.mark.parametrize("order", ["in time", "shuffled", "backwards"])
+def test_stored_periods_do_not_depend_on_arrival(spark, tmp_path, rows, order):
+    """Rows of two days and sites, a third of them late, in eight batches; two rows of one minute in different batches."""
+    rng = random.Random(order)
+    data = [("s", at(m), v, float((m // 7) % 5)) for m in range(2 * 1440) for v in ("a", "Energy_b") if m % 53 or v == "a"]
+    data += [("s", at(5), "a", 7.0), ("t", at(30), "a", 1.0), ("t", at(31), "a", None), ("s", at(1500), "only_here", 3.0)]
+    arrival = list(data)
+    if order == "shuffled":
+        rng.shuffle(arrival)
+    elif order == "backwards":
+        arrival.reverse()
+    src, target = str(tmp_path / "in"), str(tmp_path / "t")
+    size = -(-len(arrival) // 8)
+    rules = {"low": ("value = 0", 3), "high": ("value >= 3", 4)}
+    for a in range(0, len(arrival), size):
+        stream_rows(spark, src, *arrival[a:a + size])
+        stream = incremental.read_stream(spark, src, files_per_batch=1000)
+        assert incremental.store_periods(stream, target, str(tmp_path / "cp"), rules=rules).awaitTermination(180)
+    df = spark.createDataFrame(data, READINGS)
+    minute = cleaning.average_duplicates(df)
+    assert rows(upsert.read_table(spark, f"{target}/minute"), "site", "ts", "variable", "value") == rows(minute, "site", "ts", "variable", "value")
+    hour, day = aggregates.of_parts(incremental.reported_parts(minute))
+    for name, want in (("hour", hour), ("day", day)):
+        got = rows(upsert.read_table(spark, f"{target}/{name}"), "site", "ts", "variable", "value")
+        assert [r[:3] for r in got] == [r[:3] for r in (rows(want, "site", "ts", "variable", "value"))]
+        assert all(a[3] == (b[3] if b[3] is None else pytest.approx(b[3])) for a, b in zip(got, rows(want, "site", "ts", "variable", "value"), strict=True))
+    columns = ("site", "variable", "rule", "start", "end", "length")
+    assert rows(incremental.stored_streaks(spark, target), *columns) == rows(incremental.day_streaks(minute, rules), *columns)
+    assert day.where("variable = 'Energy_b'").count() == 2
+
+
+def test_reported_parts_equal_those_of_complete_rows(spark, rows):
+    df = readings(spark, *[(m, v, float(m % 4)) for m in range(300) for v in "ab" if (m * 7 + ord(v)) % 3], (3, "Energy_c", 2.0), (3, "EnergyRate_c", 2.0))
+    want = aggregates.hour_parts(complete_rows(df))
+    columns = ("site", "variable", "hour", "_sum", "_values", "_rows")
+    assert rows(incremental.reported_parts(df), *columns) == rows(want, *columns)
+
+
 # --- whole runs -----------------------------------------------------------------------------------
 
 RULES = "variable_alias string, variable_name string, changepoint int, ffill_length int"

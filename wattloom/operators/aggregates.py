@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from wattloom.functions.times import floor_time, step
 from wattloom.model import SITE, TS, VALUE, VARIABLE
 from wattloom.operators.intervals import label
-from wattloom.operators.sequences import runs, streaks
+from wattloom.operators.sequences import streaks
 
 # Which names are summed and which have no aggregate.
 ENERGY = ".*Energy.*"
@@ -190,32 +190,33 @@ def signal_state(df: DataFrame, signal: str, names: dict[int, str]) -> tuple[Dat
 def gap_statistics(df: DataFrame, grain: str = "MINUTE") -> DataFrame:
     """Per series and full day: missing slots, mean gap and longest gap.
 
-    The grid starts with the first full day and ends before the day of the last reading. It is built
-    day by day, so no task holds more than one sensor-day of slots.
+    The days start with a site's first full day and end before the day of its last reading. A gap is what lies between neighbouring slots
+    with a value, or between one and an end of the day, so only those slots are read; a day without any is one gap.
     """
-    slots = df.groupBy(SITE, VARIABLE, floor_time(F.col(TS), grain).alias(TS)).agg(F.max(VALUE).alias(VALUE))
+    day = floor_time(F.col(TS), "DAY")
+    per_day = {"MINUTE": 1440, "HOUR": 24, "DAY": 1}[grain.upper()]
+    hour = F.hour(TS)
+    place = {"MINUTE": hour * 60 + F.minute(TS), "HOUR": hour, "DAY": F.lit(0)}[grain.upper()]
+    filled = df.where(F.col(VALUE).isNotNull()).select(SITE, VARIABLE, day.alias("day"), place.cast("int").alias("at")).distinct()
+    w = Window.partitionBy(SITE, VARIABLE, "day").orderBy("at")
+    before = F.col("at") - F.coalesce(F.lag("at").over(w), F.lit(-1)) - 1
+    after = F.when(F.lead("at").over(w).isNull(), F.lit(per_day - 1) - F.col("at"))
+    gaps = filled.select(SITE, VARIABLE, "day", before.alias("_before"), after.alias("_after")).groupBy(SITE, VARIABLE, "day").agg(
+        (F.sum("_before") + F.coalesce(F.sum("_after"), F.lit(0))).alias("missing"),
+        (F.count(F.when(F.col("_before") > 0, 1)) + F.count(F.when(F.col("_after") > 0, 1))).alias("_gaps"),
+        F.greatest(F.max("_before"), F.max("_after")).alias("max_gap"))
     span = df.groupBy(SITE).agg(F.min(TS).alias("_lo"), F.max(TS).alias("_hi"))
     floor_lo = floor_time(F.col("_lo"), "DAY")
     first = F.when(F.col("_lo") == floor_lo, floor_lo).otherwise(floor_lo + step("DAY"))
     last = floor_time(F.col("_hi"), "DAY") - step("DAY")
     bounds = span.select(SITE, first.alias("_a"), last.alias("_b")).where("_a <= _b")
     days = bounds.select(SITE, F.explode(F.sequence("_a", "_b", step("DAY"))).alias("day"))
-    series = df.select(SITE, VARIABLE).distinct()
-    grid = series.join(days, SITE).select(
-        SITE, VARIABLE, "day",
-        F.explode(F.sequence(F.col("day"), F.col("day") + step("DAY") - step(grain), step(grain))).alias(TS))
-    missing = grid.join(slots, [SITE, VARIABLE, TS], "left").withColumn("_gap", F.col(VALUE).isNull())
-    numbered = runs(missing, "_gap", [SITE, VARIABLE, "day"])
-    # _nth of a gap's last row is the gap's length
-    lengths = numbered.where("_gap").groupBy(SITE, VARIABLE, "day", "_run").agg(F.max("_nth").alias("_len"))
-    gaps = lengths.groupBy(SITE, VARIABLE, "day").agg(
-        F.sum("_len").alias("missing"), F.avg("_len").alias("avg_gap"), F.max("_len").alias("max_gap"))
-    full = series.join(days, SITE).join(gaps, [SITE, VARIABLE, "day"], "left")
+    full = df.select(SITE, VARIABLE).distinct().join(days, SITE).join(gaps, [SITE, VARIABLE, "day"], "left")
+    none = F.lit(per_day)
     return full.select(
-        SITE, VARIABLE, "day",
-        F.coalesce("missing", F.lit(0)).cast("bigint").alias("missing_slots"),
-        F.coalesce("avg_gap", F.lit(0.0)).alias("avg_gap"),
-        F.coalesce("max_gap", F.lit(0)).cast("bigint").alias("max_gap"))
+        SITE, VARIABLE, "day", F.coalesce("missing", none).cast("bigint").alias("missing_slots"),
+        F.when(F.col("missing").isNull(), none.cast("double")).when(F.col("_gaps") > 0, F.col("missing") / F.col("_gaps")).otherwise(0.0).alias("avg_gap"),
+        F.coalesce("max_gap", none).cast("bigint").alias("max_gap"))
 
 
 def rolling_blocks(days: DataFrame, columns: list[str], size: int, key: str = SITE, ts: str = TS) -> DataFrame:

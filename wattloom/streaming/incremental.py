@@ -1,6 +1,7 @@
 """New files in, late and duplicate rows settled, complete hours and days and streaks out."""
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
+from functools import reduce
 from typing import Any
 
 import pandas as pd
@@ -8,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from wattloom.functions.times import floor_time
 from wattloom.model import SITE, TS, VALUE, VARIABLE
-from wattloom.operators.aggregates import HOURS_PER_DAY, MINUTES_PER_HOUR, is_energy
-from wattloom.operators.sequences import SERIES, day_segment, ordered
+from wattloom.operators.aggregates import HOURS_PER_DAY, MINUTES_PER_HOUR, has_aggregate, is_energy, of_parts
+from wattloom.operators.sequences import SERIES, day_segment, ordered, streaks
 from wattloom.session import cut_lineage
+from wattloom.sinks import versions
 from wattloom.sinks.upsert import PARTITION, load_readings, read_table, touched, upsert
 from wattloom.sources.logger_csv import CORRECTED, PARSERS, REGISTERS
 
@@ -91,8 +94,78 @@ def ingest_files(
     return lines.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def reported_parts(minutes: DataFrame, mean_only: bool = False) -> DataFrame:
+    """Hour parts of sparse minutes, for each variable that its site reported on that day.
+
+    An hour has as many rows as its site has minutes in it, so a silent sensor counts as missing without rows of its own.
+    """
+    kept = minutes if mean_only else minutes.where(has_aggregate(F.col(VARIABLE)))
+    hour, day = floor_time(F.col(TS), "HOUR").alias("hour"), floor_time(F.col(TS), "DAY").alias("day")
+    rows = minutes.select(SITE, TS).distinct().groupBy(SITE, hour, day).agg(F.count(F.lit(1)).alias("_rows"))
+    names = kept.select(SITE, VARIABLE, day).distinct()
+    sums = kept.groupBy(SITE, VARIABLE, hour).agg(F.sum(VALUE).alias("_sum"), F.count(VALUE).alias("_values"))
+    return rows.join(names, [SITE, "day"]).join(sums, [SITE, VARIABLE, "hour"], "left").select(
+        SITE, VARIABLE, "hour", "_sum", F.coalesce("_values", F.lit(0).cast("long")).alias("_values"), "_rows")
+
+
+Streak = tuple[str, int]
+STORED_STREAKS = "site string, variable string, rule string, start timestamp_ntz, end timestamp_ntz, length int"
+
+
+def day_streaks(minutes: DataFrame, rules: Mapping[str, Streak]) -> DataFrame:
+    """Streaks of each rule ``name: (condition, rows)`` in each sensor's days, as the batch rule counts them."""
+    dated = minutes.withColumn("day", floor_time(F.col(TS), "DAY"))
+    found = [streaks(dated.withColumn("hit", F.expr(condition)), "hit", need, [SITE, VARIABLE, "day"]).select(
+        SITE, VARIABLE, F.lit(name).alias("rule"), "start", "end", "length") for name, (condition, need) in rules.items()]
+    return reduce(DataFrame.unionByName, found)
+
+
+def store_periods(
+    stream: DataFrame, target: str, checkpoint: str, hour_threshold: float = 0.8, day_threshold: float = 1.0, *,
+    mean_only: bool = False, rules: Mapping[str, Streak] | None = None,
+) -> StreamingQuery:
+    """Minutes, complete hours, complete days and streaks of all readings so far, below ``target``; stops when the input is drained.
+
+    No reading is too late. Each batch adds its sums and counts by minute to the store, where a batch that runs again replaces its own,
+    and the days that it touches are taken anew from all of their stored minutes. So the tables are those of a batch run over
+    everything that has arrived, whatever the order and the batches were. Hours and days have the variables that a site reported on the
+    day. ``rules`` are streak rules ``name: (condition, rows)``; a late row may join two streaks, which then are one.
+    """
+
+    def store(batch: DataFrame, number: int) -> None:
+        naive = batch.select(SITE, VARIABLE, floor_time(F.col(TS).cast("timestamp_ntz"), "MINUTE").alias(TS), VALUE).groupBy(SITE, VARIABLE, TS).agg(
+            F.coalesce(F.sum(VALUE), F.lit(0.0)).alias("_sum"), F.count(VALUE).alias("_count"))
+        parts = cut_lineage(naive.select("*", F.lit(f"{checkpoint}#{number}").alias("part"), F.lit(number).cast("long").alias("at")))
+        load_parts(parts, f"{target}/minute")
+        spark = batch.sparkSession
+        stored = read_table(spark, f"{target}/minute")
+        if stored is None:
+            return
+        site_days = parts.select(SITE, F.to_date(TS).alias(PARTITION)).distinct()
+        days = cut_lineage(touched(stored, site_days).join(site_days, [SITE, PARTITION], "left_semi").select(SITE, VARIABLE, TS, VALUE, PARTITION))
+        minutes = days.drop(PARTITION)
+        hour, day = of_parts(reported_parts(minutes, mean_only), hour_threshold, day_threshold, mean_only=mean_only)
+        upsert(hour, f"{target}/hour", (SITE, TS, VARIABLE), replace=True)
+        upsert(day, f"{target}/day", (SITE, TS, VARIABLE), replace=True)
+        if rules:
+            path = f"{target}/streak"
+            entries = versions.entries(spark, path)
+            dates = {r[0] for r in days.select(F.date_format(PARTITION, "yyyy-MM-dd")).distinct().collect()}
+            before = versions.read(spark, [e for e in entries if e.part in dates], STORED_STREAKS).withColumn(PARTITION, F.to_date("start"))
+            kept = before.join(site_days, [SITE, PARTITION], "left_anti").drop(PARTITION)
+            rows = kept.unionByName(day_streaks(minutes, rules))
+            versions.write(rows, path, F.date_format("start", "yyyy-MM-dd"), F.col("end"), entries, dates)
+
+    return stream.select(SITE, VARIABLE, TS, VALUE).writeStream.foreachBatch(store).option(
+        "checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def stored_streaks(spark: SparkSession, target: str) -> DataFrame:
+    return versions.read(spark, versions.entries(spark, f"{target}/streak"), STORED_STREAKS)
+
+
 def minute_means(stream: DataFrame, delay: str = "2 hours") -> DataFrame:
-    """One mean per sensor and minute. Rows later than ``delay`` are left to a batch run."""
+    """One mean per sensor and minute, as soon as it is closed. Rows later than ``delay`` don't count here; ``store_periods`` takes them."""
     return stream.withWatermark(TS, delay).groupBy(
         SITE, VARIABLE, F.window(TS, "1 minute")).agg(F.avg(VALUE).alias(VALUE), F.count(F.lit(1)).alias("copies"))
 
