@@ -99,7 +99,7 @@ def read(rules: DataFrame, specs: Sequence[Spec]) -> DataFrame:
         return "CASE tag " + " ".join(f"WHEN '{s.tag}' THEN {pick(s)}" for s in specs) + " END"
 
     each = "transform(split(alarm_codes, ';'), c -> trim(c))"
-    tagged = f"transform({each}, c -> struct(c AS full, filter(array({tags}), t -> startswith(c, t))[0] AS tag))"
+    tagged = f"transform({each}, c -> struct(c AS full, get(filter(array({tags}), t -> startswith(c, t)), 0) AS tag))"
     coded = rules.where("variable_name IS NOT NULL").selectExpr(
         *keys, "variable_name AS variable", f"{pretty} AS pretty", f"inline(filter({tagged}, x -> x.tag IS NOT NULL))")
     split_up = coded.selectExpr(
