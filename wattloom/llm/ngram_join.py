@@ -231,12 +231,15 @@ def star_pairs(docs: DataFrame, n: int, table, shards: int) -> DataFrame:
             new = np.concatenate([[True], key[1:] != key[:-1]])
             first = owner[new][np.cumsum(new) - 1]
             shard = (key >> np.uint64(40)) * np.uint64(shards) >> np.uint64(24)
-            rows = []
+            rows, place = [], np.zeros(len(names), np.uint32)
             for s, a, b in _runs(shard):
                 k, lead = key[a:b], new[a:b]
-                # a shard gets the ids of its own members only
-                own, back = np.unique(np.concatenate([owner[a:b], first[a:b]]), return_inverse=True)
-                o, f = back[:b - a].astype(np.uint32), back[b - a:].astype(np.uint32)
+                # a shard gets the ids of its own members only; the first member of a block is one of them
+                mine = np.zeros(len(names), bool)
+                mine[owner[a:b]] = True
+                own = np.flatnonzero(mine)
+                place[own] = np.arange(len(own))
+                o, f = place[owner[a:b]], place[first[a:b]]
                 rows.append((s, _cut(k[lead]), o[lead].tobytes(), names[own].tobytes(), _cut(k[~lead]), f[~lead].tobytes(), o[~lead].tobytes()))
             return pd.DataFrame(rows, columns=["shard", "key", "node", "names", "e_key", "e_center", "e_member"])
 
@@ -393,12 +396,11 @@ def apart_links(members: DataFrame, rows: DataFrame, known: DataFrame, n: int) -
     sketched = _cells(members.join(wide, "key", "left_semi")).join(own, "node")
 
     def hopeful(frame: pd.DataFrame, cuts: list[int]) -> pd.DataFrame:
-        out = [frame.iloc[:0]]
+        columns, sketches, hit = [frame[c].to_numpy() for c in ("root", "size", "part")], frame["sketch"].tolist(), np.zeros(len(frame), bool)
         for a, b in zip(cuts, cuts[1:], strict=False):
-            part = frame.iloc[a:b]
-            pair = near_pairs(*(part[c].to_numpy() for c in ("root", "size", "part")), part["sketch"].tolist())
-            out.append(part.iloc[np.unique(np.concatenate(pair))])
-        return pd.concat(out)[["key", "node", "root"]]
+            for side in near_pairs(*(c[a:b] for c in columns), sketches[a:b]):
+                hit[a + side] = True
+        return frame.loc[hit, ["key", "node", "root"]]
 
     ordered = sketched.select(*names, "node", "root", "size", "part", "sketch").repartition(*names).sortWithinPartitions(*names)
     near = stored(ordered.mapInPandas(_by_groups(names, hopeful), "key long, node long, root long").distinct(), "hopeful")
@@ -406,19 +408,18 @@ def apart_links(members: DataFrame, rows: DataFrame, known: DataFrame, n: int) -
     again = _cells(near, own.select("node", "size")).join(own, "node").join(sets.withColumnRenamed("set_id", "node"), "node")
 
     def joined(frame: pd.DataFrame, cuts: list[int]) -> pd.DataFrame:
-        links = []
+        links, columns = [], [frame[c].to_numpy() for c in ("root", "size", "part")]
+        sketches, all_nodes, all_grams, all_roots = (frame[c].tolist() for c in ("sketch", "node", "grams", "root"))
         for a, b in zip(cuts, cuts[1:], strict=False):
-            part = frame.iloc[a:b]
-            left, right = near_pairs(*(part[c].to_numpy() for c in ("root", "size", "part")), part["sketch"].tolist())
-            node, grams = part["node"].to_numpy(), part["grams"].tolist()
-            above = {r: r for r in part["root"].tolist()}
+            left, right = near_pairs(*(c[a:b] for c in columns), sketches[a:b])
+            node, grams, roots = all_nodes[a:b], all_grams[a:b], all_roots[a:b]
+            above = {r: r for r in roots}
 
             def top(x: int) -> int:
                 while above[x] != x:
                     above[x] = x = above[above[x]]
                 return x
 
-            roots = part["root"].tolist()
             for i, j in zip(left.tolist(), right.tolist(), strict=True):
                 x, y = top(roots[i]), top(roots[j])
                 if x != y:
