@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
-MODULES = ("cleaning", "series", "aggregation", "alarms", "metrics", "intervals", "storage", "landing")
+MODULES = ("cleaning", "series", "aggregation", "alarms", "metrics", "intervals", "storage", "landing", "runs")
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
