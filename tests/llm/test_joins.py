@@ -247,3 +247,28 @@ def test_items_odd_rows(spark):
     assert decontaminate.without_items(odd_docs(spark), items).count() == odd_docs(spark).count() - 6
     assert decontaminate.find_items(no_docs(spark), items).count() == 0
     assert decontaminate.find_items(odd_docs(spark), items.limit(0)).count() == 0
+
+
+def test_keep_one_takes_any_columns(spark):
+    """Columns of any name and kind stay as they are: those that helpers use too, and maps, alone or inside others."""
+    text = "one two three four five six seven eight nine ten"
+    rows = [(i, text if i < 4 else f"{text} {i}" * 3, i, i * 2, -i, "x", {"a": i % 2}, [{"k": i}], (i, {"z": 1})) for i in (1, 2, 2, 3, 7, 8)]
+    schema = ("doc_id long, text string, row int, times long, all int, _times string, m map<string,int>, a array<map<string,int>>, "
+              "s struct<n:int,m:map<string,int>>, _row_hash int")
+    df = spark.createDataFrame([(*r, 5) for r in rows], schema)
+    kept = ngram_join.keep_one(df)
+    assert kept.columns == df.columns
+    assert sorted((r["doc_id"], r["row"], r["times"], r["all"], r["_times"], r["m"], r["a"], r["_row_hash"]) for r in kept.collect()) == [
+        (i, i, i * 2, -i, "x", {"a": i % 2}, [{"k": i}], 5) for i in (1, 7, 8)]
+    assert ngram_join.link(df).count() == 6
+
+
+def test_pairs_do_not_depend_on_shards(spark):
+    docs = [(i, " ".join(f"w{(i % 90 * 7 + k * k) % 911}" for k in range(60 + i // 90))) for i in range(300)]
+    rows = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("doc_id", "doc_id AS row", "text AS _t")
+    found = []
+    for shards in (1, 8, 2048):
+        table = spark.sparkContext.broadcast(np.zeros(1 << ngram_join.LEAST_SLOT_BITS, np.uint8))
+        found.append(sorted(map(tuple, ngram_join.star_pairs(rows, 5, table, shards).select("center", "member").distinct().collect())))
+        table.destroy()
+    assert found[0] == found[1] == found[2] and found[0]

@@ -5,6 +5,8 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from wattloom.session import shared_folder
+
 #: A word is a run of characters outside these.
 SPACE_CLASS = r"[\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\x0c\r"
@@ -18,14 +20,6 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE_CLASS), lambda w: w != "")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, else a folder of the warehouse."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
-    return folder
-
-
 def settle(df: DataFrame) -> DataFrame:
     """Compute once and cut the lineage, on shared storage, so that a lost executor costs no recomputation."""
     sc = df.sparkSession.sparkContext
