@@ -329,3 +329,51 @@ def test_windows_cover_texts():
     for n in range(0, 200):
         starts = toxicity.window_places(n)
         assert {p for s in starts.tolist() for p in range(s, min(n, s + toxicity.WINDOW))} == set(range(n))
+
+
+def slow_toxicity(w: dict, text: str | None) -> float:
+    """The score of a text, one state at a time."""
+    words = (text or "").lower().split()
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+
+    def states(inputs, hidden):
+        s, out = hidden.shape[0], []
+        h = np.zeros(s)
+        for x in inputs:
+            g = h @ hidden
+            z, r = sigmoid(x[:s] + g[:s]), sigmoid(x[s:2 * s] + g[s:2 * s])
+            n = np.tanh(x[2 * s:] + r * g[2 * s:])
+            h = (1 - z) * n + z * h
+            out.append(h)
+        return out
+
+    def read(word):
+        core = word.strip(toxicity.EDGES) or word
+        chars = [w["char"][ord(c) % toxicity.CHARS] for c in core]
+        ends = [states([c @ w[f"{k}_x"] + w[f"{k}_b"] for c in way], w[f"{k}_h"])[-1] for k, way in (("cf", chars), ("cb", chars[::-1]))]
+        return np.concatenate([w["word"][w["words"].get(core, 0)], *ends])
+
+    best = None
+    starts = [0] if len(words) <= toxicity.WINDOW else [*range(0, len(words) - toxicity.WINDOW, toxicity.STRIDE), len(words) - toxicity.WINDOW]
+    for start in starts if words else []:
+        inputs = [read(x) for x in words[start:start + toxicity.WINDOW]]
+        ahead = states([x @ w["wf_x"] + w["wf_b"] for x in inputs], w["wf_h"])
+        back = states([x @ w["wb_x"] + w["wb_b"] for x in inputs[::-1]], w["wb_h"])[::-1]
+        both = [np.concatenate(x) for x in zip(ahead, back, strict=True)]
+        weight = np.exp([np.tanh(x @ w["att_w"] + w["att_b"]) @ w["att_v"] for x in both])
+        logit = sum(a * x for a, x in zip(weight / weight.sum(), both, strict=True)) @ w["out_w"] + w["out_b"][0]
+        best = logit if best is None else max(best, logit)
+    return 0.0 if best is None else float(sigmoid(best))
+
+
+def test_toxicity_scores_equal_a_slow_scorer(spark):
+    rng = random.Random(3)
+    vocabulary = [f"{a}{b}" for a in ("ba", "ko", "é", "漢字", "(mi", "\"su\"", "--") for b in ("", "r", "ndo.", "X!")]
+    texts = [" ".join(rng.choices(vocabulary, k=n)) for n in (1, 2, 31, 32, 33, 56, 57, 80, 200)] + ["", None, " \n\t", "\x85 word", "a" * 300]
+    weights = toxicity.new_weights([t.split() for t in texts if t], np.arange(12) % 2)
+    weights["out_w"] = weights["out_w"] * 20
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in toxicity.score_texts(docs, weights).collect()}
+    for i, text in enumerate(texts):
+        assert got[i] == pytest.approx(slow_toxicity(weights, text), abs=1e-4), text
+    assert len({round(x, 3) for x in got.values()}) > 8
