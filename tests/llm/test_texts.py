@@ -377,3 +377,16 @@ def test_toxicity_scores_equal_a_slow_scorer(spark):
     for i, text in enumerate(texts):
         assert got[i] == pytest.approx(slow_toxicity(weights, text), abs=1e-4), text
     assert len({round(x, 3) for x in got.values()}) > 8
+
+
+def test_features_read_whole_words():
+    """What stands far inside a word without blanks counts as at its beginning."""
+    rng = random.Random(8)
+    for n in (10, 70, 500, 5000):
+        word = "".join(rng.choice("ab") for _ in range(n)) + "9aB" * 3 + "=x"
+        core = word.strip(pii.EDGES)
+        turns = sum(a.isdigit() != b.isdigit() for a, b in zip(core, core[1:]))
+        got = pii.features(word)
+        assert f"turns={min(turns, 4)}" in got and any(f.startswith("mixed=True") for f in got)
+        kinds = re.sub(r"([aA9=])\1+", r"\1", re.sub("[a-z]", "a", re.sub("[A-Z]", "A", re.sub("[0-9]", "9", word))))
+        assert f"shape={kinds[:6]}" in got

@@ -8,6 +8,7 @@ which gives the same labels as decoding whole texts.
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import islice, pairwise
 
 import numpy as np
 import pandas as pd
@@ -82,21 +83,23 @@ SIGNS = frozenset(("=", ":", ":=", "=>", "->"))
 
 def shape(word: str) -> str:
     """Upper case A, lower case a, digits 9, and runs written once; the first six signs."""
-    out = []
-    for c in word[:64]:
+    out: list[str] = []
+    for c in word:
         s = "9" if c.isdigit() else ("A" if c.isupper() else "a") if c.isalpha() else c if c.isascii() else "?"
         if not out or out[-1] != s:
+            if len(out) == 6:
+                break
             out.append(s)
-    return "".join(out[:6])
+    return "".join(out)
 
 
 def features(word: str) -> list[str]:
     core = word.strip(EDGES)
     low = core.lower()
-    letters, digits = sum(c.isalpha() for c in core[:128]), sum(c.isdigit() for c in core[:128])
-    turns = sum(a.isdigit() != b.isdigit() for a, b in zip(core[:128], core[1:128], strict=False))
+    letters, digits = any(map(str.isalpha, core)), any(map(str.isdigit, core))
+    turns = len([*islice((1 for a, b in pairwise(core) if a.isdigit() != b.isdigit()), 4)])
     size = next(i for i, n in enumerate((2, 4, 8, 16, 24, 1 << 30)) if len(core) < n)
-    out = ["bias", f"shape={shape(word)}", f"size={size}", f"turns={min(turns, 4)}", f"mixed={letters > 0 and digits > 0}{size}"]
+    out = ["bias", f"shape={shape(word)}", f"size={size}", f"turns={turns}", f"mixed={letters and digits}{size}"]
     if low in CUES or low.rstrip("=:") in CUES:
         out.append("cue")
     if word in SIGNS:
