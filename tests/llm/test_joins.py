@@ -240,6 +240,34 @@ def test_no_item_is_missed_at_the_full_edits(size):
     assert got == {(i, i) for i in range(len(texts))}
 
 
+@pytest.mark.parametrize("size", [16, 33, 80, 300])
+def test_walks_agree_over_item_sized_windows(size):
+    """Copies agree in every sample, also where only some starts walk far; texts of other words agree in none."""
+    words = [f"w{k}" for k in range(size)]
+    items = decontaminate.Items([" ".join(words)])
+    steps = decontaminate.walk_steps(size)
+    assert size < steps <= 2 * size
+    before = [f"b{k}" for k in range(37)]
+    item, place, hit = items.candidates(decontaminate.word_hashes(decontaminate.ascii_words(" ".join(before + words))))
+    assert set(item.tolist()) == {0}
+    at = hit[place == 37]  # walks from neighbouring words can meet, so other places come up too
+    assert len(set(at.tolist())) >= size - 4
+    assert not len(items.candidates(decontaminate.word_hashes([w.encode() for w in before * 20]))[0])
+
+
+def test_close_windows_have_close_walks():
+    """The embedding keeps order: fewer edits, fewer steps that differ."""
+    rng = random.Random(9)
+    differ = {0: 0, 1: 0, 4: 0, 60: 0}
+    for _ in range(100):
+        words = [f"{rng.random()}" for _ in range(60)]
+        for n in differ:
+            both = [decontaminate.word_hashes([w.encode() for w in x] + [b"end"] * 140) for x in (words, edited(words, n, rng))]
+            places = [next(decontaminate.walk_keys(b, decontaminate.word_signs(b), np.zeros(1, np.int64), 0, [64], True))[3] for b in both]
+            differ[n] += int((both[0][places[0]] != both[1][places[1]]).sum())
+    assert differ[0] == 0 < differ[1] < differ[4] < differ[60]
+
+
 def test_items_odd_rows(spark):
     items = spark.createDataFrame([(1, None), (2, ""), (3, "lazy dog"), (3, "lazy dog"), (None, "one")], "item_id long, text string")
     found = {(r["doc_id"], r["item_id"]) for r in decontaminate.find_items(odd_docs(spark), items).collect()}
