@@ -171,3 +171,29 @@ def test_site_tables_of_several_files(spark, folder, rows):
     for site in ("a", "b"):
         base = folder(f"sites/{site}.csv", f"site,zip\nthe site,its code\n{site},1\n")
     assert rows(tables.read_site_table(spark, base + "/sites"), "site") == [("a",), ("b",)]
+
+
+def plans(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_lines_of_one_file_meet_their_header_in_many_parts(spark, rows):
+    """A handful of files is no handful of tasks, and a line is cut and its time parsed once."""
+    lines = spark.createDataFrame(
+        [("a.csv", "Month,Day,Year,Hour,Minute,Second,gpm", 0)] + [("a.csv", f"1,3,2024,5,{m},0,{m}.5", m + 1) for m in range(60)]
+        + [("a.csv", "1,3,2024,x,1,0,9", 70), ("a.csv", ' 1 ,3," 2024",6,0,0,"7"', 71), ("none.csv", "1,3,2024,5,1,0,2", 1)],
+        "file_name string, value string, pos long")
+    head = files.marked_line(lines, *logger_csv.FLOW_PARTS)
+    met = files.tabulate(lines, head)
+    assert "_part" in met._jdf.queryExecution().analyzed().toString()
+    got = logger_csv.flow(lines, "s")
+    given = spark.createDataFrame([("a.csv", "h", 0)], "file_name string, header string, header_pos long")
+    cut = files.tabulate(lines, given).where("fields[0] > 'a' AND fields[1] > 'b'")
+    assert plans(got).count("format_string") == 1 and plans(cut).count("split(value") == 2  # with and without quotes
+    assert rows(got, "ts", "variable", "value") == sorted([(t(5, m), "gpm", m + 0.5) for m in range(60)] + [(t(6), "gpm", 7.0)], key=str)
+
+
+def test_cells_of_plain_and_quoted_lines(spark, rows):
+    texts = ["a, b ,,c", "", '"a,1", "b" ,c ', 'x"y,z', "a,b,", None]
+    df = spark.createDataFrame([(x,) for x in texts], "value string").select(files.cells("value").alias("c"))
+    assert [r.c for r in df.collect()] == [["a", "b", "", "c"], [""], ["a,1", "b", "c"], ['x"y', "z"], ["a", "b", ""], None]

@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from wattloom.functions.times import convert_zone, from_epoch
 from wattloom.model import SITE
+from wattloom.operators.joins import join_few
 
 # Where a date sits in a file name, counted from its end, and its digits.
 NAME_DATE_START, NAME_DATE_END = -17, -3
@@ -102,22 +103,29 @@ def marked_line(lines: DataFrame, *marks: str) -> DataFrame:
     return first.select("file_name", F.col("_h.value").alias("header"), F.col("_h.pos").alias("header_pos"))
 
 
-def cells(line) -> Column:
-    """Fields of a line, without quotes and the blanks around them."""
+def cells(line: str) -> Column:
+    """Fields of a line, without quotes and the blanks around them. A line without quotes is cut at every comma."""
     comma = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
-    return F.transform(F.split(line, comma), lambda x: F.trim(F.regexp_replace(x, '^\\s*"|"\\s*$', "")))
+    quoted = F.transform(F.split(line, comma), lambda x: F.trim(F.regexp_replace(x, '^\\s*"|"\\s*$', "")))
+    return F.when(F.contains(line, F.lit('"')), quoted).otherwise(F.transform(F.split(line, ","), lambda x: F.trim(x)))
+
+
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that is computed once a row. Spark would copy its expression into filters and every later column; it copies none
+    out of a generator."""
+    return df.select(*[c for c in df.columns if c != name], F.explode(F.array(value)).alias(name))
 
 
 def tabulate(lines: DataFrame, headers: DataFrame) -> DataFrame:
     """Give each line its file's column names: ``(file_name, names, fields)``, quotes removed.
 
     Lines up to the header are no data; lines without a position are in later blocks of their file.
-    One header row per file meets its lines by file name; a file that holds a third of all lines is
-    split by the adaptive join like any hot key.
+    One header row per file meets its lines by file name; the lines of a file are dealt into parts, as files may be few and large.
     """
     data = F.col("pos").isNull() | (F.col("pos") > F.col("header_pos"))
-    return lines.join(headers, "file_name").where(data & (F.col("value") != F.col("header"))).select(
-        "file_name", cells("header").alias("names"), cells("value").alias("fields"))
+    named = headers.withColumn("names", cells("header"))
+    met = join_few(lines, named, ["file_name"]).where(data & (F.col("value") != F.col("header")))
+    return once(met, "fields", cells("value")).select("file_name", "names", "fields")
 
 
 def cell(name: str) -> Column:
@@ -129,7 +137,7 @@ def cell(name: str) -> Column:
 def melt(table: DataFrame, ts: Column, drop: list[str], site: str, rename: Column | None = None) -> DataFrame:
     """Tabulated lines to long readings; rows without a time go, a missing or textual field is NULL."""
     pairs = F.explode(F.arrays_zip(F.col("names").alias("name"), F.col("fields").alias("field")))
-    rows = table.withColumn("ts", ts).where("ts IS NOT NULL").select("file_name", "ts", pairs.alias("_p")).select(
+    rows = once(table, "ts", ts).where("ts IS NOT NULL").select("file_name", "ts", pairs.alias("_p")).select(
         "file_name", "ts", F.col("_p.name").alias("name"), F.col("_p.field").alias("field")).where(~F.col("name").isin(drop))
     value = F.nanvl(F.col("field").try_cast("double"), F.lit(None).cast("double"))
     return rows.where("name IS NOT NULL").select(

@@ -13,7 +13,7 @@ from wattloom.model import SITE, TS, VALUE, VARIABLE, known
 from wattloom.operators.cleaning import average_duplicates, floor_to, rename_by_rules
 from wattloom.operators.sequences import day_segment, difference
 from wattloom.sources import files
-from wattloom.sources.files import cell, marked_line, melt, nth_line, parse_time, stem, tabulate
+from wattloom.sources.files import cell, marked_line, melt, nth_line, once, parse_time, stem, tabulate
 
 # The formats' time columns, preamble lengths and default zone.
 MODBUS_TIME, EPOCH_TIME, EGAUGE_TIME, NCLARITY_TIME = "time(UTC)", "DateEpoch(secs)", "Date & Time", "time"
@@ -53,17 +53,17 @@ def dent(lines: DataFrame, site: str, preamble: int = DENT_PREAMBLE, parts: bool
     table = tabulate(lines, nth_line(lines, preamble + 1)).where(F.size("names") >= 3)
     moment = parse_time(F.concat_ws(" ", F.try_element_at("fields", F.lit(2)), F.try_element_at("fields", F.lit(3))))
     tail = lambda c: F.slice(c, F.lit(4), F.greatest(F.size(c) - 3, F.lit(0)))
-    timed = table.withColumn("_ts", moment).withColumns({"names": tail("names"), "fields": tail("fields")})
+    timed = once(table, "_ts", moment).withColumns({"names": tail("names"), "fields": tail("fields")})
     return _minutes(melt(timed, F.col("_ts"), [], site), parts)
 
 
 def flow(lines: DataFrame, site: str, parts: bool = False) -> DataFrame:
     """Flow meter files: the time is in six integer columns, which stay out of the readings."""
     table = tabulate(lines, marked_line(lines, *FLOW_PARTS))
-    numbers = [cell(p).try_cast("int") for p in FLOW_PARTS]
-    text = F.format_string("%04d-%02d-%02d %02d:%02d:%02d", *numbers)
-    moment = F.when(F.coalesce(*[F.when(n.isNull(), True) for n in numbers], F.lit(False)), None).otherwise(text.try_cast("timestamp_ntz"))
-    return _minutes(melt(table, moment, list(FLOW_PARTS), site), parts)
+    timed = once(table, "_n", F.array(*[cell(p).try_cast("int") for p in FLOW_PARTS]))
+    text = F.format_string("%04d-%02d-%02d %02d:%02d:%02d", *[F.col("_n")[i] for i in range(len(FLOW_PARTS))])
+    moment = F.when(F.exists("_n", F.isnull), None).otherwise(text.try_cast("timestamp_ntz"))
+    return _minutes(melt(timed, moment, list(FLOW_PARTS), site), parts)
 
 
 def _epoch(column: str, zone: str) -> Column:
