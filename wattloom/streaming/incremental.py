@@ -12,6 +12,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from wattloom.functions.times import floor_time
 from wattloom.model import SITE, TS, VALUE, VARIABLE
 from wattloom.operators.aggregates import HOURS_PER_DAY, MINUTES_PER_HOUR, has_aggregate, is_energy, of_parts
+from wattloom.operators.joins import join_few
 from wattloom.operators.sequences import SERIES, day_segment, ordered, streaks
 from wattloom.session import cut_lineage
 from wattloom.sinks import versions
@@ -89,7 +90,7 @@ def ingest_files(
         numbered = batch.withColumn("pos", F.when(F.col("_block") == 0, F.monotonically_increasing_id())).drop("_block", "at")
         ages = batch.groupBy("file_name").agg(F.max("at").alias("at"))
         parts = PARSERS[kind](numbered, site, parts=True, **options)
-        load_parts(parts.join(ages, "file_name").withColumnRenamed("file_name", "part"), target, how)
+        load_parts(join_few(parts, ages, ["file_name"]).withColumnRenamed("file_name", "part"), target, how)
 
     return lines.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
