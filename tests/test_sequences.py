@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wattloom.model import READINGS, SCHEDULE
-from wattloom.operators import intervals, sequences
+from wattloom.operators import hvac, intervals, joins, sequences
 
 START = datetime(2024, 3, 9, 20, 0)
 
@@ -203,3 +203,26 @@ def test_disjoint_windows_keep_the_highest_priority(spark, seed):
         minutes = {m for w in rows + odd[3:] if w[0] == site for m in range(w[2], w[3])}
         assert covered == timedelta(minutes=len(minutes))
     assert intervals.disjoint(windows.where("false")).count() == 0
+
+
+def test_few_keys_are_dealt_into_parts(spark):
+    df = spark.createDataFrame([("a", i) for i in range(200)] + [("b", 200), (None, 201)], "k string, n int")
+    few = spark.createDataFrame([("a", 1), ("a", 2), ("c", 3), (None, 4)], "k string, m int")
+    for how in ("inner", "left"):
+        want, got = df.join(few, ["k"], how), joins.join_few(df, few, ["k"], how)
+        assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    parts = df.join(few, "k").withColumn("p", F.monotonically_increasing_id() % joins.PARTS).select("p").distinct().count()
+    assert parts == joins.PARTS
+    with pytest.raises(ValueError):
+        joins.join_few(df, few, ["k"], "full")
+
+
+def test_airflow_deals_the_rows_of_a_site(spark):
+    df = spark.createDataFrame([("s", i, "heat" if i % 2 else "cool", 0.5) for i in range(64)] + [("t", 1, "cool", 0.1)],
+                               "site string, event_ID int, HVAC string, Power_AH1 double")
+    cfm = spark.createDataFrame([("s", "heat", 900.0, "TRUE"), ("t", "cool", 400.0, "FALSE")],
+                                "site string, mode string, ID_blower_cfm double, use_fan_curve string")
+    sites = spark.createDataFrame([("s", 0.372), ("t", None)], "site string, furn_misc_power double")
+    out = hvac.airflow(df, cfm, sites)
+    assert "_part" in out._jdf.queryExecution().analyzed().toString()
+    assert {(r.site, round(r.Cfm_Calc, 6)) for r in out.collect()} == {("s", round(128 ** (1 / 3), 6)), ("t", 400.0)} and out.count() == 65

@@ -6,6 +6,7 @@ from wattloom.functions.curves import altitude_factor, apply_curve, curve_segmen
 from wattloom.functions.physics import wet_bulb_fahrenheit
 from wattloom.functions.times import floor_time
 from wattloom.model import SITE, TS, known
+from wattloom.operators.joins import join_few
 from wattloom.operators.sequences import ordered
 
 # Site groups by name, thresholds and physical constants.
@@ -157,7 +158,7 @@ def airflow(df: DataFrame, cfm: DataFrame, sites: DataFrame) -> DataFrame:
     curves = cfm.groupBy(SITE).agg(F.max(F.upper(F.col("use_fan_curve").cast("string")) == "TRUE").alias("_curve"))
     heats = df.groupBy(SITE).agg(F.bool_or(F.col("HVAC") == "heat").alias("_heats"))
     joined = (
-        df.join(flows, [SITE, "HVAC"], "left").join(curves, SITE, "left").join(heats, SITE, "left")
+        join_few(df.join(flows, [SITE, "HVAC"], "left").join(curves, SITE, "left"), heats, [SITE], "left")
         .join(sites.select(SITE, F.col("furn_misc_power").alias("_furn")), SITE, "left")
     )
     watts = 1000 * (F.col("Power_AH1") - F.when(F.col("_heats"), F.coalesce("_furn", F.lit(0.0))).otherwise(0.0))
