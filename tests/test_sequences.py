@@ -217,6 +217,20 @@ def test_few_keys_are_dealt_into_parts(spark):
         joins.join_few(df, few, ["k"], "full")
 
 
+def test_overlapping_windows_are_met_in_many_tasks(spark):
+    at = lambda h: datetime(2024, 1, 1) + timedelta(hours=h)
+    read = [(f"s{h % 3}", at(h), "v", float(h)) for h in range(0, 240, 5)] + [(None, at(1), "v", 0.0), ("s0", None, "v", 0.0)]
+    spans = [(f"s{i % 3}", "e", at(i), at(i + 40), i) for i in range(200)] + [(None, "e", at(0), at(9), 900), ("s0", "e", at(9), at(9), 901)]
+    df, windows = spark.createDataFrame(read, READINGS), spark.createDataFrame(spans, SCHEDULE)
+    want = sorted((r[0], r[1], w[4]) for r in read for w in spans if r[0] and r[0] == w[0] and r[1] and w[2] <= r[1] < w[3])
+    met = intervals.inside(df, windows)
+    assert sorted((r["site"], r["ts"], r["seq"]) for r in met.collect()) == want
+    assert met.select(F.spark_partition_id().alias("p")).distinct().count() > 8  # before, a broadcast left all rows to the readings' tasks
+    kept = intervals.inside(df, windows, "left")
+    assert kept.where("seq IS NOT NULL").count() == len(want)
+    assert kept.where("seq IS NULL").count() == sum(all(w[0] != r[0] or not r[0] or not r[1] or not w[2] <= r[1] < w[3] for w in spans) for r in read)
+
+
 def test_airflow_deals_the_rows_of_a_site(spark):
     df = spark.createDataFrame([("s", i, "heat" if i % 2 else "cool", 0.5) for i in range(64)] + [("t", 1, "cool", 0.1)],
                                "site string, event_ID int, HVAC string, Power_AH1 double")
