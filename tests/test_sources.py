@@ -198,3 +198,21 @@ def test_cells_of_plain_and_quoted_lines(spark, rows):
     texts = ["a, b ,,c", "", '"a,1", "b" ,c ', 'x"y,z', "a,b,", None]
     df = spark.createDataFrame([(x,) for x in texts], "value string").select(files.cells("value").alias("c"))
     assert [r.c for r in df.collect()] == [["a", "b", "", "c"], [""], ["a,1", "b", "c"], ['x"y', "z"], ["a", "b", ""], None]
+
+
+def test_fields_and_times_of_odd_lines(spark):
+    """The short ways through plain lines and usual times give what the long ones give."""
+    lines = ["", "  ", "a,b", " a,b ", "a, b,c", "a ,b", ",,", " , ", "a b,c d", "\ta,b", ',"x, y" ,z', " 1,,2 "]
+    plain = [(x, [f.strip(" ") for f in x.split(",")]) for x in lines if '"' not in x] + [(',"x, y" ,z', ["", "x, y", "z"])]
+    got = dict(tuple(r) for r in spark.createDataFrame(plain, "value string, f array<string>").select("value", files.cells("value")).collect())
+    assert got == dict(plain)
+    times = {"2024/01/02 03:04:05": datetime(2024, 1, 2, 3, 4, 5), "2024-01-02 03:04:05": datetime(2024, 1, 2, 3, 4, 5),
+             "2024/01-02 03:04:05": None, "2024-01/02 03:04:05": None, "2024/13/02 03:04:05": None, "2024/02/30 03:04:05": None,
+             " 2024/1/2 03:04:05 ": datetime(2024, 1, 2, 3, 4, 5), "1/2/2024 03:04:05": datetime(2024, 1, 2, 3, 4, 5),
+             "1/2/24 03:04:05": datetime(2024, 1, 2, 3, 4, 5), "2024/01/02": datetime(2024, 1, 2), "03:04:05": None, "2024": None, "": None}
+    frame = spark.createDataFrame([(t,) for t in times] + [(None,)], "t string")
+    assert dict(tuple(r) for r in frame.select("t", files.parse_time(F.col("t"))).collect()) == times | {None: None}
+    fields = {"1.5": 1.5, "": None, " ": None, "x": None, "NaN": None, "-Infinity": float("-inf"), "1e3": 1000.0}
+    table = spark.createDataFrame([("f", ["T", *fields], ["2024/01/02 03:04:05", *fields])], "file_name string, names array<string>, fields array<string>")
+    rows = files.melt(table, files.parse_time(files.cell("T")), ["T"], "s")
+    assert {r["variable"]: r["value"] for r in rows.collect()} == fields

@@ -60,10 +60,13 @@ def parse_time(text: Column, form: str | None = None) -> Column:
         iso = F.regexp_replace(text, r"^(\d{4})(\d{2})(\d{2})(\d{2})(\d{2})(\d{2})$", "$1-$2-$3 $4:$5:$6")
         return F.when(text.rlike(r"^\d{14}$"), iso.try_cast("timestamp_ntz"))
     if form in (None, "yyyy/MM/dd HH:mm:ss", "yyyy-MM-dd HH:mm:ss"):
+        whole = text.rlike(r"^\d{4}([-/])\d{2}\1\d{2} \d{2}:\d{2}:\d{2}$")
         iso = F.regexp_replace(F.trim(text), r"^(\d{4})/(\d{1,2})/", "$1-$2-")
         iso = F.regexp_replace(iso, r"^(\d{1,2})/(\d{1,2})/(\d{4})", "$3-$1-$2")
         iso = F.regexp_replace(iso, r"^(\d{1,2})/(\d{1,2})/(\d{2}) ", "20$3-$1-$2 ")
-        return F.when(iso.rlike(r"^\d{4}-\d{1,2}-\d{1,2}"), iso.try_cast("timestamp_ntz"))
+        # the usual form is tested once, the others are rewritten first
+        return F.when(whole, F.replace(text, F.lit("/"), F.lit("-")).try_cast("timestamp_ntz")).when(
+            iso.rlike(r"^\d{4}-\d{1,2}-\d{1,2}"), iso.try_cast("timestamp_ntz"))
     return F.try_to_timestamp(text, F.lit(form)).cast("timestamp_ntz")
 
 
@@ -107,7 +110,10 @@ def cells(line: str) -> Column:
     """Fields of a line, without quotes and the blanks around them. A line without quotes is cut at every comma."""
     comma = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
     quoted = F.transform(F.split(line, comma), lambda x: F.trim(F.regexp_replace(x, '^\\s*"|"\\s*$', "")))
-    return F.when(F.contains(line, F.lit('"')), quoted).otherwise(F.transform(F.split(line, ","), lambda x: F.trim(x)))
+    blanks = F.contains(line, F.lit(", ")) | F.contains(line, F.lit(" ,"))
+    # fields are gone through one by one only where a comma has a blank beside it
+    return F.when(F.contains(line, F.lit('"')), quoted).when(blanks, F.transform(F.split(line, ","), lambda x: F.trim(x))).otherwise(
+        F.split(F.trim(line), ","))
 
 
 def once(df: DataFrame, name: str, value: Column) -> DataFrame:
@@ -139,7 +145,8 @@ def melt(table: DataFrame, ts: Column, drop: list[str], site: str, rename: Colum
     pairs = F.explode(F.arrays_zip(F.col("names").alias("name"), F.col("fields").alias("field")))
     rows = once(table, "ts", ts).where("ts IS NOT NULL").select("file_name", "ts", pairs.alias("_p")).select(
         "file_name", "ts", F.col("_p.name").alias("name"), F.col("_p.field").alias("field")).where(~F.col("name").isin(drop))
-    value = F.nanvl(F.col("field").try_cast("double"), F.lit(None).cast("double"))
+    # an empty field is no number; a cast would throw and catch an exception to find that
+    value = F.when(F.col("field") != "", F.nanvl(F.col("field").try_cast("double"), F.lit(None).cast("double")))
     return rows.where("name IS NOT NULL").select(
         F.lit(site).alias(SITE), "ts", (F.col("name") if rename is None else rename).alias("variable"), value.alias("value"), "file_name")
 
