@@ -6,6 +6,7 @@ import pytest
 
 from wattloom.model import SCHEDULE, to_long
 from wattloom.operators import alarms
+from wattloom.operators.alarms import text
 
 DAY = datetime(2022, 1, 1)
 RULES = ("variable_name string, alarm_codes string, pretty_name string, low_alarm string, high_alarm string, fault_time string, "
@@ -326,3 +327,10 @@ def test_sites_are_checked_apart(spark):
     both = spark.createDataFrame([("a", "PowerIn_HPWH", "HPOUTGE"), ("a", "PowerIn_Total", "HPOUTGE"), ("b", "PowerIn_HPWH", "HPOUTGE")], schema)
     with pytest.raises(Exception, match="HPOUTGE needs one total"):
         alarms.flag_outage(wide(spark, Alarm_A=[0]), days(spark, PowerIn_HPWH=[1]), both).collect()
+
+
+def test_what_a_sum_leaves_does_not_turn_a_tie(spark):
+    mean = (75.91 + 53.92) / 2  # 64.91499999999999
+    numbers = spark.createDataFrame([(1, mean, 100.0), (2, 64.914, 100.0), (3, float("inf"), 100.0), (4, None, 100.0)], "i int, power double, limit double")
+    said = [r[0] for r in numbers.orderBy("i").select(text.message("IMBCKUP share")).collect()]
+    assert [x.split("(")[1].split(")")[0] for x in said] == ["64.92", "64.91", "Infinity", "nan"]

@@ -72,7 +72,8 @@ def message_sql(name: str, doubles: tuple[str, ...] = ()) -> str:
         if field is None:
             continue
         if spec:
-            parts.append(f"CASE WHEN {field} IS NULL THEN 'nan' ELSE format_string('%{spec}', {field}) END")
+            # what a sum leaves behind the 12th decimal does not turn a tie
+            parts.append(f"CASE WHEN {field} IS NULL THEN 'nan' ELSE format_string('%{spec}', round({field}, 12)) END")
         elif field in doubles:
             parts.append(_number(field))
         elif field == "start":
