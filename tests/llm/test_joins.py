@@ -161,6 +161,32 @@ def test_repeats_equal_brute_force(spark, seed):
     assert [got[d] for d, _ in rows] == brute_removed(rows, suffix_dedup.LENGTH)
 
 
+def test_repeats_of_one_word_without_end(spark, monkeypatch):
+    """Every period of such a text begins a run of the same gram, core and context."""
+    monkeypatch.setattr(suffix_dedup, "HOT", 5)
+    rows = [(i, "line of text. " * n) for i, n in enumerate((40, 60, 61, 90, 90))] + [(10, "x" * 1200), (11, "y" + "x" * 900)]
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"])
+           for r in suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[d] for d, _ in rows] == brute_removed(rows, suffix_dedup.LENGTH)
+
+
+@pytest.mark.parametrize("how", ["left", "left_semi"])
+def test_rows_of_a_hot_key_stay_spread(spark, monkeypatch, how):
+    monkeypatch.setattr(suffix_dedup, "HOT", 100)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    rows = spark.range(0, 4000, 1, 8).selectExpr("id", "IF(id % 10 > 0, 7, id % 1000) AS key")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        values = suffix_dedup.repeated(rows, "key")
+        met = suffix_dedup.meet(rows, values, "key", how)
+        largest = max(met.rdd.glom().map(len).collect())
+        assert met.columns == rows.join(values, "key", how).columns
+        assert sorted(met.collect()) == sorted(rows.join(values, "key", how).collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert largest <= 500
+
+
 def test_repeats_odd_rows(spark):
     got = suffix_dedup.remove_repeats(odd_docs(spark)).collect()
     assert len(got) == odd_docs(spark).count()
