@@ -231,6 +231,21 @@ def test_overlapping_windows_are_met_in_many_tasks(spark):
     assert kept.where("seq IS NULL").count() == sum(all(w[0] != r[0] or not r[0] or not r[1] or not w[2] <= r[1] < w[3] for w in spans) for r in read)
 
 
+def test_overlapping_windows_take_little_disk(spark, tmp_path):
+    """All windows around a reading don't come before the next reading, so a column format finds what repeats."""
+    minute, start = F.make_dt_interval(mins=F.lit(1)), F.lit(START)
+    df = spark.range(300).select(F.lit("a").alias("site"), (start + minute * (F.col("id") % 150)).alias("ts"), F.col("id").cast("double").alias("value"))
+    windows = spark.range(5_000).select(
+        F.lit("a").alias("site"), F.lit("shed").alias("event"), start.alias("start"), (start + minute * (50 + F.col("id") % 100)).alias("end"), F.col("id").alias("seq"))
+    met = intervals.inside(df, windows)
+    assert met.columns == ["site", "ts", "value", "event", "start", "end", "seq"]
+    met.select("site", "ts", "value", "seq").write.parquet(out := str(tmp_path / "met"))
+    got = spark.read.parquet(out).agg(F.count("*").alias("n"), F.sum("value").alias("value"), F.sum("seq").alias("seq")).first()
+    want = [(v, q) for v in range(300) for q in range(5_000) if v % 150 < 50 + q % 100]
+    assert tuple(got) == (len(want), sum(v for v, _ in want), sum(q for _, q in want))
+    assert sum(f.stat().st_size for f in (tmp_path / "met").glob("*.parquet")) < 0.4 * len(want)
+
+
 def test_airflow_deals_the_rows_of_a_site(spark):
     df = spark.createDataFrame([("s", i, "heat" if i % 2 else "cool", 0.5) for i in range(64)] + [("t", 1, "cool", 0.1)],
                                "site string, event_ID int, HVAC string, Power_AH1 double")
